@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from papyrion.llm import bpe, near_dedup
+from papyrion.llm import bpe, decontaminate, near_dedup, quality_rules, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +19,60 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@_query
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge_documents(_table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars")
+
+
+ORACLES["op1_quality_rules"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+parts AS MATERIALIZED (
+  SELECT doc_id, t, w, row_number() OVER () AS k, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM texts),
+windows AS (
+  SELECT k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM parts)),
+twice AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, x) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT k, count(DISTINCT i + j) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS j) GROUP BY k),
+judged AS (
+  SELECT p.*, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, coalesce(r.n, 0) AS n_repeat_words,
+    list_filter(lines, lambda l: NOT regexp_matches(l, '[.!?…。！？]["”»'')\]]*([\x20\x09-\x0D]|$)')
+      OR regexp_matches(l, '(?i)cookie|javascript|privacy policy|terms of (use|service)|all rights reserved|lorem ipsum|subscribe')
+      OR (10 * length(regexp_replace(l, '[^#*$%&|<>{}=~^!?]+', '', 'g')) >= length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')))
+      OR (5 * len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w IN ('|', '»', '›', '>', '·', '•', '/', '::')))
+          >= len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')))) AS bad
+  FROM parts p LEFT JOIN repeats r USING (k)),
+counted AS (
+  SELECT *, length(regexp_replace(array_to_string(bad, ''), '[\x20\x09-\x0D]+', '', 'g')) AS lost,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM judged)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+  base_failed, NOT base_failed AND 100 * lost <= 50 * word_chars AS kept, CAST(lost AS BIGINT) AS lost_chars FROM counted
+"""
+
+
+@_query
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, folder, "pages"))
+
+
+ORACLES["op2_url_filter"] = r"""
+WITH located AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN '.' || host LIKE '%.example.com' AND starts_with(path, '/en/7') THEN 'example.com/en/7'
+    WHEN '.' || host LIKE '%.example.net' AND starts_with(path, '/de/8') THEN 'example.net/de/8'
+    WHEN '.' || host LIKE '%.com' AND starts_with(path, '/en/') THEN 'com/en/'
+    WHEN '.' || host LIKE '%.net' AND starts_with(path, '/de/') THEN 'net/de/'
+    WHEN '.' || host LIKE '%.org' AND starts_with(path, '/es/') THEN 'org/es/' END AS rule FROM located)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/en/', 'net/de/', 'example.net/de/8', 'org/es/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
+
+
 @_query
 def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"), near_dedup.NearDedupConfig(shingle_words=2))
@@ -50,3 +104,28 @@ def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     return bpe.encode_digests(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination_digests(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+ORACLES["op9_benchmark_decontamination"] = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS MATERIALIZED (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS x
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+places AS MATERIALIZED (
+  SELECT k, i, n, array_to_string(w[i:i + n - 1], ' ') AS x
+  FROM (SELECT d.k, d.w, l.n, unnest(range(1, len(d.w) - l.n + 2)) AS i FROM docs d, (SELECT DISTINCT n FROM windows) l)),
+found AS MATERIALIZED (SELECT p.k, p.i, p.n, w.item_id FROM places p JOIN windows w ON p.n = w.n AND p.x = w.x),
+hit AS (SELECT k, count(DISTINCT j) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT k, i, n FROM found)) GROUP BY k),
+named AS (SELECT k, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (k) LEFT JOIN named USING (k)
+"""
