@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from papyrion.llm import bpe, decontaminate, near_dedup, quality_rules, url_filter
+from papyrion.llm import bpe, decontaminate, near_dedup, quality_classifier, quality_rules, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -73,6 +74,15 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/en/', 'net/de/', 'exam
 """
 
 
+@_query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = quality_classifier.train(docs, _table(spark, folder, "labels"))
+    scored = quality_classifier.score_documents(docs, model)
+    predicted = (F.col("score") >= model.config.accept).cast("int")
+    return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @_query
 def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"), near_dedup.NearDedupConfig(shingle_words=2))
