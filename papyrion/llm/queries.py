@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrion.llm import bpe, decontaminate, near_dedup, quality_classifier, quality_rules, url_filter
+from papyrion.llm import bpe, decontaminate, near_dedup, quality_classifier, quality_rules, toxicity, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -109,6 +109,14 @@ FROM sets s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.s
 """
 
 
+@_query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    grammar = toxicity.ClauseGrammar(toxicity.learn_insults(docs, _table(spark, folder, "labels")))
+    scored = toxicity.score_documents(docs, grammar)
+    return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_clauses")
+
+
 @_query
 def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
