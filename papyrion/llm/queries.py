@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrion.llm import bpe, decontaminate, near_dedup, quality_classifier, quality_rules, toxicity, url_filter
+from papyrion.llm import bpe, decontaminate, html_extract, near_dedup, quality_classifier, quality_rules, toxicity, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (k) LEFT JOIN named USING (k)
 """
+
+
+@_query
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_main_text(_table(spark, folder, "pages"))
