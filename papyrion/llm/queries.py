@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrion.llm import bpe, decontaminate, html_extract, near_dedup, quality_classifier, quality_rules, toxicity, url_filter
+from papyrion.llm import bpe, decontaminate, html_extract, near_dedup, quality_classifier, quality_rules, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -117,6 +117,23 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_clauses")
 
 
+@_query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_round_trip(_table(spark, folder, "pages"))
+
+
+ORACLES["op6_warc"] = r"""
+WITH digests AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+grouped AS (SELECT page_id, octet_length(payload) AS n, h, min(page_id) OVER (PARTITION BY h) AS first FROM digests),
+five AS (SELECT h, g, CAST('0x' || substr(h, 5 * g + 1, 5) AS BIGINT) AS v FROM (SELECT DISTINCT h FROM grouped), (SELECT unnest(range(0, 8)) AS g)),
+base32 AS (
+  SELECT h, string_agg(array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((v >> s) & 31) + 1 AS BIGINT), 1)), ''), '' ORDER BY g) AS b FROM five GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, b AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM grouped JOIN base32 USING (h)
+"""
+
+
 @_query
 def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
