@@ -16,6 +16,7 @@ import json
 import unicodedata
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -224,7 +225,7 @@ def _mapped(df: DataFrame, path: str, text_col: str, schema: str, full: bool) ->
                 texts = part.column(part.schema.get_field_index(text_col))
                 made = [bpe.encode_joined(t.as_py() or "") for t in texts]
                 if full:
-                    ids = pa.array([[int(i) for i in m[0].split(" ") if i] for m in made], pa.list_(pa.int32()))
+                    ids = pa.array([np.fromstring(m[0], np.int32, sep=" ") for m in made], pa.list_(pa.int32()))
                     new = {"token_ids": ids, "decoded": pa.array([m[1] for m in made], pa.string())}
                     columns = dict(zip(part.schema.names, part.columns)) | new
                 else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrion.llm import bpe, decontaminate, html_extract, near_dedup, quality_classifier, quality_rules, toxicity, url_filter, warc
+from papyrion.llm import bpe, decontaminate, html_extract, lm_scoring, near_dedup, quality_classifier, quality_rules, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -134,6 +134,12 @@ FROM grouped JOIN base32 USING (h)
 """
 
 
+@_query
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return lm_scoring.score_documents(docs, *lm_scoring.train(docs))
+
+
 @_query
 def op8_bpe_encode_decode(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
