@@ -1,5 +1,6 @@
 """All queries of the library, gathered from the modules that define them."""
 
+from papyrion.plans import table_queries, text_queries
 from papyrion.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["ORACLES", "QUERIES", "table_queries", "text_queries"]
