@@ -21,7 +21,7 @@ MANUALS = r"""SELECT doc_id, lang, source, concat(
   'Chapter ', doc_id % 5 + 1, ': Topic ', source, chr(10),
   CASE WHEN doc_id % 3 = 0 THEN concat('Introduction: scope', chr(10), 'for example however the best practice', chr(10)) ELSE concat('Warning: mind this', chr(10)) END,
   text, chr(10),
-  '1.', doc_id % 3 + 1, ' Install the Server', chr(10), 'It requires a server. See also "Guide ', doc_id % 5, '".', chr(10),
+  '1.', doc_id % 3 + 1, ' Install the Server', chr(10), 'It requires a server. See also "Handout ', doc_id % 5, '".', chr(10),
   CASE doc_id % 5 WHEN 0 THEN concat('- one', chr(10), 'a|b', chr(10), 'a|b|c', chr(10), '- two', chr(10), '|||', chr(10), 'x', chr(10), 'y', chr(10), '- three', chr(10))
     WHEN 1 THEN concat('```', chr(10), 'code', chr(10)) WHEN 2 THEN concat('an error and a problem     here', chr(10)) ELSE '' END,
   CASE WHEN doc_id % 2 = 0 THEN 'In summary: the end.' ELSE 'cut of-' END) AS content

@@ -200,11 +200,11 @@ def _any(phrases) -> str:
     return "bool_or(" + " OR ".join(f"contains(lower(content), '{p}')" for p in phrases) + ")"
 
 
-@query("md_structure", rf"""{WITH} SELECT source, {', '.join(f'{_any(v)} AS {k}' for k, v in metadata.PARTS.items())},
+@query("md_structure", rf"""{WITH} SELECT doc_id, {', '.join(f'{_any(v)} AS {k}' for k, v in metadata.PARTS.items())},
   CAST(sum(len(regexp_extract_all(content, '(?im)^\s*(?:Chapter|Kapitel)\s+\d+'))) AS BIGINT) AS chapter_count, CAST(sum(len(regexp_extract_all(content, '(?m)^\s*\d+\.\d+\s+'))) AS BIGINT) AS section_count,
-  CAST(greatest(1, sum(len({W})) // 200) AS INT) AS estimated_reading_time FROM manuals GROUP BY source""")
+  CAST(greatest(1, sum(len({W})) // 200) AS INT) AS estimated_reading_time FROM manuals GROUP BY doc_id""")
 def _md_structure(spark, folder):
-    return metadata.structure_of(manuals(spark, folder), key="source")
+    return metadata.structure_of(manuals(spark, folder))
 
 
 @query("md_base", "SELECT source, count(*) AS total_pages, CAST(sum(length(text)) AS BIGINT) AS total_chars FROM documents GROUP BY source")
