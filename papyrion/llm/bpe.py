@@ -31,6 +31,10 @@ _PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{
 #: Characters that str.split() takes for white space and the tokenizer does not.
 _ODD = regex.compile("[\x1c-\x1f]")
 _NO_RANK = 1 << 60
+_ID = (1 << 20) - 1
+_NOTHING = ("", "", 0)
+#: Stands for a symbol that the vocabulary lacks; no pair with it has a rank.
+_UNKNOWN = _ID
 
 
 def byte_alphabet() -> list[str]:
@@ -81,6 +85,28 @@ class SegmentTree:
         return i - self.size, value
 
 
+class RecentWords:
+    """What was made of the words met last, in two generations of bounded size.
+
+    A full generation becomes the old one; what is asked for again moves on to
+    the young one, so frequent words stay and the rest is forgotten.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def recall(self, text: str):
+        found = self.young.get(text)
+        if found is None and (found := self.old.get(text)) is not None:
+            self.keep(text, found)
+        return found
+
+    def keep(self, text: str, made) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[text] = made
+
+
 class WordBpe:
     """Encode and decode with the vocabulary and merges of one tokenizer file."""
 
@@ -89,83 +115,97 @@ class WordBpe:
         self.ids: dict[str, int] = model["model"]["vocab"]
         self.suffix: str = model["model"]["end_of_word_suffix"]
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["model"]["merges"])
-        self.ranks = {(a, b): i for i, (a, b) in enumerate(merges)}
+        # a pair of ids is one integer, and so are a merge's rank and the id that it makes
+        self.merges = {self.ids[a] << 20 | self.ids[b]: rank << 20 | self.ids[a + b] for rank, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        self._bytes = byte_alphabet()
+        alphabet = byte_alphabet()
+        self._inner = [self.ids.get(c, _UNKNOWN) for c in alphabet]
+        self._final = [self.ids.get(c + self.suffix, _UNKNOWN) for c in alphabet]
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        self._pieces: dict[str, list[str]] = {}
-        self._words: dict[str, tuple[str, str, int]] = {}
+        self._pieces = RecentWords(150_000)
+        self._words = RecentWords(300_000)
 
-    def merge(self, symbols: list[str]) -> list[str]:
-        """Apply merges in rank order, leftmost first, until no adjacent pair has a rank."""
-        n, ranks = len(symbols), self.ranks
+    def merge(self, at: list[int]) -> list[int]:
+        """Apply merges to a list of ids in rank order, leftmost first, until no adjacent pair has a rank."""
+        n, merges = len(at), self.merges.get
         if n < 2:
-            return symbols
-        rank = lambda a, b: ranks.get((a, b), _NO_RANK)
-        tree = SegmentTree([rank(symbols[i], symbols[i + 1]) for i in range(n - 1)])
-        following, previous, at = list(range(1, n + 1)), list(range(-1, n - 1)), list(symbols)
-        while tree.least[1] < _NO_RANK:
+            return at
+        values = [merges(a << 20 | b, _NO_RANK) for a, b in zip(at, at[1:])]
+        if n == 2:
+            return at if values[0] == _NO_RANK else [values[0] & _ID]
+        tree = SegmentTree(values)
+        following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
+        while (least := tree.least[1]) < _NO_RANK:
             i, _ = tree.leftmost_least()
             j = following[i]
-            at[i] += at[j]
-            at[j] = ""
+            at[i], at[j] = least & _ID, -1
             k = following[i] = following[j]
             if j < n - 1:
                 tree.set(j, _NO_RANK)
             if k < n:
                 previous[k] = i
-                tree.set(i, rank(at[i], at[k]))
+                tree.set(i, merges(at[i] << 20 | at[k], _NO_RANK))
             else:
                 tree.set(i, _NO_RANK)
             if (p := previous[i]) >= 0:
-                tree.set(p, rank(at[p], at[i]))
-        return [s for s in at if s]
+                tree.set(p, merges(at[p] << 20 | at[i], _NO_RANK))
+        return [s for s in at if s >= 0]
 
-    def piece(self, text: str) -> list[str]:
-        """The tokens of one piece; symbols that the vocabulary lacks are left out."""
-        found = self._pieces.get(text)
+    def piece(self, text: str) -> tuple[str, str, int]:
+        """(ids, tokens, count) of one piece; symbols that the vocabulary lacks are left out."""
+        found = self._pieces.recall(text)
         if found is None:
-            symbols = [self._bytes[b] for b in text.encode("utf-8", "surrogatepass")]
-            symbols[-1] += self.suffix
-            found = [t for t in self.merge(symbols) if t in self.ids]
+            data, inner = text.encode("utf-8", "surrogatepass"), self._inner
+            symbols = [inner[b] for b in data]
+            symbols[-1] = self._final[data[-1]]
+            ids = [i for i in self.merge(symbols) if i != _UNKNOWN]
+            found = " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids]), len(ids)
             if len(text) <= 64:
-                if len(self._pieces) >= 150_000:
-                    self._pieces.clear()
-                self._pieces[text] = found
+                self._pieces.keep(text, found)
         return found
 
     def word(self, text: str) -> tuple[str, str, int]:
         """(ids, tokens, count) of a run without white space, ids and tokens joined by a space."""
-        found = self._words.get(text)
+        found = self._words.recall(text)
         if found is None:
-            tokens = [t for p in _PIECE.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()) for t in self.piece(p)]
-            found = " ".join(str(self.ids[t]) for t in tokens), " ".join(tokens), len(tokens)
+            plain = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            plain = plain.lower()
+            pieces = [plain] if plain.isascii() and plain.isalpha() else _PIECE.findall(plain)
+            parts = [p for p in map(self.piece, pieces) if p[2]]
+            if len(parts) == 1:
+                found = parts[0]
+            else:
+                found = " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts]), sum([p[2] for p in parts])
             if len(text) <= 64:
-                if len(self._words) >= 250_000:
-                    self._words.clear()
-                self._words[text] = found
+                self._words.keep(text, found)
         return found
 
-    def _runs(self, text: str) -> Iterable[tuple[str, str, int]]:
-        """The words of a text and its special tokens, in order."""
-        at, known, parts = 0, self._words, []
-        if "<|" in text:
-            for m in self._special.finditer(text):
-                parts += [(text[at : m.start()], None), ("", m.group())]
-                at = m.end()
-        parts.append((text[at:], None))
-        for plain, special in parts:
-            if special is not None:
-                yield str(self.special[special]), special, 1
-            runs = plain.split() if not _ODD.search(plain) else [w for w in _SPLIT.split(plain) if w]
-            for w in runs:
-                yield known.get(w) or self.word(w)
+    def _runs(self, plain: str) -> list[tuple[str, str, int]]:
+        """The words of a text without special tokens, in order."""
+        words = plain.split() if not _ODD.search(plain) else [w for w in _SPLIT.split(plain) if w]
+        runs = list(map(self._words.young.get, words))
+        if None in runs:
+            runs = [r or self.word(w) for r, w in zip(runs, words)]
+        return runs
 
     def encode_joined(self, text: str) -> tuple[str, str, int]:
         """(ids, tokens, count) of a whole text, ids and tokens joined by a space."""
-        runs = [r for r in self._runs(text) if r[2]]
-        return " ".join([r[0] for r in runs]), " ".join([r[1] for r in runs]), sum([r[2] for r in runs])
+        if "<|" in text and self._special.search(text):
+            runs, at = [], 0
+            for m in self._special.finditer(text):
+                runs += self._runs(text[at : m.start()])
+                runs.append((str(self.special[m.group()]), m.group(), 1))
+                at = m.end()
+            runs += self._runs(text[at:])
+        else:
+            runs = self._runs(text)
+        if _NOTHING in runs:
+            runs = [r for r in runs if r[2]]
+        if not runs:
+            return _NOTHING
+        ids, tokens, counts = zip(*runs)
+        return " ".join(ids), " ".join(tokens), sum(counts)
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for i in self.encode_joined(text)[0].split(" ") if i]
