@@ -166,7 +166,10 @@ class ClauseGrammar:
 
     def score(self, text: str | None) -> float:
         """0 to 1; a null or empty text gets the score of a text without matches."""
-        z = self.config.bias + self.config.slope * sum(w for _, w in self.matched_clauses(text or ""))
+        return self.score_clauses(self.matched_clauses(text or ""))
+
+    def score_clauses(self, clauses: list[tuple[str, float]]) -> float:
+        z = self.config.bias + self.config.slope * sum(w for _, w in clauses)
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
@@ -235,10 +238,9 @@ def score_documents(docs: DataFrame, grammar: ClauseGrammar, id_col: str = "doc_
         for batch in batches:
             scores, clauses = [], []
             for text in batch.column(1):
-                text = text.as_py() or ""
-                scores.append(machine.score(text))
-                clauses.append(len(machine.matched_clauses(text)) if scores[-1] != machine_base else 0)
+                matched = machine.matched_clauses(text.as_py() or "")
+                scores.append(machine.score_clauses(matched))
+                clauses.append(len(matched))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(clauses, pa.int64())], names=[id_col, "score", "n_clauses"])
 
-    machine_base = grammar.score("")
     return source.mapInArrow(run, f"`{id_col}` {kind}, score double, n_clauses long")
