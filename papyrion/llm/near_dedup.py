@@ -6,15 +6,26 @@ The job in order:
    shingles, a 128-bit fingerprint of that set, and a signature of universal
    hash minima.  Rows with equal fingerprints have equal sets; from here on one
    row stands for them, so a group of exact copies costs one row.
-2. Signatures are cut into bands.  Rows that share a band form a bucket, and
-   each member is proposed against the bucket's smallest id, never against all
-   others.  A proposal is checked on the signatures, then on the full sets.
-3. Links become components by alternating large-star and small-star.
-4. Members of one bucket that are still in different components are the only
-   pairs left that could add a link.  While they are many, each bucket takes
-   another member to be proposed against; once they are few, all are checked.
-   So no bucket is capped and no candidate is lost, and a group of near copies
-   costs about as many checks as it has members.
+2. Signatures are cut into bands.  Rows that share a band form a bucket.  Each
+   member is proposed against one pivot, never against all others: the member
+   that meets the most rows over all its bands, which in a group of near copies
+   is the text that they were made from.  A proposal is checked on the
+   signatures, then on the full sets.
+3. What could still link two members of a bucket is found without pairing them:
+
+   * A member far from the pivot (by its signature, under a similarity of 0.6)
+     is by the triangle inequality too far from all that the pivot is linked
+     with.  The unlinked members of its bucket get another pivot.
+   * For a member that is near the pivot but not linked with it, the sets are
+     written as differences to the pivot's set.  Two sets are as far apart as
+     their differences are, so an unlinked member and any other can only be
+     linked if they share more than half of the other's differences.  Joining on
+     the first half of those (prefix filtering) finds every such pair; what
+     copies of one text change independently seldom meets.
+
+   So no bucket is capped and no candidate is lost, while a group of near
+   copies costs about as many checks as it has members.
+4. Links become components by alternating large-star and small-star.
 
 Shingles are compared by 64-bit hashes: for two texts of a million words each
 the odds that any of their shingles collide are below one in ten million.
@@ -27,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyrion.llm.bytewords import SPACED, mix, pieces, shingles
@@ -41,18 +52,20 @@ class NearDedupConfig:
     A pair at the threshold of 0.8 shares no band with odds of
     (1 - 0.8**5)**32 = 3e-6, and a larger similarity makes that smaller.
     ``signature_floor`` is the share of equal minima under which a pair is not
-    checked further; at a similarity of 0.8 that is seven standard deviations
-    below the mean.
+    compared in full.  With 160 minima the share is within 0.2 of the similarity
+    (five standard deviations), so what it rejects is under 0.6.
     """
 
     shingle_words: int = 5
     threshold_percent: int = 80
     bands: int = 32
     rows: int = 5
-    signature_floor: float = 0.58
-    #: Cross-component pairs per bucket member up to which all are checked at once.
-    few_pairs: int = 8
-    #: Further proposals against other members while there are more than that.
+    signature_floor: float = 0.4
+    #: Ids (8 bytes each) that are broadcast to pick texts; beyond that the join is left to Spark.
+    broadcast_ids: int = 500_000
+    #: Pairs left in buckets, for each of their rows, up to which all of them are checked at once ...
+    few_pairs: float = 1.0
+    #: ... instead of trying another pivot, at most so often.
     pivot_rounds: int = 4
 
 
@@ -118,6 +131,13 @@ def _full_sets(k: int):
     return run
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether each ``a`` has one edge and no ``b`` is the ``a`` of another."""
+    roles = edges.select(F.col("a").alias("x"), F.lit(1).alias("low"), F.lit(0).alias("high")).unionByName(edges.select(F.col("b").alias("x"), F.lit(0).alias("low"), F.lit(1).alias("high")))
+    sums = roles.groupBy("x").agg(F.sum("low").alias("low"), F.max("high").alias("high"))
+    return sums.where("low > 1 or (low > 0 and high > 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, name: str = "star") -> DataFrame:
     """(node, component) for each node of ``edges`` (u, v: long); component is the least node reachable.
 
@@ -125,24 +145,17 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "star")
     before each shuffle, and a hub's edges are an ordinary join that Spark
     splits when it is skewed.  Null ends and self loops are left out.
     """
-    hashed = lambda df: tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-    old = edges.where("u <> v").select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct()
-    old = scratch.save(old, f"{name}0")
-    seen, turn = hashed(old), 0
-    while True:
+    old = scratch.save(edges.where("u <> v").select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct(), f"{name}0")
+    turn = 0
+    while not _is_star_forest(old):
         both = old.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(old.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         root = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(root, "a")
-        small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        new = scratch.save(small.unionByName(root.select("a", F.col("m").alias("b"))).distinct(), f"{name}{turn + 1}")
-        now = hashed(new)
-        scratch.drop(f"{name}{turn}")
-        old, turn = new, turn + 1
-        if now == seen:
-            break
-        seen = now
+        small = large.join(root, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        new = small.unionByName(root.select("a", F.col("m").alias("b"))).distinct()
+        old, turn = scratch.save(new, f"{name}{turn + 1}"), turn + 1
+        scratch.drop(f"{name}{turn - 1}")
     roots = old.select(F.col("b").alias("node")).distinct()
     return old.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 
@@ -153,8 +166,9 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     Words are maximal runs without white space, A-Z lower-cased.  Rows are
     linked when the similarity of their sets of shingles reaches the threshold.
     A text with fewer words than a shingle is one shingle; a null, empty or
-    blank text has none, is linked with nothing, and is kept.  Rows that share
-    an id are one document.  A row without an id has a null component and is
+    blank text has none, is linked with nothing, and is kept.  Rows repeated in
+    full are one document; different texts under one id are judged each by its
+    own.  A row without an id has a null component and is
     kept.  Other columns of ``docs`` are not read.
     """
     spark: SparkSession = docs.sparkSession
@@ -167,80 +181,123 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     same = ["n_shingles", "fp1", "fp2"]
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     reps = scratch.save(usable.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "reps")
-    sizes = reps.select("node", "n_shingles", "sig")
 
     band = F.array(*(F.xxhash64(F.slice("sig", i * config.rows + 1, config.rows), F.lit(i)) for i in range(config.bands)))
-    banded = sizes.select("node", "n_shingles", F.explode(band).alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = scratch.save(banded.join(buckets.select("band", "pivot"), "band"), "members")
-
-    def near_sizes(a: str, b: str) -> Column:
-        return F.expr(f"100 * least({a}, {b}) >= {config.threshold_percent} * greatest({a}, {b})")
-
-    known: set[str] = set()
-
-    def check(proposed: DataFrame, tag: str) -> DataFrame:
-        """Of the pairs (u, v) those that reach the threshold."""
-        left, right = (sizes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "uv")
-        equal = F.aggregate(F.zip_with("sig_u", "sig_v", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
-        likely = proposed.join(left, "u").join(right, "v").where(equal >= int(config.signature_floor * n_minima)).select("u", "v").distinct()
-        likely = scratch.save(likely, f"likely{tag}")
-        wanted = likely.select(F.col("u").alias("doc_id")).unionByName(likely.select(F.col("v").alias("doc_id"))).distinct()
-        sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(k), "node long, shingle_set array<bigint>")
-        sets = scratch.save(sets, f"sets{tag}")
-        a, b = (sets.select(F.col("node").alias(x), F.col("shingle_set").alias(f"set_{x}")) for x in "uv")
-        common = F.size(F.array_intersect("set_u", "set_v"))
-        pairs = likely.join(a, "u").join(b, "v").select("u", "v", common.alias("common"), (F.size("set_u") + F.size("set_v")).alias("both"))
-        links = pairs.where(F.expr(f"100 * common >= {config.threshold_percent} * (both - common)")).select("u", "v").distinct()
-        links = scratch.save(links, f"links{tag}")
-        scratch.drop(f"sets{tag}")
-        known.add(f"likely{tag}")
-        return links
-
-    first = members.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    first = first.distinct()
-    links = check(first, "0")
-    tested = first
-
-    for turn in range(1, config.pivot_rounds + 2):
-        components = scratch.save(connected_components(links, scratch, f"star{turn}_"), f"components{turn}")
-        placed = members.select("band", "node", "n_shingles").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        parts = placed.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-        open_bands = parts.groupBy("band").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count(F.lit(1)).alias("parts")).where("parts > 1 and m > 2")
-        open_bands = scratch.save(open_bands, f"open{turn}")
-        rows, pairs = open_bands.agg(F.sum("m"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()
-        if not rows:
-            break
-        left = placed.join(open_bands.select("band"), "band").select("band", F.col("node").alias("u"), F.col("n_shingles").alias("nu"), F.col("component").alias("cu"))
-        last = pairs <= config.few_pairs * rows or turn > config.pivot_rounds
-        if last:
-            right = left.select("band", F.col("u").alias("v"), F.col("nu").alias("nv"), F.col("cu").alias("cv"))
-            more = left.join(right, "band").where("cu <> cv and u > v")
-        else:
-            pick = left.groupBy("band").agg(F.min_by(F.struct("u", "nu", "cu"), F.xxhash64("u", F.lit(turn))).alias("p"))
-            right = pick.select("band", F.col("p.u").alias("w"), F.col("p.nu").alias("nv"), F.col("p.cu").alias("cv"))
-            more = left.join(right, "band").where("cu <> cv").select(F.greatest("u", "w").alias("u"), F.least("u", "w").alias("v"), "nu", "nv")
-        more = more.where(near_sizes("nu", "nv")).select("u", "v").distinct()
-        more = scratch.save(more.join(tested, ["u", "v"], "left_anti"), f"more{turn}")
-        tested = tested.unionByName(more)
-        found = check(more, str(turn))
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            components = None
-        if last:
-            if components is None:
-                components = scratch.save(connected_components(links, scratch, "star_end_"), "components_end")
-            break
+    banded = reps.select("node", F.explode(band).alias("band"))
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = scratch.save(banded.join(buckets, "band"), "members")
+    weights = members.groupBy("node").agg(F.sum("members").alias("weight"))
+    weighed = scratch.save(members.join(weights, "node").select("band", "node", "weight"), "weighed")
+    scratch.drop("members")
+
+    links = _bucket_links(weighed, reps.select("node", "sig"), texts, config, scratch)
+    components = scratch.save(connected_components(links, scratch), "components")
 
-    for name in ("members", *known):
-        scratch.drop(name)
     by_set = reps.select(*same, "node").join(components, "node", "left").select(*same, F.coalesce("component", "node").alias("found"))
     rows = signed.select("doc_id", *same).join(by_set, same, "left")
-    # An id with several texts lies in several sets, which this id links.
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _compare(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, config: NearDedupConfig, scratch: Scratch, tag: str) -> DataFrame:
+    """Of the pairs (u, v) those whose signatures are near enough, with what each full set has
+    more than the other: nu, nv, more_u, more_v, linked."""
+    least = int(config.signature_floor * config.bands * config.rows)
+    left, right = (signatures.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "uv")
+    equal = F.aggregate(F.zip_with("sig_u", "sig_v", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
+    # written first: its size then decides whether signatures have to be shuffled
+    pairs = scratch.save(pairs, f"pairs{tag}")
+    near = scratch.save(pairs.join(left, "u").join(right, "v").where(equal >= least).select("u", "v").distinct(), f"near{tag}")
+    wanted = near.select(F.col("u").alias("doc_id")).unionByName(near.select(F.col("v").alias("doc_id"))).distinct()
+    wanted = scratch.save(wanted, f"wanted{tag}")
+    if wanted.count() <= config.broadcast_ids:  # else Spark chooses, and texts may be shuffled
+        wanted = F.broadcast(wanted)
+    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(config.shingle_words), "node long, shingle_set array<bigint>")
+    sets = scratch.save(sets, f"sets{tag}")
+    a, b = (sets.select(F.col("node").alias(x), F.col("shingle_set").alias(f"set_{x}")) for x in "uv")
+    both = near.join(a, "u").join(b, "v")
+    both = both.select("u", "v", F.size("set_u").alias("nu"), F.size("set_v").alias("nv"), F.array_except("set_u", "set_v").alias("more_u"), F.array_except("set_v", "set_u").alias("more_v"))
+    common = F.col("nu") - F.size("more_u")
+    compared = both.withColumn("linked", 100 * common >= config.threshold_percent * (F.col("nu") + F.size("more_v")))
+    compared = scratch.save(compared, f"compared{tag}")
+    scratch.drop(f"sets{tag}")
+    return compared
+
+
+def _links_by_differences(compared: DataFrame, percent: int, scratch: Scratch, tag: str) -> DataFrame:
+    """Links (u, v) of members u that are not linked with the pivot that they share with v.
+
+    Let R be a member's differences to the pivot p and c = (100 - percent) /
+    (100 + percent).  Two sets are linked if their difference is at most
+    c * (|u| + |v|), and u is not linked with p, so |R_u| > c * (|u| + |p|).
+    Then R_u and R_v share at least (|R_u| + |R_v| - c * (|u| + |v|)) / 2 members,
+    which is more than (|R_v| + c * (|p| - |v|)) / 2 = q, and one of the first
+    |R_v| - floor(q) of R_v, in any order, is among them.  What a set has more
+    than p is taken first, as it is rare; what it lacks can only decide where
+    both lack enough in common.
+
+    The sets' difference is that of R_u and R_v, so candidates are confirmed
+    on those, which is the same as on the full sets and moves far less.
+    """
+    unlinked = compared.where("not linked")
+    around = compared.join(unlinked.select(F.col("v").alias("p")).distinct(), F.col("v") == F.col("p"), "left_semi")
+    # a member that is lacking is the complement of its hash
+    both = F.concat("more_u", F.transform("more_v", lambda x: F.bitwise_not(x)))
+    around = around.select(F.col("v").alias("p"), F.col("u").alias("m"), "linked", F.col("nu").alias("n"), F.size("more_u").alias("a"), F.size("more_v").alias("l"), F.col("nv").alias("np"), both.alias("r"))
+    around = scratch.save(around, f"around{tag}")
+
+    q = (F.size("r") + (F.col("np") - F.col("n")) * (100 - percent) / F.lit(100.0 + percent)) / 2
+    first = F.slice("r", 1, F.size("r") - F.floor(q).cast("int"))
+    index = around.select("p", F.col("m").alias("v"), F.col("n").alias("n2"), F.col("a").alias("a2"), F.col("l").alias("l2"), F.posexplode(first).alias("at", "d"))
+    probe = around.where("not linked").select("p", F.col("m").alias("u"), F.col("n").alias("n1"), F.col("a").alias("a1"), F.col("l").alias("l1"), F.explode("r").alias("d"))
+    need = f"(a1 + l1 + a2 + l2 - {100 - percent} * (n1 + n2) / {100.0 + percent} - 1e-9)"
+    possible = f"u <> v and 2 * (least(a1, a2) + least(l1, l2)) >= {need} and (at < a2 or 2 * least(l1, l2) >= {need})"
+    pairs = scratch.save(index.join(probe, ["p", "d"]).where(possible).select("p", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"others{tag}")
+
+    left, right = (around.select("p", F.col("m").alias(x), F.col("n").alias(f"n_{x}"), F.col("r").alias(f"r_{x}")) for x in "uv")
+    apart = F.size("r_u") + F.size("r_v") - 2 * F.size(F.array_intersect("r_u", "r_v"))
+    sizes = F.col("n_u") + F.col("n_v")
+    return pairs.join(left, ["p", "u"]).join(right, ["p", "v"]).where(100 * (sizes - apart) >= percent * (sizes + apart)).select("u", "v").distinct()
+
+
+def _bucket_links(members: DataFrame, signatures: DataFrame, texts: DataFrame, config: NearDedupConfig, scratch: Scratch) -> DataFrame:
+    """The links (u, v) that make the components of all links between members of a bucket.
+
+    ``members``: band, node, weight (not negative).  Each round proposes a bucket's members
+    against one pivot and finds other links by differences to it.
+    """
+    links, turn, total = [], 0, members.count()
+    while True:
+        pivot = members.groupBy("band").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("pivot"))
+        placed = members.join(pivot, "band")
+        proposed = placed.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+        compared = _compare(proposed, signatures, texts, config, scratch, f"{turn}")
+        links.append(compared.where("linked").select("u", "v"))
+        links.append(_links_by_differences(compared, config.threshold_percent, scratch, f"{turn}"))
+        # Unlinked members go on where one of them is open: far from the first pivot, so that its
+        # pairs are not settled by differences.  Those that are not open are settled among themselves.
+        near = compared.select(F.col("u").alias("node"), F.col("v").alias("pivot"), "linked")
+        left = placed.where("node <> pivot").join(near, ["node", "pivot"], "left").where("not coalesce(linked, false)")
+        is_open = F.col("linked").isNull() if turn == 0 else F.col("weight") >= 0
+        left = left.select("band", "node", F.when(is_open, F.col("weight")).otherwise(-1).alias("weight"))
+        going = left.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("top")).where("n > 1 and top >= 0")
+        members = scratch.save(left.join(going.select("band"), "band"), f"open{turn}")
+        turn += 1
+        opened = F.count_if(F.col("weight") >= 0)
+        rows, pairs = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), opened.alias("o")).agg(F.sum("n"), F.sum(F.expr("o * (n - o) + o * (o - 1) / 2"))).first()
+        if not rows:
+            break
+        if pairs <= config.few_pairs * total or turn >= config.pivot_rounds:
+            a, b = (members.select("band", F.col("node").alias(x), F.col("weight").alias(f"w{x}")) for x in "uv")
+            rest = a.join(b, "band").where("u > v and greatest(wu, wv) >= 0").select("u", "v").distinct()
+            links.append(_compare(rest, signatures, texts, config, scratch, "rest").where("linked").select("u", "v"))
+            break
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def keep_one_of_each_group(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()) -> DataFrame:
     """The rows of ``docs`` without those that ``near_duplicates`` drops; columns unchanged."""
     dropped = near_duplicates(docs, config).where("not kept").select("doc_id").distinct()
