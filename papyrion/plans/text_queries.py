@@ -148,7 +148,7 @@ _scalar("completeness", lambda: chunk_text.completeness("content"), COMPLETE)
 _scalar("chunk_type", lambda: chunk_text.chunk_type("content"), _case(chunk_text.CHUNK_TYPES, "unknown"))
 _scalar("semantic_role", lambda: chunk_text.semantic_role("content"), _case(chunk_text.SEMANTIC_ROLES, "main_content"))
 _scalar("md_doctype", lambda: metadata.document_type("content"), _case(metadata.DOCUMENT_TYPES, "unknown"))
-_scalar("complexity", lambda: F.round(chunk_text.complexity("content"), 6), f"round(least(coalesce(length(array_to_string({W}, '')) / nullif(len({W}), 0), 0) / 10, 1.0), 6)")
+_scalar("complexity", lambda: F.floor(chunk_text.complexity("content") * 1000000), f"CAST(floor(least(coalesce(length(array_to_string({W}, '')) / nullif(len({W}), 0), 0) / 10, 1.0) * 1000000) AS BIGINT)")
 _scalar("density", lambda: F.round(chunk_text.density("content"), 6), f"round(coalesce(len(list_distinct(list_transform({W}, lambda w: lower(w)))) / nullif(len({W}), 0), 0), 6)")
 _scalar("prod_concepts", lambda: F.array_join(chunk_text.simple_concepts("content"), ","), "array_to_string(list_filter(['business', 'intelligence', 'data', 'analysis', 'management', 'strategy', 'process'], lambda k: contains(lower(content), k))[1:5], ',')")
 _TOK = r"regexp_extract_all(content, '[\p{L}\p{N}_]+')"
