@@ -4,21 +4,27 @@ A small network predicts each word from the words in a window on both of its
 sides, as if the word were masked; a document's score is the sum of those
 conditional log-probabilities.
 
-The vocabulary comes from the counts of all words of all documents: the most
-frequent words have an entry of their own, all others share hashed entries.
-Words are predicted in two steps, first one of a few classes of like frequency
-and then the entry within it, so a word costs two short softmaxes.
-
-Training passes over every word of every document.  Each task trains from the
-same start on its own rows; parameters are then averaged, weighted by words, in
-a tree of tasks.  What is gathered grows with the number of tasks, and what the
-driver gets is one set of parameters.
+The vocabulary comes from the counts of all words of all documents and grows
+with them: every word that occurs ``min_count`` times has an entry of its own,
+all others share hashed entries.  A word of a shared entry has the entry's
+log-probability plus the log of its own share of the entry's occurrences, so
+the probabilities of all words add up to one.  Words are predicted in two steps,
+first one of the classes of like frequency and then the entry within it; there
+are about as many classes as half the entries of one.
+
+Training passes over every word of every document in a fixed number of rounds.
+A document's round follows from a hash of its id and text.  Each round has the
+gradient summed over all its words, wherever they lie, and takes one step from
+it (Adam), which is the start of the next round.  Neither the number of steps
+nor their size depends on how rows lie in files or partitions.  Gradients are
+added in a tree of tasks, as many as the cluster has cores; the driver gets one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,70 +37,125 @@ from papyrion.llm.scratch import Scratch, ship_package
 
 @dataclass(frozen=True)
 class WindowLmConfig:
+    #: At least; a larger vocabulary has more of both.
     classes: int = 16
     per_class: int = 32
+    #: Words that occur so often have an entry of their own.
+    min_count: int = 1000
+    #: Counts of words that occur so often go to every task; others are joined.
+    known_count: int = 100
     #: Entries at the end of the vocabulary that rare words are hashed to.
     rare: int = 64
     dim: int = 16
     window: int = 2
-    batch: int = 8192
-    rate: float = 0.5
+    #: Words at a time.
+    batch: int = 65536
+    rounds: int = 24
+    #: The first round's step; it falls to a tenth in the last.
+    rate: float = 0.2
     seed: int = 11
-    #: Models that one task adds up.
+    #: Gradients that one task adds up.
     fan_in: int = 32
 
     @property
     def size(self) -> int:
         return self.classes * self.per_class
 
+    def holding(self, words: int) -> WindowLmConfig:
+        """This with room for so many words of their own."""
+        if words + self.rare <= self.size:
+            return self
+        classes = math.ceil(math.sqrt((words + self.rare) / 2))
+        return replace(self, classes=classes, per_class=2 * classes)
+
 
 class Vocabulary:
     """Word hashes to entries; entry ``size`` stands for what lies outside a document."""
 
-    def __init__(self, hashes: np.ndarray, config: WindowLmConfig):
-        """``hashes``: of the frequent words, the most frequent first."""
-        self.order = np.argsort(hashes)
-        self.sorted = np.asarray(hashes, np.uint64)[self.order]
-        self.config = config
-
-    def entries(self, hashes: np.ndarray) -> np.ndarray:
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, rare_counts: np.ndarray, config: WindowLmConfig):
+        """``hashes``: of the words with known counts, the most frequent first; ``rare_counts``: occurrences of each shared entry."""
+        own = int((counts >= config.min_count).sum())
+        c = self.config = config.holding(own)
+        order = np.argsort(hashes)
+        self.sorted, n = hashes[order], counts[order]
+        shared = self._shared(self.sorted)
+        self.entry = np.where(order < own, order, shared).astype(np.int32)
+        #: Log of a word's share of its entry; one occurrence of an entry is kept for words that no document had.
+        self.rare_logs = np.log(rare_counts + 1.0)
+        self.share = np.where(order < own, 0.0, np.log(np.maximum(n, 1)) - self.rare_logs[shared - (c.size - c.rare)])
+        self.totals = np.zeros(c.size)
+        self.totals[:own] = counts[:own]
+        self.totals[c.size - c.rare :] = rare_counts + 1.0
+
+    def _shared(self, hashes: np.ndarray) -> np.ndarray:
         c = self.config
-        out = (c.size - c.rare + (hashes >> np.uint64(58)).astype(np.int64) % c.rare).astype(np.int32)
+        return c.size - c.rare + (hashes >> np.uint64(58)).astype(np.int64) % c.rare
+
+    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(entries, logs of shares, whether the count is known); an unknown count is taken for 1."""
+        out = self._shared(hashes).astype(np.int32)
+        share, known = np.zeros(len(hashes)), np.zeros(len(hashes), bool)
         if len(self.sorted) and len(hashes):
             at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-            hit = self.sorted[at] == hashes
-            out[hit] = self.order[at[hit]]
-        return out
+            known = self.sorted[at] == hashes
+            out[known], share[known] = self.entry[at[known]], self.share[at[known]]
+        share[~known] = -self.rare_logs[out[~known] - (self.config.size - self.config.rare)]
+        return out, share, known
+
+    def entries(self, hashes: np.ndarray) -> np.ndarray:
+        return self.look_up(hashes)[0]
 
     def contexts(self, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(words, contexts, offsets): each word's entry, and those around it, nearest first."""
         starts, ends, offsets = piece.words(SPACED)
         words = self.entries(piece.hashes(starts, ends))
+        return words, self.around(words, offsets), offsets
+
+    def around(self, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n, w, size = len(words), self.config.window, self.config.size
-        row = np.repeat(np.arange(piece.rows), np.diff(offsets))
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         padded, rows = np.full(n + 2 * w, size, np.int32), np.full(n + 2 * w, -1)
         padded[w : w + n], rows[w : w + n] = words, row
         around = np.empty((2 * w, n), np.int32)
         for i, by in enumerate(d for k in range(1, w + 1) for d in (-k, k)):
             around[i] = np.where(rows[w + by : w + by + n] == row, padded[w + by : w + by + n], size)
-        return words, around, offsets
+        return around
+
 
+def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(z) in place of z, and its sums by row."""
+    np.exp(np.minimum(z, 80, out=z), out=z)
+    return z, z.sum(axis=1)
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+def _log_picked(z: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The log-softmax of z at one column of each row."""
+    at = z[np.arange(len(z)), picked]
+    return at - np.log(_exp(z)[1])
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z, sums = _exp(z)
+    z /= sums[:, None]
+    return z
 
 
 class WindowLm:
     """h = tanh(sum over the window of E[place, word]); classes by C, entries within a class by W."""
 
-    def __init__(self, config: WindowLmConfig):
+    def __init__(self, config: WindowLmConfig, totals: np.ndarray | None = None):
+        """``totals``: occurrences of each entry, whose frequencies are the start of the biases."""
         c = self.config = config
         rng = np.random.default_rng(c.seed)
         draw = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
         self.E = draw(2 * c.window, c.size + 1, c.dim)
         self.C, self.Cb = draw(c.dim, c.classes), np.zeros(c.classes, np.float32)
         self.W, self.Wb = draw(c.classes, c.dim, c.per_class), np.zeros((c.classes, c.per_class), np.float32)
+        if totals is not None and totals.sum():
+            n = totals.reshape(c.classes, c.per_class)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                self.Cb[:] = np.maximum(np.log(n.sum(axis=1) / n.sum()), -30)
+                self.Wb[:] = np.maximum(np.nan_to_num(np.log(n / n.sum(axis=1, keepdims=True)), nan=0.0, neginf=-30), -30)
 
     def parameters(self) -> list[np.ndarray]:
         return [self.E, self.C, self.Cb, self.W, self.Wb]
@@ -116,7 +177,7 @@ class WindowLm:
         return np.tanh(h, out=h)
 
     def _by_class(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort((words // self.config.per_class).astype(np.int8), kind="stable")
+        order = np.argsort((words // self.config.per_class).astype(np.int16), kind="stable")
         ends = np.searchsorted(words[order] // self.config.per_class, np.arange(self.config.classes + 1))
         for k in range(self.config.classes):
             if ends[k + 1] > ends[k]:
@@ -124,35 +185,55 @@ class WindowLm:
 
     def log_probabilities(self, words: np.ndarray, around: np.ndarray) -> np.ndarray:
         h = self.hidden(around)
-        out = _log_softmax(h @ self.C + self.Cb)[np.arange(len(words)), words // self.config.per_class]
+        out = _log_picked(h @ self.C + self.Cb, words // self.config.per_class)
         for k, at in self._by_class(words):
-            out[at] += _log_softmax(h[at] @ self.W[k] + self.Wb[k])[np.arange(len(at)), words[at] % self.config.per_class]
+            out[at] += _log_picked(h[at] @ self.W[k] + self.Wb[k], words[at] % self.config.per_class)
         return out
 
-    def train(self, words: np.ndarray, around: np.ndarray, rate: float) -> None:
-        """One step of stochastic gradient descent on a batch."""
+    def gradient(self, words: np.ndarray, around: np.ndarray) -> list[np.ndarray]:
+        """Of the summed negative log-probability, in the order of ``parameters``."""
         c, n = self.config, len(words)
+        E, C, W, Wb = np.zeros_like(self.E), None, np.zeros_like(self.W), np.zeros_like(self.Wb)
         h = self.hidden(around)
-        p = np.exp(_log_softmax(h @ self.C + self.Cb))
+        p = _softmax(h @ self.C + self.Cb)
         p[np.arange(n), words // c.per_class] -= 1
         back = p @ self.C.T
-        self.C -= rate / n * (h.T @ p)
-        self.Cb -= rate / n * p.sum(axis=0)
+        C, Cb = h.T @ p, p.sum(axis=0)
         for k, at in self._by_class(words):
             hk = h[at]
-            q = np.exp(_log_softmax(hk @ self.W[k] + self.Wb[k]))
+            q = _softmax(hk @ self.W[k] + self.Wb[k])
             q[np.arange(len(at)), words[at] % c.per_class] -= 1
             back[at] += q @ self.W[k].T
-            self.W[k] -= rate / len(at) * (hk.T @ q)
-            self.Wb[k] -= rate / len(at) * q.sum(axis=0)
+            W[k], Wb[k] = hk.T @ q, q.sum(axis=0)
         back *= 1 - h * h
         for place in range(len(around)):
-            ids = around[place]
-            # a row's step is the mean over its words' gradients, so rare rows learn as fast as common ones
-            counts = np.bincount(ids, minlength=c.size + 1)
-            at = (ids.astype(np.int64)[:, None] * c.dim + np.arange(c.dim)).ravel()
-            sums = np.bincount(at, weights=back.ravel(), minlength=(c.size + 1) * c.dim).reshape(-1, c.dim)
-            self.E[place] -= (rate * sums / np.maximum(counts, 8)[:, None]).astype(np.float32)
+            order = np.argsort(around[place].astype(np.uint16 if c.size < 65536 else np.int32), kind="stable")
+            ids = around[place][order]
+            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if n else np.zeros(0, int)
+            if n:
+                E[place][ids[first]] = np.add.reduceat(back[order], first, axis=0)
+        return [E, C, Cb, W, Wb]
+
+    def train(self, words: np.ndarray, around: np.ndarray, rate: float) -> None:
+        """One step of plain gradient descent on a batch."""
+        for p, g in zip(self.parameters(), self.gradient(words, around)):
+            p -= (rate / len(words) * g).astype(np.float32)
+
+
+class Adam:
+    """Steps of like size for each parameter, however rare its words are."""
+
+    def __init__(self, config: WindowLmConfig, size: int):
+        self.config, self.done = config, 0
+        self.mean, self.square = np.zeros(size, np.float32), np.zeros(size, np.float32)
+
+    def step(self, flat: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        rate = self.config.rate * (1 - 0.9 * self.done / max(1, self.config.rounds - 1))
+        self.done += 1
+        self.mean += 0.2 * (gradient - self.mean)
+        self.square += 0.05 * (gradient * gradient - self.square)
+        m, v = self.mean / (1 - 0.8**self.done), self.square / (1 - 0.95**self.done)
+        return flat - rate * m / (np.sqrt(v) + 1e-9)
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -169,83 +250,169 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_vocabulary(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col: str = "text") -> Vocabulary:
-    top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(config.size - config.rare).collect()
-    return Vocabulary(np.array([r[0] for r in top], np.int64).view(np.uint64), config)
+def build_vocabulary(counts: DataFrame, config: WindowLmConfig = WindowLmConfig()) -> Vocabulary:
+    """From ``word_counts``."""
+    # 16 bytes for each word that occurs known_count times
+    top = counts.where(F.col("n") >= min(config.known_count, config.min_count)).orderBy(F.desc("n"), "word").toArrow()
+    entry = (F.shiftrightunsigned("word", 58) % config.rare).alias("entry")
+    rare = np.zeros(config.rare, np.int64)
+    for entry_, n in counts.where(F.col("n") < config.min_count).groupBy(entry).agg(F.sum("n")).collect():
+        rare[entry_] = n
+    return Vocabulary(top["word"].to_numpy().view(np.uint64), top["n"].to_numpy(), rare, config)
 
 
-def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col: str = "text") -> tuple[Vocabulary, WindowLm]:
-    """Vocabulary and network of all texts.  With no words at all the network is the untrained start."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lm")
-    vocabulary = build_vocabulary(docs, config, text_col)
-    # Vocabulary: one hash an entry.
-    shared = spark.sparkContext.broadcast(vocabulary)
-    schema = pa.schema([("words", pa.int64()), ("model", pa.binary())])
-
-    def fit(batches):
-        vocabulary = shared.value
-        model, seen, held = WindowLm(config), 0, []
+def _words_by_round(docs: DataFrame, vocabulary, config: WindowLmConfig, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """(words, lengths, round): the entries of the documents of each round, some at a time."""
+    keys = [F.col(c).cast("string") for c in (id_col, text_col) if c in docs.columns]
+    source = docs.select(F.col(text_col).cast("string"), F.pmod(F.xxhash64(*keys), F.lit(config.rounds)).cast("int"))
+
+    def run(batches):
         for batch in batches:
             for piece in pieces(batch.column(0)):
-                words, around, _ = vocabulary.contexts(piece)
-                for at in range(0, len(words), config.batch):
-                    model.train(words[at : at + config.batch], around[:, at : at + config.batch], config.rate)
-                seen += len(words)
-        if seen:
-            weighted = model.flat().astype(np.float64) * seen
-            held = [pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([weighted.astype(np.float32).tobytes()], pa.binary())], schema=schema)]
-        yield from held
+                words, _, offsets = piece_entries(vocabulary.value, piece)
+                rounds = batch.column(1).slice(piece.first, piece.rows).to_numpy()
+                lengths = np.diff(offsets).astype(np.int32)
+                of_word = np.repeat(rounds, lengths)
+                here = np.unique(rounds)
+                columns = [[words[of_word == r].tobytes() for r in here], [lengths[rounds == r].tobytes() for r in here], here]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int32())], names=["words", "lengths", "round"])
+
+    shape = "words binary, lengths binary, round int"
+    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
+    source.coalesce(tasks).mapInArrow(run, shape).write.partitionBy("round").parquet(scratch.path("words"))
+    return docs.sparkSession.read.schema(shape).parquet(scratch.path("words"))
+
+
+def piece_entries(vocabulary: Vocabulary, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entries, hashes, offsets) of the words of a piece."""
+    starts, ends, offsets = piece.words(SPACED)
+    hashes = piece.hashes(starts, ends)
+    return vocabulary.entries(hashes), hashes, offsets
+
+
+def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col: str = "text", id_col: str = "doc_id", counts: DataFrame | None = None) -> tuple[Vocabulary, WindowLm]:
+    """Vocabulary and network of all texts.  With no words at all the network is the untrained start."""
+    spark = docs.sparkSession
+    sc, scratch = spark.sparkContext, Scratch(spark, "lm")
+    counts = scratch.save(word_counts(docs, text_col), "counts") if counts is None else counts
+    vocabulary = build_vocabulary(counts, config)
+    sized = vocabulary.config
+    model = WindowLm(sized, vocabulary.totals)
+    # Some 350 bytes for each word with an entry of its own.
+    table = _words_by_round(docs, sc.broadcast(vocabulary), config, scratch, id_col, text_col)
+    schema = pa.schema([("words", pa.int64()), ("gradient", pa.binary())])
+
+    def result(n, total):
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], schema=schema)
+
+    def fit(start):
+        def run(batches):
+            vocabulary, flat = start.value
+            model, seen, total = WindowLm(sized).load(flat), 0, None
+            held, size = [], 0
+
+            def use():
+                nonlocal seen, total, held, size
+                words, lengths = (np.concatenate(x) for x in zip(*held))
+                around = vocabulary.around(words, np.concatenate([[0], np.cumsum(lengths)]))
+                for at in range(0, len(words), sized.batch):
+                    parts = model.gradient(words[at : at + sized.batch], around[:, at : at + sized.batch])
+                    total = parts if total is None else [a + b for a, b in zip(total, parts)]
+                seen, held, size = seen + len(words), [], 0
+
+            for batch in batches:
+                for w, n in zip(batch.column(0), batch.column(1)):
+                    held.append((np.frombuffer(w.as_py(), np.int32), np.frombuffer(n.as_py(), np.int32)))
+                    size += len(held[-1][0])
+                    if size >= sized.batch:
+                        use()
+            if size:
+                use()
+            yield from result(seen, np.concatenate([p.ravel() for p in total]).astype(np.float32) if seen else None)
+
+        return run
 
     def add(batches):
         seen, total = 0, None
         for batch in batches:
-            for n, model in zip(batch.column(0), batch.column(1)):
-                flat = np.frombuffer(model.as_py(), np.float32).astype(np.float64)
+            for n, one in zip(batch.column(0), batch.column(1)):
+                flat = np.frombuffer(one.as_py(), np.float32)
                 total = flat if total is None else total + flat
                 seen += n.as_py()
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], schema=schema)
-
-    models = scratch.save(docs.select(F.col(text_col).cast("string")).mapInArrow(fit, "words long, model binary"), "models0")
-    left, level = models.count(), 0
-    while left > 1:
-        level += 1
-        parts = -(-left // config.fan_in)
-        models = scratch.save(models.coalesce(parts).mapInArrow(add, "words long, model binary"), f"models{level}")
-        left = models.count()
-    found = models.collect()
-    model = WindowLm(config)
-    if found:
-        model.load((np.frombuffer(found[0]["model"], np.float32) / found[0]["words"]).astype(np.float32))
-    return vocabulary, model
-
-
-def score_documents(docs: DataFrame, vocabulary: Vocabulary, model: WindowLm, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        yield from result(seen, total)
+
+    flat = model.flat()
+    adam = Adam(sized, len(flat))
+    around = _Around(sized)
+    for i in range(config.rounds):
+        start = sc.broadcast((around, flat))
+        left = sc.defaultParallelism
+        summed = table.where(F.col("round") == i).select("words", "lengths").coalesce(left).mapInArrow(fit(start), "words long, gradient binary")
+        while left > 1:
+            left = -(-left // config.fan_in)
+            summed = summed.repartition(left).mapInArrow(add, "words long, gradient binary")
+        found = summed.collect()
+        start.destroy()
+        if found:
+            flat = adam.step(flat, np.frombuffer(found[0]["gradient"], np.float32) / np.float32(found[0]["words"]))
+    scratch.drop("words")
+    return vocabulary, model.load(flat)
+
+
+def score_documents(docs: DataFrame, vocabulary: Vocabulary, model: WindowLm, id_col: str = "doc_id", text_col: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """(id, n_words, log_likelihood, perplexity) of each whole text.
 
     ``log_likelihood`` sums the natural log-probability of each word given its
     window; ``perplexity`` is exp of its negated mean.  A null, empty or blank
-    text has no words, a sum of 0 and a null perplexity.
+    text has no words, a sum of 0 and a null perplexity.  ``counts`` are those
+    of the corpus (``word_counts``); a word that is neither there nor known to
+    the vocabulary counts as one occurrence.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     kind = source.schema[0].dataType.simpleString()
-    # Parameters: about 0.2 MB, whatever the corpus.
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, model))
+    shared = spark.sparkContext.broadcast((vocabulary, model))
+    shape = f"`{id_col}` {kind}, n_words long, log_likelihood double, rare array<long>"
 
     def run(batches):
         vocabulary, model = shared.value
-        step = 4 * model.config.batch
+        step = model.config.batch
         for batch in batches:
             for piece in pieces(batch.column(1)):
-                words, around, offsets = vocabulary.contexts(piece)
+                starts, ends, offsets = piece.words(SPACED)
+                hashes = piece.hashes(starts, ends)
+                words, share, known = vocabulary.look_up(hashes)
+                around = vocabulary.around(words, offsets)
                 parts = [model.log_probabilities(words[at : at + step], around[:, at : at + step]) for at in range(0, len(words), step)]
-                sums = np.concatenate([[0.0], np.cumsum(np.concatenate(parts), dtype=np.float64)]) if parts else np.zeros(1)
+                sums = np.concatenate([[0.0], np.cumsum(np.concatenate(parts) + share, dtype=np.float64)]) if parts else np.zeros(1)
                 total, n = sums[offsets[1:]] - sums[offsets[:-1]], np.diff(offsets)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    perplexity = np.exp(-total / n)
-                columns = [batch.column(0).slice(piece.first, piece.rows), pa.array(n.astype(np.int64)), pa.array(total), pa.array(perplexity, mask=n == 0)]
-                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_words", "log_likelihood", "perplexity"])
+                ends_of = np.concatenate([[0], np.cumsum(~known)])[offsets]
+                rare = pa.ListArray.from_arrays(pa.array(ends_of.astype(np.int32)), pa.array(hashes[~known].view(np.int64)))
+                columns = [batch.column(0).slice(piece.first, piece.rows), pa.array(n.astype(np.int64)), pa.array(total), rare]
+                yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_words", "log_likelihood", "rare"])
+
+    scored = source.mapInArrow(run, shape)
+    total = F.col("log_likelihood")
+    if counts is not None:
+        # the counts of words that are not in the vocabulary: each is rare, so no key is hot
+        scored = Scratch(spark, "lm").save(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+        rest = counts.where((F.col("n") > 1) & (F.col("n") < min(vocabulary.config.known_count, vocabulary.config.min_count)))
+        more = scored.select("row", F.explode("rare").alias("word")).join(rest, "word").groupBy("row").agg(F.sum(F.log("n")).alias("more"))
+        scored, total = scored.join(more, "row", "left"), total + F.coalesce("more", F.lit(0.0))
+    out = scored.select(id_col, "n_words", total.alias("log_likelihood"))
+    return out.withColumn("perplexity", F.when(F.col("n_words") > 0, F.exp(-F.col("log_likelihood") / F.col("n_words"))))
+
+
+class _Around(Vocabulary):
+    """Only what ``around`` needs."""
+
+    def __init__(self, config: WindowLmConfig):
+        self.config = config
+
 
-    return source.mapInArrow(run, f"`{id_col}` {kind}, n_words long, log_likelihood double, perplexity double")
+def score_corpus(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``score_documents`` by a network of the same documents."""
+    counts = Scratch(docs.sparkSession, "lm").save(word_counts(docs, text_col), "counts")
+    return score_documents(docs, *train(docs, config, text_col, id_col, counts), id_col, text_col, counts)

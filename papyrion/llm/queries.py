@@ -136,8 +136,7 @@ FROM grouped JOIN base32 USING (h)
 
 @_query
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
-    return lm_scoring.score_documents(docs, *lm_scoring.train(docs))
+    return lm_scoring.score_corpus(_table(spark, folder, "documents"))
 
 
 @_query

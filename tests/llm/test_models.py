@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,6 +76,29 @@ def test_language_model_beats_word_frequencies(spark):
     assert lm_scoring.score_documents(docs.limit(0), v, m).count() == 0
 
 
+def test_language_model_grows_and_tells_rare_words_apart(spark):
+    texts = [" ".join(["common"] * 40 + [f"w{i}"] * (1 + i % 3)) for i in range(900)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = lm_scoring.word_counts(docs).cache()
+    assert lm_scoring.build_vocabulary(counts, lm_scoring.WindowLmConfig(min_count=1)).config.size >= 901 + 64
+    config = lm_scoring.WindowLmConfig(min_count=1000, known_count=3, rounds=2)
+    vocabulary, model = lm_scoring.train(docs, config, counts=counts)
+    probe = ["common w0 common", "common w1 common", "common w2 common", "common never common"]
+    rows = spark.createDataFrame(list(enumerate(probe)), "doc_id long, text string")
+    got = [r["log_likelihood"] for r in lm_scoring.score_documents(rows, vocabulary, model, counts=counts).orderBy("doc_id").collect()]
+    assert len(set(np.round(got, 6))) == 4
+    # over all words and one that no text had, the probabilities in a window add up to 1
+    words = ["common", *(f"w{i}" for i in range(900))]
+    rows = spark.createDataFrame([(i, f"common {w} common") for i, w in enumerate(words)], "doc_id long, text string")
+    found = {r["doc_id"]: r["log_likelihood"] for r in lm_scoring.score_documents(rows, vocabulary, model, counts=counts).collect()}
+    piece = next(pieces(pa.array([f"common {w} common" for w in words])))
+    around, offsets = vocabulary.contexts(piece)[1:]
+    entries = vocabulary.contexts(piece)[0]
+    ends = [sum(model.log_probabilities(entries[o + k : o + k + 1], around[:, o + k : o + k + 1])[0] for k in (0, 2)) for o in offsets[:-1]]
+    # one occurrence of each shared entry is left for unseen words
+    assert 0.93 < sum(np.exp(found[i] - e) for i, e in enumerate(ends)) <= 1.0001
+
+
 def test_language_model_gradient():
     """A step along the gradient raises the likelihood of the batch."""
     config = lm_scoring.WindowLmConfig()
