@@ -99,6 +99,16 @@ def test_language_model_grows_and_tells_rare_words_apart(spark):
     assert 0.93 < sum(np.exp(found[i] - e) for i, e in enumerate(ends)) <= 1.0001
 
 
+def test_language_model_does_not_depend_on_partitions(spark):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, prose(rng, 200)) for i in range(60)], "doc_id long, text string")
+    scores = []
+    for n in (1, 40):
+        rows = docs.repartition(n)
+        scores.append({r["doc_id"]: r["log_likelihood"] for r in lm_scoring.score_documents(rows, *lm_scoring.train(rows)).collect()})
+    assert all(scores[1][i] == pytest.approx(v, rel=1e-3) for i, v in scores[0].items())
+
+
 def test_language_model_gradient():
     """A step along the gradient raises the likelihood of the batch."""
     config = lm_scoring.WindowLmConfig()
