@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrion.llm.quality_classifier import sample_labelled, training_rows
-from papyrion.llm.scratch import ship_package
+from papyrion.llm.scratch import Scratch, ship_package
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "other", "insult", "threat", "target", "negation", "report"
 
@@ -177,15 +177,15 @@ def learn_insults(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = T
     """Word beginnings that mark toxic documents, with weights from 0 to 1.
 
     Learned from a bounded sample of the labelled rows that are not held out.
-    Near copies would make all their words look toxic, so of documents with the
-    same least word hash one counts.  A beginning has to be rarer by chance
+    Near copies would make all their words look toxic, so of copies with one label
+    one counts (``_without_copies``).  A beginning has to be rarer by chance
     than once among all beginnings tested; greedy multi-cover then takes as few
     as explain each document ``cover`` times.  No labels give no insults.
     """
     sample = sample_labelled(docs, labels, label, config.sample_per_class, training_rows())
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= config.min_prefix)
-    kept = sample.select("label", F.array_distinct(words).alias("w")).withColumn("key", F.array_min(F.transform("w", lambda w: F.xxhash64(w))))
-    kept = kept.where("key is not null").groupBy("key").agg(F.max_by(F.struct("label", "w"), F.struct(F.size("w"), "label")).alias("d")).select("key", "d.label", "d.w")
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    kept = _without_copies(sample.select("label", F.array_distinct(words).alias("w"), _shingles(F.lower("text")).alias("s")).where(F.size("w") > 0), scratch)
     beginnings = F.array_distinct(F.flatten(F.transform("w", lambda w: F.transform(F.sequence(F.lit(config.min_prefix), F.least(F.length(w), F.lit(config.max_prefix))), lambda n: F.substring(w, F.lit(1), n)))))
     each = kept.select("key", "label", F.explode(beginnings).alias("p"))
     counts = each.groupBy("p").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).where(f"pos >= {config.min_documents}")
@@ -197,8 +197,10 @@ def learn_insults(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = T
     tested = counts.select("p", "pos", "n").collect()  # bounded by the sample's words
     for p, pos, n in tested:
         weight = math.log((pos + 0.5) / (positives + 1)) - math.log((n - pos + 0.5) / (everything - positives + 1))
+        if weight < config.min_log_odds or n - pos > 0.05 * pos:
+            continue
         chance = sum(math.comb(n, i) * base**i * (1 - base) ** (n - i) for i in range(pos, min(n, pos + 30) + 1)) if n < 400 else 0.0
-        if weight >= config.min_log_odds and chance * max(1, len(tested)) < 1 and n - pos <= 0.05 * pos:
+        if chance * max(1, len(tested)) < 1:
             odds.append((p, min(1.0, weight / 6 + 0.25)))
     if not odds:
         return {}
@@ -208,6 +210,36 @@ def learn_insults(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = T
     return _multi_cover({p: (w, frozenset(k)) for p, w, k in holders}, config.cover)
 
 
+def _shingles(text, k: int = 3):
+    """Sorted distinct hashes of the k-word shingles of a text column; fewer words are one."""
+    tokens = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    starts = lambda a: F.sequence(F.lit(1), F.greatest(F.size(a) - (k - 1), F.lit(1)))
+    # the list of one keeps tokens from being split anew for each shingle
+    found = F.flatten(F.transform(F.array(tokens), lambda a: F.transform(starts(a), lambda i: F.xxhash64(F.slice(a, i, k)))))
+    return F.array_sort(F.array_distinct(found))
+
+
+def _without_copies(rows: DataFrame, scratch: Scratch, least: float = 0.8, bands: int = 8, width: int = 3) -> DataFrame:
+    """(key, label, w) of the rows (label, w, s), one for each shingle set ``s`` and label, less near copies of one that stays.
+
+    Sets of one label that agree in a band of minimum hashes are compared with the
+    largest of them, shingle by shingle; a set goes if its Jaccard index with that
+    one, which itself stays, is ``least``.
+    """
+    one = rows.withColumn("key", F.xxhash64("s", "label")).groupBy("key").agg(F.first("label").alias("label"), F.first("w").alias("w"), F.first("s").alias("s"))
+    one = scratch.save(one, "sets")
+    least_hash = lambda i: F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(i))))
+    keys = F.array(*(F.xxhash64(F.lit(b), "label", *(least_hash(b * width + j) for j in range(width))) for b in range(bands)))
+    banded = one.select("key", F.size("s").alias("n"), F.explode(keys).alias("band"))
+    pivots = banded.groupBy("band").agg(F.max(F.struct("n", "key")).alias("p")).select("band", F.col("p.key").alias("pivot"))
+    pairs = banded.join(pivots, "band").where("key <> pivot").select("key", "pivot").distinct()
+    both = pairs.join(one.select("key", "s"), "key").join(one.select(F.col("key").alias("pivot"), F.col("s").alias("t")), "pivot")
+    shared = F.size(F.array_intersect("s", "t"))
+    links = scratch.save(both.where(shared >= least * (F.size("s") + F.size("t") - shared)).select("key", "pivot"), "copies")
+    gone = links.join(links.select(F.col("key").alias("pivot")), "pivot", "left_anti")
+    return scratch.save(one.join(gone, "key", "left_anti").select("key", "label", "w"), "kept")
+
+
 def _multi_cover(found: dict[str, tuple[float, frozenset[int]]], cover: int) -> dict[str, float]:
     need, out = {}, {}
     for _, (_, keys) in found.items():

@@ -59,6 +59,18 @@ def test_toxicity_learns_words_and_reads_clauses(spark):
     assert g.score("an idiotic thing; not here") >= 0.5 and g.score("I will kill you") > g.score("they kill time")
 
 
+def test_only_real_copies_are_dropped(spark):
+    from papyrion.llm.scratch import Scratch
+
+    # "common" is the least hash of all for some seed; texts that share it are no copies
+    sets = [(i % 2, ["common", *(f"w{i}x{j}" for j in range(20 + i))]) for i in range(40)]
+    copy = [f"copy{j}" for j in range(50)]
+    sets += [(1, copy), (1, copy), (1, [*copy[:-2], "other"]), (0, [*copy, "clean"])]
+    rows = spark.createDataFrame([(n, w, " ".join(w)) for n, w in sets], "label int, w array<string>, text string").withColumn("s", toxicity._shingles(F.col("text")))
+    kept = [(r["label"], r["w"]) for r in toxicity._without_copies(rows, Scratch(spark, "test")).collect()]
+    assert len(kept) == 42 and (1, copy) in kept and (0, [*copy, "clean"]) in kept
+
+
 def test_language_model_beats_word_frequencies(spark):
     rng = random.Random(4)
     loop = "alpha beta gamma delta epsilon zeta eta theta".split()
