@@ -81,6 +81,18 @@ def test_neighbours_share_their_template(spark):
     assert got[100] == "Site name kept Contact us"
 
 
+def test_pages_with_articles_are_neighbours(spark):
+    frame = "<div>Site name</div>{}<p>Contact us</p>"
+    rows = [
+        (1, "http://h.org/a", frame.format("<article>Story</article>")),
+        (2, "http://h.org/b", frame.format("<!-- <article> --><div>Own words</div>")),
+        (3, "http://i.org/a", frame.format("<main>News</main>")),
+        (4, "http://i.org/b", frame.format("<aside><article>Card</article></aside><div>Plain page</div>")),
+    ]
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got == {1: ("Story", 5), 2: ("Own words", 9), 3: ("News", 4), 4: ("Plain page", 10)}
+
+
 def test_common_subsequence():
     a, b = list("xabcdefy"), list("qacbdfz")
     i = sorted(html_extract.shared_lines(a, b))
