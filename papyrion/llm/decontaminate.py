@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from papyrion.llm.bytewords import ALNUM, LOWER, Piece, pieces
 from papyrion.llm.scratch import ship_package
@@ -293,24 +294,61 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, config: Decontam
     ship_package(spark)
     schema = docs.schema
     text_at = schema.fieldNames().index("text")
-    blocks = list(_blocks(benchmark, "item_id", "text", config.max_block_words)) or [[]]
-    out = docs
-    for i, block in enumerate(blocks):
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(block, config.window))
-        out = out.mapInArrow(_cut(shared, text_at, config), schema)
+    blocks = _blocks(benchmark, "item_id", "text", config.max_block_words)
+    block, out = next(blocks, []), docs
+    while True:
+        following = next(blocks, None)
+        shared, carried = spark.sparkContext.broadcast(SuffixAutomaton(block, config.window)), _SPANS in out.columns
+        if following is None:
+            out = out.mapInArrow(_cut(shared, text_at, config, carried), schema)
+            break
+        # every block sees the whole text; what was found is cut when all of them have been
+        out = out.mapInArrow(_mark(shared, text_at, carried), StructType([*schema.fields, StructField(_SPANS, ArrayType(LongType()))]))
+        block = following
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(schema["n_chars"].dataType), "n_chars"))
     return out
 
 
-def _cut(shared, text_at: int, config: DecontaminationConfig):
+#: The column with the spans that earlier blocks of items have found.
+_SPANS = "papyrion_spans"
+
+
+def _joined(mask: np.ndarray | None, n: int, spans: list[int] | None) -> np.ndarray | None:
+    """A row's hit mask with spans found before."""
+    if spans:
+        mask = np.zeros(n, bool) if mask is None else mask
+        for a, b in zip(spans[::2], spans[1::2]):
+            mask[a:b] = True
+    return mask
+
+
+def _mark(shared, text_at: int, carried: bool):
+    def run(batches):
+        automaton = shared.value
+        for batch in batches:
+            for piece in pieces(batch.column(text_at)):
+                rows = batch.slice(piece.first, piece.rows)
+                columns, spans = rows.columns[: rows.num_columns - carried], []
+                for r, _, n, mask, _ in hits(piece, automaton):
+                    mask = _joined(mask, n, rows.column(rows.num_columns - 1)[r].as_py() if carried else None)
+                    spans.append(_spans(mask) if mask is not None else [])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, pa.list_(pa.int64()))], names=[*rows.schema.names[: len(columns)], _SPANS])
+
+    return run
+
+
+def _cut(shared, text_at: int, config: DecontaminationConfig, carried: bool):
     def run(batches):
         automaton = shared.value
         for batch in batches:
             for piece in pieces(batch.column(text_at)):
                 rows = batch.slice(piece.first, piece.rows)
                 texts, keep, starts = {}, np.ones(piece.rows, bool), None
+                if carried:
+                    found, rows = rows.column(rows.num_columns - 1), rows.select(rows.schema.names[:-1])
                 for r, first, n, mask, _ in hits(piece, automaton):
+                    mask = _joined(mask, n, found[r].as_py() if carried else None)
                     if mask is None:
                         continue
                     if starts is None:

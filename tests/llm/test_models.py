@@ -208,6 +208,19 @@ def test_spans_are_cut_out(spark):
     assert set(got) == {1, 3, 4} and got[4]["text"] == "clean"
 
 
+def test_spans_do_not_depend_on_blocks(spark):
+    say = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    # the second item overlaps the first in text 2, and the third spans what lies around the first in text 3
+    third = f"{say('c', 6)} {say('d', 6)}"
+    items = [(1, say("a", 20)), (2, f"{say('a', 20)[-30:]} {say('b', 12)}".split(" ", 1)[1]), (3, third)]
+    docs = [(1, f"{say('a', 20)} clean {say('c', 6)} {say('d', 6)} text"), (2, f"{say('z', 60)} {say('a', 20)} {say('b', 12)} {say('y', 60)}"), (3, f"{say('z', 60)} {say('c', 6)} {say('a', 20)} {say('d', 6)} {say('y', 60)}"), (4, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string").coalesce(1)
+    configs = (decontaminate.DecontaminationConfig(), decontaminate.DecontaminationConfig(max_block_words=1))
+    one, many = ({r["doc_id"]: r["text"] for r in decontaminate.remove_contamination(d, b, c).collect()} for c in configs)
+    assert one == many and 1 not in one
+    assert one[2] == f"{say('z', 60)} {say('y', 60)}" and "c5 d0" in one[3]
+
+
 def test_words_over_bytes():
     import re
 
