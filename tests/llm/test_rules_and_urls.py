@@ -113,6 +113,25 @@ def test_archives_round_trip(spark):
     assert warc.archive_round_trip(rows.limit(0)).count() == 0
 
 
+def test_damage_inside_a_member_costs_one_record():
+    import random
+
+    rng = random.Random(8)
+    records = [warc.record("resource", {"WARC-Record-ID": f"<r{i}>"}, rng.randbytes(40_000)) for i in range(5)]
+    names = lambda found: [r.fields["warc-record-id"] for r in found if isinstance(r, warc.Record)]
+    plain = bytearray(b"".join(records))
+    plain[100_500] ^= 1  # in the third record, before compression
+    found = list(warc.read_records(warc.member(bytes(plain), 1) + warc.member(records[0], 1)))
+    assert names(found) == ["<r0>", "<r1>", "<r3>", "<r4>", "<r0>"] and sum(isinstance(g, warc.Gap) for g in found) == 1
+    whole = warc.member(b"".join(records), 1)
+    cut = list(warc.read_records(whole[: len(whole) // 2]))
+    assert names(cut) == ["<r0>", "<r1>"] and isinstance(cut[-1], warc.Gap)
+    stored = bytearray(warc.member(b"".join(records), 0))
+    stored[100_500] ^= 1
+    found = list(warc.read_records(bytes(stored)))
+    assert names(found) == ["<r0>", "<r1>", "<r3>", "<r4>"] and isinstance(found[-1], warc.Gap)
+
+
 @pytest.mark.parametrize("compress", [True, False])
 def test_damage_costs_one_record(compress):
     records = [warc.record("resource", {"WARC-Record-ID": f"<r{i}>"}, f"body {i} ".encode() * 50) for i in range(5)]
