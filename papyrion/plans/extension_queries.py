@@ -62,7 +62,7 @@ def _content_roi(spark, folder):
 @query("tfidf_kmeans")
 def _tfidf_kmeans(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
-    return extensions.topics(docs, 4, terms=300)
+    return extensions.topics(docs, max(2, min(20, docs.count() // 10)))
 
 
 @query("hybrid_query")

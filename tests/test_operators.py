@@ -106,3 +106,15 @@ def test_stream_of_files(spark, folder, tmp_path):
 def test_config_names():
     c = from_mapping({"version": "2.0.0", "chunking": {"chunk_size": 50, "strategy": "fixed"}, "validation": {"min_quality_score": 70}, "extraction": {"pdf": {"primary_method": "text"}}})
     assert (c.version, c.chunking.size, c.chunking.strategy, c.min_quality_score, c.extraction.primary) == ("2.0.0", 50, "fixed", 70, "text")
+
+
+def test_topics_query_follows_the_table(spark, tmp_path):
+    from papyrion.plans import catalog
+
+    words = [f"w{i:03d}" for i in range(400)]
+    # the last 100 words are the rarest of 400, and the only ones of the last documents
+    texts = [" ".join(words[:300])] * 2 + [" ".join(words[300 + 5 * i : 305 + 5 * i]) for i in range(20)] + [" ".join(words[15 * i : 15 * i + 15]) for i in range(20)] * 9
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = catalog.QUERIES["tfidf_kmeans"](spark, str(tmp_path)).collect()
+    assert len(found) > 4 and sum(r["documents"] for r in found) == len(texts)
+    assert any(w >= "w300" for r in found for w in r["top_terms"].split(","))
