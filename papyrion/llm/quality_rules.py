@@ -92,6 +92,10 @@ def judge_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text_
     failed, not kept, and its clean text is null.  ``lost_chars`` counts the
     characters in words of failed lines; ``clean_text`` is the text without
     those lines.
+
+    The columns come out of a generator (one row in, one row out).  A filter on
+    them stays above it; pushed below, it would inline the split of the text
+    into the functions that run for each word.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars", "base_failed", "kept", "clean_text"]
     own = [c for c in docs.columns if c not in made]
@@ -100,7 +104,7 @@ def judge_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text_
     lines = F.filter(F.split("_t", "\n"), has_word)
     out = out.select("*", lines.alias("_lines"), F.transform(F.split("_t", "\n"), lambda x: F.struct(x.alias("x"), (has_word(x) & line_fails(x, rules)).alias("bad"))).alias("_judged"))
     bad = F.transform(F.filter("_judged", lambda j: j["bad"]), lambda j: j["x"])
-    out = out.select(
+    counted = out.select(
         *own,
         F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
@@ -111,8 +115,9 @@ def judge_documents(docs: DataFrame, rules: QualityRules = QualityRules(), text_
         F.when(F.col(text_col).isNotNull(), F.array_join(F.transform(F.filter("_judged", lambda j: ~j["bad"]), lambda j: j["x"]), "\n")).alias("clean_text"),
     )
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
-    out = out.withColumn("base_failed", failed)
-    return out.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= rules.max_lost_percent * F.col("word_chars")))
+    counted = counted.withColumn("base_failed", failed)
+    counted = counted.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= rules.max_lost_percent * F.col("word_chars")))
+    return counted.select(*own, F.inline(F.array(F.struct(*made))))
 
 
 def keep_clean_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:

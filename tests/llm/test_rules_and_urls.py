@@ -1,6 +1,8 @@
 """Quality rules, URL filters, HTML extraction and WARC archives."""
 
+import os
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from papyrion.llm import html_extract, quality_rules, url_filter, warc
 
+FOLDER = "/root/testdata/sf0.01"
 PROSE = "The house stands by the river and the people of the town go there often. " * 6
 
 
@@ -43,6 +46,21 @@ def test_lines_decide(spark):
     assert {(r["doc_id"], r["n_chars"]) for r in kept} == {(1, len(prose)), (3, len(prose))}
 
 
+def test_filters_stay_above_the_splits(spark):
+    docs = spark.createDataFrame([(1, PROSE)], "doc_id long, text string")
+    plan = quality_rules.keep_clean_documents(docs)._jdf.queryExecution().optimizedPlan().toString()
+    filters = plan[plan.index("Filter") : plan.index("Generate")]
+    assert "split(" not in filters and "transform(" not in filters
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+def test_filtering_costs_no_more_than_judging(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    began = time.time()
+    quality_rules.keep_clean_documents(docs).write.format("noop").mode("overwrite").save()
+    assert time.time() - began < 30
+
+
 URLS = ["http://a.example.com/en/7x?q", "https://EXAMPLE.com/en/8", "http://x.net/de/", "http://example.net/de/8#t", "http://example.net/de", "ftp://h.org/es/1", "no scheme", None, "http://?q", "http://com/en/", "http://notcom/en/", "x://y://z.com/en/"]
 RULES = ["example.com/en/7", "com/en/", "net/de/", "example.net/de/8", None, "org/es/", None, None, None, "com/en/", None, None]
 
