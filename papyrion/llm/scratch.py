@@ -1,13 +1,14 @@
 """Intermediate tables in the folder that a cluster's machines share.
 
 Iterative jobs cut their lineage by writing a table and reading it back.  The
-folder is ``spark.checkpoint.dir``; where a session has none (tests), one
-temporary folder is made and set for the whole session.
+folder is ``spark.checkpoint.dir``; where a session on one machine has none
+(tests), one temporary folder is made and set for the whole session.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,8 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("papyrion.scratch.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         folder = "file://" + tempfile.mkdtemp(prefix="papyrion-")
         spark.conf.set("papyrion.scratch.dir", folder)
         sc.setCheckpointDir(folder)
@@ -51,8 +54,26 @@ class Scratch:
         df.write.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def _in_hadoop(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def write_bytes(self, data: bytes, name: str) -> str:
+        """Write a small file and return its URI."""
+        path, files = self._in_hadoop(name)
+        out = files.create(path)
+        out.write(data)
+        out.close()
+        return self.path(name)
+
     def drop(self, name: str) -> None:
         """Delete a table that no returned DataFrame reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, files = self._in_hadoop(name)
+        files.delete(path, True)
+
+    def drop_all_but(self, *names: str) -> None:
+        """Delete the job's tables that no returned DataFrame reads any more."""
+        path, files = self._in_hadoop("")
+        for found in files.listStatus(path):
+            if found.getPath().getName() not in names:
+                files.delete(found.getPath(), True)

@@ -2,9 +2,9 @@
 
 A rule is a host and the beginning of a path.  The driver hashes each rule's
 key with xxHash64, sorts the digests and writes them with the keys to one file
-that Spark hands to every machine.  Tasks memory-map the digests, so all
-workers of a machine share the pages, and probe them with a vectorised binary
-search.  A URL's keys are its host and parent domains joined with those
+in the shared folder, which Spark hands to every machine.  Tasks memory-map that
+file, keys included, so all workers of a machine share the pages, and probe the
+digests with a vectorised binary search.  A URL's keys are its host and parent domains joined with those
 beginnings of its path whose lengths occur in some rule; Spark hashes them with
 its own xxHash64.  A hit counts only if the stored key equals the URL's key.
 
@@ -14,9 +14,6 @@ the same keys instead, which needs no table on any one machine.
 
 from __future__ import annotations
 
-import json
-import os
-import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -28,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from papyrion.llm.scratch import ship_package
+from papyrion.llm.scratch import Scratch
 
 _SEED = 42  # Spark's xxhash64 uses this seed
 
@@ -63,25 +60,36 @@ def digest(key: str) -> int:
 
 
 class DigestTable:
-    """Sorted digests, memory-mapped, with the full keys to confirm a hit."""
+    """Sorted digests, memory-mapped, with the full keys to confirm a hit.
+
+    The file: the number of rules, their digests, where each key begins in the
+    texts, where each verdict does (and the end of all), and the texts.
+    """
 
     @staticmethod
-    def write(rules: Sequence[UrlRule], folder: str) -> str:
-        """Write the table and return its path.  Of rules with equal keys the last one counts."""
+    def to_bytes(rules: Sequence[UrlRule]) -> bytes:
+        """Of rules with equal keys the last one counts."""
         rules = list({r.key: r for r in rules}.values())
         rules.sort(key=lambda r: (digest(r.key), r.key))
-        path = os.path.join(folder, f"url-rules-{uuid.uuid4().hex}.npy")
-        texts = json.dumps([[r.key, r.verdict, len(r.path)] for r in rules]).encode()
-        with open(path, "wb") as f:
-            f.write(np.array([len(rules)], "<i8").tobytes() + np.array([digest(r.key) for r in rules], "<i8").tobytes() + texts)
-        return path
+        texts = [t.encode() for r in rules for t in (r.key, r.verdict)]
+        limits = np.cumsum([0, *map(len, texts)])
+        return b"".join(np.asarray(x, "<i8").tobytes() for x in ([len(rules)], [digest(r.key) for r in rules], limits)) + b"".join(texts)
 
     def __init__(self, path: str):
-        n = int(np.fromfile(path, "<i8", 1)[0])
-        self.digests = np.memmap(path, "<i8", "r", 8, (n,)) if n else np.zeros(0, "<i8")
-        with open(path, "rb") as f:
-            f.seek(8 + 8 * n)
-            self.rules = json.loads(f.read())
+        numbers = int(np.fromfile(path, "<i8", 1)[0])
+        whole = np.memmap(path, np.uint8, "r")
+        self.digests = whole[8 : 8 + 8 * numbers].view("<i8")
+        self._limits = whole[8 + 8 * numbers : 16 + 24 * numbers].view("<i8")
+        self._texts = whole[16 + 24 * numbers :]
+
+    def _text(self, i: int) -> str:
+        return self._texts[self._limits[i] : self._limits[i + 1]].tobytes().decode()
+
+    def key(self, rule: int) -> str:
+        return self._text(2 * rule)
+
+    def verdict(self, rule: int) -> str:
+        return self._text(2 * rule + 1)
 
     def find(self, digests: np.ndarray, key_at) -> np.ndarray:
         """For each digest the index of the rule whose key equals ``key_at(i)``, else -1."""
@@ -92,7 +100,7 @@ class DigestTable:
         for i in hit:
             j = at[i]
             while j < len(self.digests) and self.digests[j] == digests[i]:  # digests may collide
-                if self.rules[j][0] == key_at(i):
+                if self.key(j) == key_at(i):
                     found[i] = j
                     break
                 j += 1
@@ -131,10 +139,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[UrlRule] = DEFAULT_RULES, id_c
     if sum(8 + len(r.key.encode()) + 16 for r in rules) > max_table_bytes:
         return _joined(located, rules, id_col, default)
     spark = pages.sparkSession
-    ship_package(spark)
-    file = DigestTable.write(rules, os.path.realpath(tempfile.mkdtemp(prefix="papyrion-urls-")))
-    spark.sparkContext.addFile(file)
-    name = os.path.basename(file)
+    name = f"url-rules-{uuid.uuid4().hex}"
+    spark.sparkContext.addFile(Scratch(spark, "urls").write_bytes(DigestTable.to_bytes(rules), name))
     keys = _keys(sorted({len(r.path) for r in rules}))
     keyed = located.select("*", keys.alias("k")).select(id_col, "host", "path", F.col("k.key").alias("keys"), F.transform("k", lambda k: F.xxhash64(k["key"])).alias("digests"))
 
@@ -148,10 +154,10 @@ def filter_urls(pages: DataFrame, rules: Sequence[UrlRule] = DEFAULT_RULES, id_c
             best = [-1] * b.num_rows
             for i in np.flatnonzero(found >= 0):
                 row = int(np.searchsorted(ends, i, "right"))
-                if best[row] < 0 or len(table.rules[found[i]][0]) > len(table.rules[best[row]][0]):
+                if best[row] < 0 or len(table.key(found[i])) > len(table.key(best[row])):
                     best[row] = found[i]
-            rule = pa.array([table.rules[j][0] if j >= 0 else None for j in best], pa.string())
-            verdict = pa.array([table.rules[j][1] if j >= 0 else default for j in best], pa.string())
+            rule = pa.array([table.key(j) if j >= 0 else None for j in best], pa.string())
+            verdict = pa.array([table.verdict(j) if j >= 0 else default for j in best], pa.string())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), rule, verdict], names=[id_col, "host", "path", "rule", "verdict"])
 
     kind = located.schema[0].dataType.simpleString()

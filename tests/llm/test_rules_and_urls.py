@@ -78,7 +78,9 @@ def test_urls(spark, most):
 def test_digests_agree_and_collisions_are_confirmed(spark, tmp_path):
     keys = ["", "a", "example.com/en/7", "ü/ß"]
     assert [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k string").select(F.xxhash64("k")).collect()] == [url_filter.digest(k) for k in keys]
-    table = url_filter.DigestTable(url_filter.DigestTable.write([url_filter.UrlRule("block", "a", "/")], str(tmp_path)))
+    (tmp_path / "rules").write_bytes(url_filter.DigestTable.to_bytes([url_filter.UrlRule("block", "a", "/")]))
+    table = url_filter.DigestTable(str(tmp_path / "rules"))
+    assert (table.key(0), table.verdict(0)) == ("a/", "block")
     d = np.array([url_filter.digest("a/"), url_filter.digest("a/"), 5])
     assert table.find(d, lambda i: ["a/", "other", "x"][int(i)]).tolist() == [0, -1, -1]
 
