@@ -32,7 +32,7 @@ _PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{
 _ODD = regex.compile("[\x1c-\x1f]")
 _NO_RANK = 1 << 60
 _ID = (1 << 20) - 1
-_NOTHING = ("", "", 0)
+_NOTHING = ("", 0)
 #: Stands for a symbol that the vocabulary lacks; no pair with it has a rank.
 _UNKNOWN = _ID
 
@@ -119,6 +119,7 @@ class WordBpe:
         self.merges = {self.ids[a] << 20 | self.ids[b]: rank << 20 | self.ids[a + b] for rank, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
+        self._token_of = {str(i): t for i, t in self.tokens.items()}
         alphabet = byte_alphabet()
         self._inner = [self.ids.get(c, _UNKNOWN) for c in alphabet]
         self._final = [self.ids.get(c + self.suffix, _UNKNOWN) for c in alphabet]
@@ -152,36 +153,33 @@ class WordBpe:
                 tree.set(p, merges(at[p] << 20 | at[i], _NO_RANK))
         return [s for s in at if s >= 0]
 
-    def piece(self, text: str) -> tuple[str, str, int]:
-        """(ids, tokens, count) of one piece; symbols that the vocabulary lacks are left out."""
+    def piece(self, text: str) -> tuple[str, int]:
+        """(ids, count) of one piece; symbols that the vocabulary lacks are left out."""
         found = self._pieces.recall(text)
         if found is None:
             data, inner = text.encode("utf-8", "surrogatepass"), self._inner
             symbols = [inner[b] for b in data]
             symbols[-1] = self._final[data[-1]]
             ids = [i for i in self.merge(symbols) if i != _UNKNOWN]
-            found = " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids]), len(ids)
+            found = " ".join(map(str, ids)), len(ids)
             if len(text) <= 64:
                 self._pieces.keep(text, found)
         return found
 
-    def word(self, text: str) -> tuple[str, str, int]:
-        """(ids, tokens, count) of a run without white space, ids and tokens joined by a space."""
+    def word(self, text: str) -> tuple[str, int]:
+        """(ids, count) of a run without white space, ids joined by a space."""
         found = self._words.recall(text)
         if found is None:
             plain = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")
             plain = plain.lower()
             pieces = [plain] if plain.isascii() and plain.isalpha() else _PIECE.findall(plain)
-            parts = [p for p in map(self.piece, pieces) if p[2]]
-            if len(parts) == 1:
-                found = parts[0]
-            else:
-                found = " ".join([p[0] for p in parts]), " ".join([p[1] for p in parts]), sum([p[2] for p in parts])
+            parts = [p for p in map(self.piece, pieces) if p[1]]
+            found = parts[0] if len(parts) == 1 else (" ".join([p[0] for p in parts]), sum([p[1] for p in parts]))
             if len(text) <= 64:
                 self._words.keep(text, found)
         return found
 
-    def _runs(self, plain: str) -> list[tuple[str, str, int]]:
+    def _runs(self, plain: str) -> list[tuple[str, int]]:
         """The words of a text without special tokens, in order."""
         words = plain.split() if not _ODD.search(plain) else [w for w in _SPLIT.split(plain) if w]
         runs = list(map(self._words.young.get, words))
@@ -189,23 +187,23 @@ class WordBpe:
             runs = [r or self.word(w) for r, w in zip(runs, words)]
         return runs
 
-    def encode_joined(self, text: str) -> tuple[str, str, int]:
-        """(ids, tokens, count) of a whole text, ids and tokens joined by a space."""
+    def encode_joined(self, text: str) -> tuple[str, int]:
+        """(ids, count) of a whole text, ids joined by a space."""
         if "<|" in text and self._special.search(text):
             runs, at = [], 0
             for m in self._special.finditer(text):
                 runs += self._runs(text[at : m.start()])
-                runs.append((str(self.special[m.group()]), m.group(), 1))
+                runs.append((str(self.special[m.group()]), 1))
                 at = m.end()
             runs += self._runs(text[at:])
         else:
             runs = self._runs(text)
         if _NOTHING in runs:
-            runs = [r for r in runs if r[2]]
+            runs = [r for r in runs if r[1]]
         if not runs:
             return _NOTHING
-        ids, tokens, counts = zip(*runs)
-        return " ".join(ids), " ".join(tokens), sum(counts)
+        ids, counts = zip(*runs)
+        return " ".join(ids), sum(counts)
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for i in self.encode_joined(text)[0].split(" ") if i]
@@ -214,6 +212,10 @@ class WordBpe:
         """The tokens joined by a space, as the file names no decoder; unknown ids are left out."""
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
+    def decode_joined(self, ids: str) -> str:
+        """``decode`` of ids that are joined by a space, all of them in the vocabulary."""
+        return " ".join(map(self._token_of.__getitem__, ids.split(" "))) if ids else ""
+
 
 _LOADED: dict[str, WordBpe] = {}
 
@@ -266,10 +268,10 @@ def _mapped(df: DataFrame, path: str, text_col: str, schema: str, full: bool) ->
                 made = [bpe.encode_joined(t.as_py() or "") for t in texts]
                 if full:
                     ids = pa.array([np.fromstring(m[0], np.int32, sep=" ") for m in made], pa.list_(pa.int32()))
-                    new = {"token_ids": ids, "decoded": pa.array([m[1] for m in made], pa.string())}
+                    new = {"token_ids": ids, "decoded": pa.array([bpe.decode_joined(m[0]) for m in made], pa.string())}
                     columns = dict(zip(part.schema.names, part.columns)) | new
                 else:
-                    new = {"n_tokens": pa.array([m[2] for m in made], pa.int64()), "ids_sha256": pa.array([sha(m[0]) for m in made], pa.string()), "decoded_sha256": pa.array([sha(m[1]) for m in made], pa.string())}
+                    new = {"n_tokens": pa.array([m[1] for m in made], pa.int64()), "ids_sha256": pa.array([sha(m[0]) for m in made], pa.string()), "decoded_sha256": pa.array([sha(bpe.decode_joined(m[0])) for m in made], pa.string())}
                     columns = {part.schema.names[0]: part.column(0)} | new
                 yield pa.RecordBatch.from_pydict(columns)
 
