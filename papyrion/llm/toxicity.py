@@ -189,18 +189,16 @@ def learn_insults(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = T
     beginnings = F.array_distinct(F.flatten(F.transform("w", lambda w: F.transform(F.sequence(F.lit(config.min_prefix), F.least(F.length(w), F.lit(config.max_prefix))), lambda n: F.substring(w, F.lit(1), n)))))
     each = kept.select("key", "label", F.explode(beginnings).alias("p"))
     counts = each.groupBy("p").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).where(f"pos >= {config.min_documents}")
+    counts = scratch.save(counts, "counts")
     totals = kept.agg(F.sum("label"), F.count(F.lit(1))).first()
     positives, everything = totals[0] or 0, totals[1]
     if not positives:
         return {}
-    base, odds = positives / everything, []
-    tested = counts.select("p", "pos", "n").collect()  # bounded by the sample's words
-    for p, pos, n in tested:
+    base, odds, tested = positives / everything, [], counts.count()
+    # bounded by the sample's toxic words
+    for p, pos, n in counts.where("n - pos <= 0.05 * pos").select("p", "pos", "n").collect():
         weight = math.log((pos + 0.5) / (positives + 1)) - math.log((n - pos + 0.5) / (everything - positives + 1))
-        if weight < config.min_log_odds or n - pos > 0.05 * pos:
-            continue
-        chance = sum(math.comb(n, i) * base**i * (1 - base) ** (n - i) for i in range(pos, min(n, pos + 30) + 1)) if n < 400 else 0.0
-        if chance * max(1, len(tested)) < 1:
+        if weight >= config.min_log_odds and upper_tail(pos, n, base) * tested < 1:
             odds.append((p, min(1.0, weight / 6 + 0.25)))
     if not odds:
         return {}
@@ -210,6 +208,20 @@ def learn_insults(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = T
     return _multi_cover({p: (w, frozenset(k)) for p, w, k in holders}, config.cover)
 
 
+def upper_tail(least: int, n: int, chance: float) -> float:
+    """The odds of ``least`` or more of n independent events of one chance."""
+    if chance >= 1:
+        return 1.0
+    log = math.lgamma(n + 1) - math.lgamma(least + 1) - math.lgamma(n - least + 1) + least * math.log(chance) + (n - least) * math.log1p(-chance)
+    term = total = 1.0
+    for i in range(least, n):
+        term *= (n - i) / (i + 1) * chance / (1 - chance)
+        total += term
+        if term < 1e-12 * total:
+            break
+    return math.exp(min(0.0, log + math.log(total)))
+
+
 def _shingles(text, k: int = 3):
     """Sorted distinct hashes of the k-word shingles of a text column; fewer words are one."""
     tokens = F.filter(F.split(text, r"[^\p{L}\p{N}]+"), lambda x: x != "")
