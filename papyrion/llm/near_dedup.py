@@ -3,29 +3,28 @@
 The job in order:
 
 1. One pass over the texts makes, for each row, the size of its set of word
-   shingles, a 128-bit fingerprint of that set, and a signature of universal
-   hash minima.  Rows with equal fingerprints have equal sets; from here on one
-   row stands for them, so a group of exact copies costs one row.
+   shingles, a 128-bit digest of that set, and a signature of universal hash
+   minima.  Rows with equal digests have equal sets; from here on one row stands
+   for them, so a group of exact copies costs one row.
 2. Signatures are cut into bands.  Rows that share a band form a bucket.  Each
    member is proposed against one pivot, never against all others: the member
    that meets the most rows over all its bands, which in a group of near copies
    is the text that they were made from.  A proposal is checked on the
-   signatures, then on the full sets.
-3. What could still link two members of a bucket is found without pairing them:
-
-   * A member far from the pivot (by its signature, under a similarity of 0.6)
-     is by the triangle inequality too far from all that the pivot is linked
-     with.  The unlinked members of its bucket get another pivot.
-   * For a member that is near the pivot but not linked with it, the sets are
-     written as differences to the pivot's set.  Two sets are as far apart as
-     their differences are, so an unlinked member and any other can only be
-     linked if they share more than half of the other's differences.  Joining on
-     the first half of those (prefix filtering) finds every such pair; what
-     copies of one text change independently seldom meets.
-
-   So no bucket is capped and no candidate is lost, while a group of near
-   copies costs about as many checks as it has members.
-4. Links become components by alternating large-star and small-star.
+   signatures, then on the full sets.  Members that are not linked with their
+   pivot get another one, round after round, as long as that links many.
+3. Links become components by alternating large-star and small-star.
+4. What could still link two components is found without pairing members.  All
+   members of buckets with one pivot p are written as their differences to p's
+   set: what they have more, and what they lack.  Two sets are as far apart as
+   their differences are, so linked members share many differences, and one of
+   the rarest few of each (prefix filtering, the order is that of frequency
+   within p).  Texts that have a passage in common, or lack the same shingles of
+   p, so meet only if they also share something rare.  A difference that only
+   one component has is no key, and where one component holds most of a key,
+   its members are not paired among themselves.
+
+So no bucket is capped and no candidate is lost, while a group of near copies
+costs about as many checks as it has members.
 
 Shingles are compared by 64-bit hashes: for two texts of a million words each
 the odds that any of their shingles collide are below one in ten million.
@@ -33,12 +32,13 @@ the odds that any of their shingles collide are below one in ten million.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyrion.llm.bytewords import SPACED, mix, pieces, shingles
@@ -63,14 +63,12 @@ class NearDedupConfig:
     signature_floor: float = 0.4
     #: Ids (8 bytes each) that are broadcast to pick texts; beyond that the join is left to Spark.
     broadcast_ids: int = 500_000
-    #: Pairs left in buckets, for each of their rows, up to which all of them are checked at once ...
-    few_pairs: float = 1.0
-    #: ... instead of trying another pivot, at most so often.
-    pivot_rounds: int = 4
+    #: Another round of pivots follows one that has linked at least 1 of so many proposed pairs.
+    worthwhile: int = 8
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.list_(pa.int32()))])
-_SETS = pa.schema([("node", pa.int64()), ("shingle_set", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("sig", pa.list_(pa.int32()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()), ("shingle_set", pa.list_(pa.int64()))])
 
 
 def _row_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -81,6 +79,12 @@ def _row_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
             yield shingles(hashes[a:b], k)
 
 
+def _fingerprints(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Two 64-bit columns: the first half of the SHA-256 of each sorted set."""
+    digests = np.frombuffer(b"".join(hashlib.sha256(s).digest()[:16] for s in sets), np.int64).reshape(-1, 2)
+    return [pa.array(np.ascontiguousarray(digests[:, i])) for i in (0, 1)]
+
+
 def minima(values: np.ndarray, multipliers: np.ndarray, addends: np.ndarray) -> np.ndarray:
     """The least a*x+b modulo 2**32 over the set, for each (a, b)."""
     x = (values >> np.uint64(32)).astype(np.uint32)
@@ -108,14 +112,9 @@ def _sign(k: int, n_minima: int):
         for batch in batches:
             ids = batch.column(0)
             for at in range(0, batch.num_rows, 2048):
-                sizes, fp1, fp2, sigs = [], [], [], []
-                for s in _row_sets(batch.column(1).slice(at, 2048), k):
-                    sizes.append(len(s))
-                    fp1.append(int(s.sum(dtype=np.uint64)) if len(s) else 0)
-                    fp2.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(1)))) if len(s) else 0)
-                    sigs.append(minima(s, a, b) if len(s) else np.zeros(0, np.uint32))
-                as_long = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
-                columns = [ids.slice(at, 2048), pa.array(sizes, pa.int64()), as_long(fp1), as_long(fp2), _list(sigs, pa.int32(), np.int32)]
+                sets = list(_row_sets(batch.column(1).slice(at, 2048), k))
+                sigs = [minima(s, a, b) if len(s) else np.zeros(0, np.uint32) for s in sets]
+                columns = [ids.slice(at, 2048), batch.column(2).slice(at, 2048), pa.array(list(map(len, sets)), pa.int64()), *_fingerprints(sets), _list(sigs, pa.int32(), np.int32)]
                 yield pa.RecordBatch.from_arrays(columns, schema=_SIGNED)
 
     return run
@@ -126,7 +125,7 @@ def _full_sets(k: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 sets = list(_row_sets(batch.column(1).slice(at, 512), k))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 512), _list(sets, pa.int64(), np.int64)], schema=_SETS)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, 512), *_fingerprints(sets), _list(sets, pa.int64(), np.int64)], schema=_SETS)
 
     return run
 
@@ -171,16 +170,21 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     own.  A row without an id has a null component and is
     kept.  Other columns of ``docs`` are not read.
     """
-    spark: SparkSession = docs.sparkSession
-    scratch = Scratch(spark, "dedup")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.lit(0).cast("long").alias("text_key"))
+    return _judge(texts, config, Scratch(docs.sparkSession, "dedup")).drop("text_key")
+
+
+def _judge(texts: DataFrame, config: NearDedupConfig, scratch: Scratch) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, kept) of the rows doc_id, text, text_key."""
     k, n_minima = config.shingle_words, config.bands * config.rows
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = texts.mapInArrow(_sign(k, n_minima), "doc_id long, n_shingles long, fp1 long, fp2 long, sig array<int>")
+    signed = texts.mapInArrow(_sign(k, n_minima), "doc_id long, text_key long, n_shingles long, fp1 long, fp2 long, sig array<int>")
     signed = scratch.save(signed, "signed")
 
     same = ["n_shingles", "fp1", "fp2"]
     usable = signed.where("n_shingles > 0 and doc_id is not null")
-    reps = scratch.save(usable.groupBy(*same).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "reps")
+    reps = usable.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
+    # ids may repeat under different texts, so each set has a number of its own
+    reps = scratch.save(reps.withColumn("node", F.monotonically_increasing_id()), "reps")
 
     band = F.array(*(F.xxhash64(F.slice("sig", i * config.rows + 1, config.rows), F.lit(i)) for i in range(config.bands)))
     banded = reps.select("node", F.explode(band).alias("band"))
@@ -190,115 +194,136 @@ def near_duplicates(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()
     weighed = scratch.save(members.join(weights, "node").select("band", "node", "weight"), "weighed")
     scratch.drop("members")
 
-    links = _bucket_links(weighed, reps.select("node", "sig"), texts, config, scratch)
-    components = scratch.save(connected_components(links, scratch), "components")
-
-    by_set = reps.select(*same, "node").join(components, "node", "left").select(*same, F.coalesce("component", "node").alias("found"))
-    rows = signed.select("doc_id", *same).join(by_set, same, "left")
+    sets = _sets_of(reps.join(weighed.select("node").distinct(), "node"), texts, config, scratch)
+    places, links = _pivot_links(weighed, reps.select("node", "sig"), sets, config, scratch)
+    first = scratch.save(connected_components(links, scratch, "first"), "components")
+    more = _links_between(places, first, sets, config, scratch)
+    second = scratch.save(connected_components(more, scratch, "second"), "merged")
+
+    found = reps.select(*same, "doc_id", "node").join(first, "node", "left").select(*same, "doc_id", F.coalesce("component", "node").alias("node"))
+    found = found.join(second, "node", "left").select(*same, "doc_id", F.coalesce("component", "node").alias("node"))
+    least = found.groupBy("node").agg(F.min("doc_id").alias("found"))
+    found = scratch.save(found.join(least, "node").select(*same, "found"), "found")
+    scratch.drop_all_but("signed", "found")
+    rows = signed.select("doc_id", "text_key", *same).join(found, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return rows.select("doc_id", "text_key", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
 
+def _few(ids: DataFrame, config: NearDedupConfig) -> DataFrame:
+    """Saved ids or keys, broadcast if they are few; else Spark chooses, and texts may be shuffled."""
+    return F.broadcast(ids) if ids.count() <= config.broadcast_ids else ids
 
-def _compare(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, config: NearDedupConfig, scratch: Scratch, tag: str) -> DataFrame:
-    """Of the pairs (u, v) those whose signatures are near enough, with what each full set has
-    more than the other: nu, nv, more_u, more_v, linked."""
+
+def _sets_of(reps: DataFrame, texts: DataFrame, config: NearDedupConfig, scratch: Scratch) -> DataFrame:
+    """(node, shingle_set) of the given rows of distinct sets (doc_id, fp1, fp2, node)."""
+    wanted = _few(scratch.save(reps.select("doc_id", "fp1", "fp2", "node"), "wanted"), config)
+    sets = texts.select("doc_id", "text").join(wanted.select("doc_id"), "doc_id", "left_semi").mapInArrow(_full_sets(config.shingle_words), "doc_id long, fp1 long, fp2 long, shingle_set array<bigint>")
+    return scratch.save(sets.join(wanted, ["doc_id", "fp1", "fp2"]).select("node", "shingle_set"), "sets")
+
+
+def _linked_pairs(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, config: NearDedupConfig) -> DataFrame:
+    """The pairs (u, v) whose signatures are near enough and whose full sets reach the threshold."""
     least = int(config.signature_floor * config.bands * config.rows)
     left, right = (signatures.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "uv")
     equal = F.aggregate(F.zip_with("sig_u", "sig_v", lambda x, y: (x == y).cast("int")), F.lit(0), lambda t, x: t + x)
-    # written first: its size then decides whether signatures have to be shuffled
-    pairs = scratch.save(pairs, f"pairs{tag}")
-    near = scratch.save(pairs.join(left, "u").join(right, "v").where(equal >= least).select("u", "v").distinct(), f"near{tag}")
-    wanted = near.select(F.col("u").alias("doc_id")).unionByName(near.select(F.col("v").alias("doc_id"))).distinct()
-    wanted = scratch.save(wanted, f"wanted{tag}")
-    if wanted.count() <= config.broadcast_ids:  # else Spark chooses, and texts may be shuffled
-        wanted = F.broadcast(wanted)
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(config.shingle_words), "node long, shingle_set array<bigint>")
-    sets = scratch.save(sets, f"sets{tag}")
+    near = pairs.join(left, "u").join(right, "v").where(equal >= least).select("u", "v").distinct()
     a, b = (sets.select(F.col("node").alias(x), F.col("shingle_set").alias(f"set_{x}")) for x in "uv")
-    both = near.join(a, "u").join(b, "v")
-    both = both.select("u", "v", F.size("set_u").alias("nu"), F.size("set_v").alias("nv"), F.array_except("set_u", "set_v").alias("more_u"), F.array_except("set_v", "set_u").alias("more_v"))
-    common = F.col("nu") - F.size("more_u")
-    compared = both.withColumn("linked", 100 * common >= config.threshold_percent * (F.col("nu") + F.size("more_v")))
-    compared = scratch.save(compared, f"compared{tag}")
-    scratch.drop(f"sets{tag}")
-    return compared
-
-
-def _links_by_differences(compared: DataFrame, percent: int, scratch: Scratch, tag: str) -> DataFrame:
-    """Links (u, v) of members u that are not linked with the pivot that they share with v.
-
-    Let R be a member's differences to the pivot p and c = (100 - percent) /
-    (100 + percent).  Two sets are linked if their difference is at most
-    c * (|u| + |v|), and u is not linked with p, so |R_u| > c * (|u| + |p|).
-    Then R_u and R_v share at least (|R_u| + |R_v| - c * (|u| + |v|)) / 2 members,
-    which is more than (|R_v| + c * (|p| - |v|)) / 2 = q, and one of the first
-    |R_v| - floor(q) of R_v, in any order, is among them.  What a set has more
-    than p is taken first, as it is rare; what it lacks can only decide where
-    both lack enough in common.
-
-    The sets' difference is that of R_u and R_v, so candidates are confirmed
-    on those, which is the same as on the full sets and moves far less.
+    common = F.size(F.array_intersect("set_u", "set_v"))
+    both = near.join(a, "u").join(b, "v").select("u", "v", F.size("set_u").alias("nu"), F.size("set_v").alias("nv"), common.alias("common"))
+    return both.where(100 * F.col("common") >= config.threshold_percent * (F.col("nu") + F.col("nv") - F.col("common"))).select("u", "v").distinct()
+
+
+def _pivot_links(members: DataFrame, signatures: DataFrame, sets: DataFrame, config: NearDedupConfig, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(node, pivot) of the first round, and the links (u, v) of all rounds.  ``members``: band, node, weight."""
+    places, links, turn = None, None, 0
+    while True:
+        pivots = members.groupBy("band").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("pivot"))
+        placed = scratch.save(members.join(pivots, "band").where("node <> pivot"), f"placed{turn}")
+        pairs = scratch.save(placed.select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), f"pairs{turn}")
+        linked = scratch.save(_linked_pairs(pairs, signatures, sets, config), f"linked{turn}")
+        places = pairs.select(F.col("u").alias("node"), F.col("v").alias("pivot")) if places is None else places
+        links = linked if links is None else links.unionByName(linked)
+        if config.worthwhile * linked.count() <= pairs.count():
+            return places, links
+        left = placed.join(linked.select(F.col("u").alias("node"), F.col("v").alias("pivot")), ["node", "pivot"], "left_anti").select("band", "node", "weight")
+        going = left.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+        members = scratch.save(left.join(going, "band"), f"open{turn}")
+        turn += 1
+
+
+def _links_between(places: DataFrame, components: DataFrame, sets: DataFrame, config: NearDedupConfig, scratch: Scratch) -> DataFrame:
+    """The links between components as pairs (u, v) of components, among nodes that have a pivot in common.
+
+    Let R be a member's differences to the pivot p, c = (100 - percent) /
+    (100 + percent), and |u| a set's size.  Two sets are linked if their difference,
+    which is that of their R, is at most c * (|u| + |v|).  So linked ones share at
+    least o = (|R_u| + |R_v| - c * (|u| + |v|)) / 2 differences, which is no less
+    than |R_u| - |u| * (100 - percent) / percent: one of the first |R_u| - o + 1
+    of R_u, in any order that both keep, is among the first |R_v| - o + 1 of R_v.
+
+    One of two linked members from different components, u, is not in p's
+    component and so not linked with p: |R_u| > c * (|u| + |p|).  If the other, v,
+    is in p's component, o is more than (|R_v| + c * (|p| - |v|)) / 2.
     """
-    unlinked = compared.where("not linked")
-    around = compared.join(unlinked.select(F.col("v").alias("p")).distinct(), F.col("v") == F.col("p"), "left_semi")
-    # a member that is lacking is the complement of its hash
-    both = F.concat("more_u", F.transform("more_v", lambda x: F.bitwise_not(x)))
-    around = around.select(F.col("v").alias("p"), F.col("u").alias("m"), "linked", F.col("nu").alias("n"), F.size("more_u").alias("a"), F.size("more_v").alias("l"), F.col("nv").alias("np"), both.alias("r"))
-    around = scratch.save(around, f"around{tag}")
+    percent = config.threshold_percent
+    of = lambda x: components.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}"))
+    spaces = places.join(of("node"), "node", "left").join(of("pivot"), "pivot", "left")
+    spaces = spaces.select(F.col("pivot").alias("p"), F.col("node").alias("m"), F.coalesce("c_node", "node").alias("c"), F.coalesce("c_pivot", "pivot").alias("cp"))
+    spaces = scratch.save(spaces, "spaces")
+    # some member outside p's component, and another of another component
+    mixed = spaces.groupBy("p").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("p")
+    spaces = spaces.join(mixed, "p")
+    own, pivots = sets.select(F.col("node").alias("m"), F.col("shingle_set").alias("s")), sets.select(F.col("node").alias("p"), F.col("shingle_set").alias("t"))
+    more, lacks = F.array_except("s", "t"), F.transform(F.array_except("t", "s"), lambda x: F.bitwise_not(x))  # a lacking member is its hash's complement
+    around = spaces.join(own, "m").join(pivots, "p").select("p", "m", "c", "cp", F.size("s").alias("n"), F.size("t").alias("np"), more.alias("more"), lacks.alias("lacks"))
+    around = around.select("p", "m", "c", "cp", "n", "np", F.size("more").alias("a"), F.size("lacks").alias("l"), F.concat("more", "lacks").alias("r"))
+    around = scratch.save(around.dropDuplicates(["p", "m"]), "around")
+
+    each = around.select("p", "m", "c", F.explode("r").alias("d"))
+    held = each.groupBy("p", "d", "c").agg(F.count(F.lit(1)).alias("k"))
+    keys = held.groupBy("p", "d").agg(F.sum("k").alias("f"), F.max_by("c", "k").alias("top"), F.count(F.lit(1)).alias("kinds")).where("f > 1")
+    keys = scratch.save(keys, "keys")
+    item = F.struct(F.coalesce("f", F.lit(1)).alias("f"), F.col("d"), F.when(F.col("kinds") > 1, F.col("top")).alias("top"))
+    ranked = each.join(keys, ["p", "d"], "left").groupBy("p", "m").agg(F.array_sort(F.collect_list(item)).alias("r"))
 
     q = (F.size("r") + (F.col("np") - F.col("n")) * (100 - percent) / F.lit(100.0 + percent)) / 2
-    first = F.slice("r", 1, F.size("r") - F.floor(q).cast("int"))
-    index = around.select("p", F.col("m").alias("v"), F.col("n").alias("n2"), F.col("a").alias("a2"), F.col("l").alias("l2"), F.posexplode(first).alias("at", "d"))
-    probe = around.where("not linked").select("p", F.col("m").alias("u"), F.col("n").alias("n1"), F.col("a").alias("a1"), F.col("l").alias("l1"), F.explode("r").alias("d"))
-    need = f"(a1 + l1 + a2 + l2 - {100 - percent} * (n1 + n2) / {100.0 + percent} - 1e-9)"
-    possible = f"u <> v and 2 * (least(a1, a2) + least(l1, l2)) >= {need} and (at < a2 or 2 * least(l1, l2) >= {need})"
-    pairs = scratch.save(index.join(probe, ["p", "d"]).where(possible).select("p", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"others{tag}")
-
-    left, right = (around.select("p", F.col("m").alias(x), F.col("n").alias(f"n_{x}"), F.col("r").alias(f"r_{x}")) for x in "uv")
+    short = F.floor(F.col("n") * (100 - percent) / F.lit(float(percent)) + 1e-9).cast("int") + 1
+    prefix = F.when(F.col("c") == F.col("cp"), F.least(short, F.size("r") - F.floor(q).cast("int"))).otherwise(short)
+    first = around.drop("r").join(ranked, ["p", "m"]).select("p", "m", "c", "n", "a", "l", F.size("r").alias("len"), F.posexplode(F.slice("r", 1, F.greatest(prefix, F.lit(0)))).alias("at", "e"))
+    # keys of one component are left out here, when each place in the order is known
+    entries = scratch.save(first.where("e.top is not null").select("p", F.col("e.d").alias("d"), F.col("e.top").alias("top"), "m", "c", "n", "a", "l", "len", "at"), "entries")
+    side = lambda i: entries.select("p", "d", *(F.col(x).alias(x + i) for x in ("m", "c", "n", "a", "l", "len", "at", "top")))
+    need = f"((len1 + len2 - {100 - percent} * (n1 + n2) / {100.0 + percent}) / 2 - 1e-9)"
+    fits = f"c1 <> c2 and {percent} * greatest(n1, n2) <= 100 * least(n1, n2) and least(a1, a2) + least(l1, l2) >= {need} and least(len1 - at1, len2 - at2) >= {need}"
+    pairs = side("1").where("c1 <> top1").join(side("2"), ["p", "d"]).where(fits)
+    pairs = pairs.select(F.greatest("m1", "m2").alias("u"), F.least("m1", "m2").alias("v"), "p").groupBy("u", "v").agg(F.min("p").alias("p"))
+    pairs = scratch.save(pairs, "others")
+
+    left, right = (around.select("p", F.col("m").alias(x), F.col("c").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"), F.col("r").alias(f"r_{x}")) for x in "uv")
     apart = F.size("r_u") + F.size("r_v") - 2 * F.size(F.array_intersect("r_u", "r_v"))
     sizes = F.col("n_u") + F.col("n_v")
-    return pairs.join(left, ["p", "u"]).join(right, ["p", "v"]).where(100 * (sizes - apart) >= percent * (sizes + apart)).select("u", "v").distinct()
+    linked = pairs.join(left, ["p", "u"]).join(right, ["p", "v"]).where(100 * (sizes - apart) >= percent * (sizes + apart))
+    return linked.select(F.col("c_u").alias("u"), F.col("c_v").alias("v")).distinct()
 
 
-def _bucket_links(members: DataFrame, signatures: DataFrame, texts: DataFrame, config: NearDedupConfig, scratch: Scratch) -> DataFrame:
-    """The links (u, v) that make the components of all links between members of a bucket.
+def keep_one_of_each_group(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()) -> DataFrame:
+    """The rows of ``docs`` without those that ``near_duplicates`` drops; columns unchanged.
 
-    ``members``: band, node, weight (not negative).  Each round proposes a bucket's members
-    against one pivot and finds other links by differences to it.
+    Rows are told apart by id and text, so of different texts under one id each
+    goes or stays by itself.  Of rows that repeat id and text one stays.
     """
-    links, turn, total = [], 0, members.count()
-    while True:
-        pivot = members.groupBy("band").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("pivot"))
-        placed = members.join(pivot, "band")
-        proposed = placed.where("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-        compared = _compare(proposed, signatures, texts, config, scratch, f"{turn}")
-        links.append(compared.where("linked").select("u", "v"))
-        links.append(_links_by_differences(compared, config.threshold_percent, scratch, f"{turn}"))
-        # Unlinked members go on where one of them is open: far from the first pivot, so that its
-        # pairs are not settled by differences.  Those that are not open are settled among themselves.
-        near = compared.select(F.col("u").alias("node"), F.col("v").alias("pivot"), "linked")
-        left = placed.where("node <> pivot").join(near, ["node", "pivot"], "left").where("not coalesce(linked, false)")
-        is_open = F.col("linked").isNull() if turn == 0 else F.col("weight") >= 0
-        left = left.select("band", "node", F.when(is_open, F.col("weight")).otherwise(-1).alias("weight"))
-        going = left.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("top")).where("n > 1 and top >= 0")
-        members = scratch.save(left.join(going.select("band"), "band"), f"open{turn}")
-        turn += 1
-        opened = F.count_if(F.col("weight") >= 0)
-        rows, pairs = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), opened.alias("o")).agg(F.sum("n"), F.sum(F.expr("o * (n - o) + o * (o - 1) / 2"))).first()
-        if not rows:
-            break
-        if pairs <= config.few_pairs * total or turn >= config.pivot_rounds:
-            a, b = (members.select("band", F.col("node").alias(x), F.col("weight").alias(f"w{x}")) for x in "uv")
-            rest = a.join(b, "band").where("u > v and greatest(wu, wv) >= 0").select("u", "v").distinct()
-            links.append(_compare(rest, signatures, texts, config, scratch, "rest").where("linked").select("u", "v"))
-            break
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def keep_one_of_each_group(docs: DataFrame, config: NearDedupConfig = NearDedupConfig()) -> DataFrame:
-    """The rows of ``docs`` without those that ``near_duplicates`` drops; columns unchanged."""
-    dropped = near_duplicates(docs, config).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "dedup")
+    key = {"doc_id": F.col("doc_id").cast("long"), "text_key": F.xxhash64("text")}
+    texts = docs.select(key["doc_id"].alias("doc_id"), F.col("text").cast("string").alias("text"), key["text_key"].alias("text_key"))
+    rows = _judge(texts, config, scratch).groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("kept"))
+    rows = scratch.save(rows.where("doc_id is not null and (n > 1 or not kept)"), "rows")
+    scratch.drop_all_but("rows")
+    keyed = docs.withColumn(_ID, key["doc_id"]).withColumn(_KEY, key["text_key"])
+    named = lambda which: _few(rows.where(which).select(F.col("doc_id").alias(_ID), F.col("text_key").alias(_KEY)), config)
+    out = keyed.join(named("true"), [_ID, _KEY], "left_anti").select(*docs.columns)
+    repeated = keyed.join(named("kept"), [_ID, _KEY], "left_semi").dropDuplicates([_ID, _KEY])
+    return out.unionByName(repeated.select(*docs.columns))
+
+
+_ID, _KEY = "papyrion_id", "papyrion_text_key"
