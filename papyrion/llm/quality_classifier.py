@@ -25,12 +25,12 @@ from papyrion.llm.scratch import ship_package
 
 @dataclass(frozen=True)
 class QualityClassifierConfig:
-    """``sample_per_class`` bounds the training documents, taken in the order of a hash of their id."""
+    """``max_sample`` bounds the training documents, taken in the order of a hash of their id."""
 
     buckets_log2: int = 17
     dim: int = 8
     ngrams: tuple[int, ...] = (2, 3, 4)
-    sample_per_class: int = 2000
+    max_sample: int = 4000
     epochs: int = 6
     rate: float = 0.2
     seed: int = 7
@@ -143,18 +143,20 @@ def _document_features(config: QualityClassifierConfig):
     return run
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, per_class: int, train: Column) -> DataFrame:
-    """(label, text) of at most ``per_class`` documents of each class for which ``train`` holds.
+def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, most: int, train: Column) -> DataFrame:
+    """(label, text) of at most ``most`` labelled ids for which ``train`` holds.
 
     The choice follows a hash of the id, so it is the same at every run, and
-    each class is taken in proportion: both shrink by one factor.
+    each class is taken in proportion: both shrink by one factor.  Rows that
+    repeat id and text count once, different texts under one id each; an id with
+    both labels has 1.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & train).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     n = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    keep = min(1.0, 2 * per_class / max(1, sum(n.values())))
+    keep = min(1.0, most / max(1, sum(n.values())))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(keep * 1_000_000) + 1)
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_class)
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").select("label", F.coalesce("text", F.lit("")).alias("text"))
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").dropDuplicates(["doc_id", "text"]).select("label", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def training_rows(id_col: str = "doc_id") -> Column:
@@ -169,12 +171,12 @@ def held_out(id_col: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, config: QualityClassifierConfig = QualityClassifierConfig(), label: str = "quality") -> SubwordClassifier:
     """Fit on a sample of the labelled rows of ``docs`` that are not held out.
 
-    Features are made by Spark; the driver gets at most 2 * ``sample_per_class``
+    Features are made by Spark; the driver gets at most ``max_sample``
     documents, each as at most 2**``buckets_log2`` numbers.  With no labels, or
     one class only, the scores follow the bias.
     """
     ship_package(docs.sparkSession)
-    sample = sample_labelled(docs, labels, label, config.sample_per_class, training_rows())
+    sample = sample_labelled(docs, labels, label, config.max_sample, training_rows())
     rows = sample.mapInArrow(_document_features(config), "label int, buckets array<int>, shares array<float>").toArrow().combine_chunks()
     # a defined order, whatever partition a row came from
     features = [(np.asarray(b), np.asarray(s)) for b, s in zip(_split(rows["buckets"]), _split(rows["shares"]))]

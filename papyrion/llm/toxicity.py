@@ -38,9 +38,9 @@ THREATS = "kill hurt destroy shoot stab strangle murder töten umbringen tuer mo
 
 @dataclass(frozen=True)
 class ToxicityConfig:
-    """``sample_per_class`` bounds the documents that the insults are learned from (twice so many)."""
+    """``max_sample`` bounds the documents that the insults are learned from."""
 
-    sample_per_class: int = 4000
+    max_sample: int = 8000
     min_prefix: int = 4
     max_prefix: int = 9
     min_documents: int = 3
@@ -182,7 +182,7 @@ def learn_insults(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = T
     than once among all beginnings tested; greedy multi-cover then takes as few
     as explain each document ``cover`` times.  No labels give no insults.
     """
-    sample = sample_labelled(docs, labels, label, config.sample_per_class, training_rows())
+    sample = sample_labelled(docs, labels, label, config.max_sample, training_rows())
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= config.min_prefix)
     scratch = Scratch(docs.sparkSession, "toxicity")
     kept = _without_copies(sample.select("label", F.array_distinct(words).alias("w"), _shingles(F.lower("text")).alias("s")).where(F.size("w") > 0), scratch)
