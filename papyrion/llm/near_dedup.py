@@ -148,13 +148,15 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "star")
     turn = 0
     while not _is_star_forest(old):
         both = old.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(old.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that both sides of the join below are plain exchanges, of which a hub's is split
+        least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-least{turn}")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         root = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(root, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         new = small.unionByName(root.select("a", F.col("m").alias("b"))).distinct()
         old, turn = scratch.save(new, f"{name}{turn + 1}"), turn + 1
         scratch.drop(f"{name}{turn - 1}")
+        scratch.drop(f"{name}-least{turn - 1}")
     roots = old.select(F.col("b").alias("node")).distinct()
     return old.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 
