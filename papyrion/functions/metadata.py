@@ -40,7 +40,19 @@ TECHNICAL_TERMS = [
 ]
 # Date formats in the order in which they are tried.
 DATE_FORMATS = ["d/M/yyyy", "M/d/yyyy", "yyyy/M/d", "d-M-yyyy", "M-d-yyyy", "yyyy-M-d", "d.M.yyyy", "M.d.yyyy", "yyyy.M.d", "d MMMM yyyy", "MMMM d, yyyy", "MMMM d yyyy"]
-_NUMERIC_DATE = r"(\d{1,2}[/.\-]\d{1,2}[/.\-]\d{2,4}|\d{4}[/.\-]\d{1,2}[/.\-]\d{1,2})"
+# Labels and forms of dates, of those forms in the order in which the last readable one wins.
+CREATED, MODIFIED = "Created|Date|Published", "Last updated|Modified|Revised"
+NUMERIC_DATES = [r"(\d{1,2}[/.\-]\d{1,2}[/.\-]\d{2,4})", r"(\d{4}[/.\-]\d{1,2}[/.\-]\d{1,2})"]
+_MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December)"
+WORDED_DATES = [rf"(\d{{1,2}}\s+{_MONTH}\s+\d{{4}})", rf"({_MONTH}\s+\d{{1,2}},?\s+\d{{4}})"]
+# Forms in which authors are named, and what parts several.
+AUTHORS = [
+    (r"(?i)(?:Author|Authors|By|Written by|Created by):\s*([^\n]+)", 1),
+    (r"(?i)(?:Author|Authors|By)\s*\n\s*([^\n]+)", 1),
+    (r"(?i)(?:©|Copyright)[^\n]*?(\d{4})[^\n]*?([A-Z][a-z]+ [A-Z][a-z]+)", 2),
+]
+AUTHOR_SPLIT = r"[,;&]|\sand\s"
+# Forms in which a version is named.
 VERSIONS = [
     r"(?i)version\s*[:=]?\s*([0-9]+\.[0-9]+(?:\.[0-9]+)?)",
     r"(?i)v\.?\s*([0-9]+\.[0-9]+(?:\.[0-9]+)?)",
@@ -67,28 +79,31 @@ def _labelled(content: Column | str, labels: str, splitter: str) -> Column:
 
 
 def authors(content: Column | str) -> Column:
-    """Names after an author label; sorted, each once."""
-    valid = F.filter(_labelled(content, "Author|Authors|By|Written by|Created by", r"[,;&]|\sand\s"), lambda a: F.length(a).between(3, 50) & a.rlike("[a-zA-Z]"))
-    return F.array_sort(F.array_distinct(valid))
+    """Names after an author label, in its line or the next one, or in a copyright line; sorted, each once."""
+    found = F.concat(*(T.all_matches(content, p, group) for p, group in AUTHORS))
+    names = F.transform(F.flatten(F.transform(found, lambda x: F.split(x, AUTHOR_SPLIT))), T.stripped)
+    return F.array_sort(F.array_distinct(F.filter(names, lambda a: F.length(a).between(3, 50) & a.rlike("[a-zA-Z]"))))
 
 
 def parse_date(text: Column | str) -> Column:
     """The first format that fits; day before month, four-digit years only; else null."""
-    return F.coalesce(*(F.when(T.col(text).rlike(r"(?:^|\D)\d{4}(?:\D|$)"), F.try_to_timestamp(T.col(text), F.lit(f))) for f in DATE_FORMATS)).cast("date")
+    plain = F.initcap(F.regexp_replace(T.col(text), r"\s+", " "))  # months are read in any case
+    return F.coalesce(*(F.when(plain.rlike(r"(?:^|\D)\d{4}(?:\D|$)"), F.try_to_timestamp(plain, F.lit(f))) for f in DATE_FORMATS)).cast("date")
 
 
-def labelled_date(content: Column | str, labels: str) -> Column:
-    """The last readable date after one of the labels."""
-    found = F.filter(F.transform(T.all_matches(content, rf"(?i)(?:{labels}):\s*{_NUMERIC_DATE}"), parse_date), lambda d: d.isNotNull())
-    return F.get(found, F.size(found) - 1)
+def _last_date(content: Column | str, patterns: list[str]) -> Column:
+    """The last readable date, where all of one pattern come before those of the next."""
+    found = F.concat(*(T.all_matches(content, f"(?i){p}") for p in patterns))
+    return T.let(F.filter(F.transform(found, parse_date), lambda d: d.isNotNull()), lambda dates: F.get(dates, F.size(dates) - 1))
 
 
 def created_on(content: Column | str) -> Column:
-    return labelled_date(content, "Created|Date|Published")
+    """From a labelled date, or rather from any date in words."""
+    return _last_date(content, [rf"(?:{CREATED}):\s*{p}" for p in NUMERIC_DATES] + WORDED_DATES)
 
 
 def modified_on(content: Column | str) -> Column:
-    return labelled_date(content, "Last updated|Modified|Revised")
+    return _last_date(content, [rf"(?:{MODIFIED}):\s*{p}" for p in NUMERIC_DATES])
 
 
 def document_type(content: Column | str) -> Column:
@@ -105,8 +120,12 @@ def automatic_tags(content: Column | str, most: int = 10) -> Column:
     return F.slice(F.array_sort(F.array_distinct(found)), 1, most)
 
 
+# Labels of tags.
+TAG_LABELS = "Tags|Keywords|Topics|Category|Categories|Subject|Subjects"
+
+
 def tags(content: Column | str) -> Column:
-    named = F.transform(F.filter(_labelled(content, "Tags|Keywords|Topics|Category|Categories|Subject|Subjects", r"[,;]|\sand\s"), lambda t: F.length(t).between(2, 30)), F.lower)
+    named = F.transform(F.filter(_labelled(content, TAG_LABELS, r"[,;]|\sand\s"), lambda t: F.length(t).between(2, 30)), F.lower)
     return F.array_sort(F.array_distinct(F.concat(named, automatic_tags(content))))
 
 

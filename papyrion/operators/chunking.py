@@ -40,10 +40,22 @@ ELEMENTS = [
 BOUNDARIES = ["chapter", "section", "subsection", "special_section"]
 
 
-def _rows(df: DataFrame, parts: Column, *keys: str) -> DataFrame:
+def _rows(df: DataFrame, parts: Column, *keys: str, locate: bool = False) -> DataFrame:
     """One row for each content of the array ``parts``."""
-    out = df.select(*keys, F.posexplode(parts).alias("chunk_index", "content"))
-    return out.withColumns({"token_count": T.word_count("content"), "char_count": F.length("content")})
+    out = df.select(*keys, F.col("content").alias("whole"), F.posexplode(parts).alias("chunk_index", "content"))
+    return _measured(_located(out, locate))
+
+
+def _measured(chunks: DataFrame) -> DataFrame:
+    return chunks.withColumns({"token_count": T.word_count("content"), "char_count": F.length("content")})
+
+
+def _located(chunks: DataFrame, locate: bool) -> DataFrame:
+    """Without the column ``whole``; with start_offset and end_offset in it, if asked for (null where it is not found)."""
+    if locate:
+        start = F.nullif(found_at(F.col("content"), F.col("whole")).cast("long"), F.lit(-1))
+        chunks = chunks.withColumn("start_offset", start).withColumn("end_offset", F.col("start_offset") + F.length("content"))
+    return chunks.drop("whole")
 
 
 def window_texts(content: Column | str, size: int, step: int, least: int = 1) -> Column:
@@ -57,9 +69,9 @@ def window_texts(content: Column | str, size: int, step: int, least: int = 1) ->
     return T.let(T.words(content), cut)
 
 
-def overlapping(docs: DataFrame, config: ChunkingConfig = ChunkingConfig(), least: int = 10) -> DataFrame:
+def overlapping(docs: DataFrame, config: ChunkingConfig = ChunkingConfig(), least: int = 10, locate: bool = False) -> DataFrame:
     """Overlapping windows; tails under ten words go.  Numbers count emitted chunks."""
-    return _rows(docs, window_texts("content", config.size, config.size - config.overlap, least), "doc_id")
+    return _rows(docs, window_texts("content", config.size, config.size - config.overlap, least), "doc_id", locate=locate)
 
 
 def fixed(docs: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
@@ -118,48 +130,62 @@ def structure_elements(docs: DataFrame) -> DataFrame:
 
 
 def sections(docs: DataFrame) -> DataFrame:
-    """(doc_id, start_line, end_line, header, content): a section runs from one boundary to the next.
+    """(doc_id, whole, start_line, end_line, header, content): a section runs from one boundary to the next.
 
     The first section begins at line 0; headers and list items are no boundaries.
     """
     numbered = F.transform(T.lines("content"), lambda x, i: F.struct(i.alias("i"), T.stripped(x).alias("s"), x.alias("raw")))
-    marked = docs.select("doc_id", numbered.alias("all"))
+    marked = docs.select("doc_id", F.col("content").alias("whole"), numbered.alias("all"))
     starts = F.transform(F.filter("all", lambda x: element_type(x["s"]).isin(BOUNDARIES)), lambda x: x["i"])
     marked = marked.withColumn("starts", F.array_distinct(F.concat(F.array(F.lit(0)), starts))).withColumn("n", F.size("all"))
     cut = F.transform("starts", lambda s, k: F.struct(s.alias("start_line"), F.coalesce(F.get("starts", k + 1), F.col("n")).alias("end_line")))
-    each = marked.select("doc_id", "all", F.explode(cut).alias("c"))
+    each = marked.select("doc_id", "whole", "all", F.explode(cut).alias("c"))
     part = F.slice("all", F.col("c.start_line") + 1, F.col("c.end_line") - F.col("c.start_line"))
     head = F.get(part, F.lit(0))["s"]
-    return each.select("doc_id", "c.start_line", "c.end_line", F.when(element_type(head).isin(BOUNDARIES), head).otherwise("").alias("header"), F.array_join(F.transform(part, lambda x: x["raw"]), "\n").alias("content"))
+    return each.select("doc_id", "whole", "c.start_line", "c.end_line", F.when(element_type(head).isin(BOUNDARIES), head).otherwise("").alias("header"), F.array_join(F.transform(part, lambda x: x["raw"]), "\n").alias("content"))
 
 
-def structured(docs: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
+def structured(docs: DataFrame, config: ChunkingConfig = ChunkingConfig(), locate: bool = False) -> DataFrame:
     """Sections as chunks; those of under ``min_size`` characters go, those of over ``max_size`` words are packed."""
     cut = sections(docs).where(F.length(T.stripped("content")) >= config.min_size)
     body = F.when(T.word_count("content") <= config.max_size, F.array("content")).otherwise(packed(paragraphs("content"), config.max_size, F.col("header") if config.include_headers else None))
-    each = cut.select("doc_id", "start_line", "header", F.posexplode(body).alias("at", "content"))
+    each = _located(cut.select("doc_id", "whole", "start_line", "header", F.posexplode(body).alias("at", "content")), locate)
     order = Window.partitionBy("doc_id").orderBy("start_line", "at")
-    out = each.select("doc_id", (F.row_number().over(order) - 1).alias("chunk_index"), "header", "content")
-    return out.withColumns({"token_count": T.word_count("content"), "char_count": F.length("content")})
+    return _measured(each.withColumn("chunk_index", F.row_number().over(order) - 1).drop("start_line", "at"))
 
 
-def contextual(docs: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
+def contextual(docs: DataFrame, config: ChunkingConfig = ChunkingConfig(), locate: bool = False) -> DataFrame:
     """Structure where a document has any element, overlapping windows elsewhere."""
     any_element = F.exists(T.lines("content"), lambda x: element_type(T.stripped(x)).isNotNull()) if config.preserve_structure else F.lit(False)
     marked = docs.select("doc_id", "content", any_element.alias("has"))
-    by_structure = structured(marked.where("has"), config).drop("header")
-    return by_structure.unionByName(overlapping(marked.where("not has"), config))
+    by_structure = structured(marked.where("has"), config, locate).drop("header")
+    return by_structure.unionByName(overlapping(marked.where("not has"), config, locate=locate))
 
 
 STRATEGIES = {"contextual": contextual, "fixed": fixed, "semantic": semantic}
 
 
+def named(chunks: DataFrame) -> DataFrame:
+    return chunks.withColumn("chunk_id", F.concat(F.col("doc_id").cast("string"), F.lit("_chunk_"), F.col("chunk_index").cast("string")))
+
+
+def chunk_pages(pages: DataFrame, joined: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
+    """Chunks with page_numbers: ``pages`` (doc_id, page_number, content), ``joined`` their text by document, parted by blank lines."""
+    if config.strategy == "semantic":
+        return create_chunks(pages, config)
+    if config.strategy == "fixed":
+        chunks, spans = create_chunks(joined, config), page_spans(named(window_offsets(pages, config)), spaced_offsets(pages))
+    else:
+        chunks = named(contextual(joined, config, locate=True))
+        spans = page_spans(chunks, page_offsets(pages))
+    return chunks.drop("start_offset", "end_offset").join(spans, "chunk_id")
+
+
 def create_chunks(docs: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
     """By the configured strategy; an unknown one is contextual.  Adds chunk_id."""
     if config.strategy == "semantic" and "page_number" not in docs.columns:
         docs = docs.withColumn("page_number", F.lit(1))
-    chunks = STRATEGIES.get(config.strategy, contextual)(docs, config)
-    return chunks.withColumn("chunk_id", F.concat(F.col("doc_id").cast("string"), F.lit("_chunk_"), F.col("chunk_index").cast("string")))
+    return named(STRATEGIES.get(config.strategy, contextual)(docs, config))
 
 
 def page_offsets(pages: DataFrame) -> DataFrame:
@@ -170,9 +196,47 @@ def page_offsets(pages: DataFrame) -> DataFrame:
 
 
 def page_spans(chunks: DataFrame, offsets: DataFrame) -> DataFrame:
-    """(chunk_id, page_numbers) for chunks with start_offset and end_offset: pages that they touch, else page 1."""
-    o = offsets.select("doc_id", "page_number", F.col("start_offset").alias("page_start"), F.col("end_offset").alias("page_end"))
+    """(chunk_id, page_numbers) for chunks with start_offset and end_offset: pages that they touch, else page 1.
+
+    Both ends count.  Chunks and pages meet in stretches of ``_STRETCH``
+    characters, so a long document costs about as many pairs as it has overlaps.
+    """
+    stretches = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / _STRETCH), F.floor(F.col(b) / _STRETCH)))
+    o = offsets.select("doc_id", "page_number", F.col("start_offset").alias("page_start"), F.col("end_offset").alias("page_end"), stretches("start_offset", "end_offset").alias("stretch"))
     c = chunks.select("chunk_id", "doc_id", "start_offset", "end_offset")
-    touching = c.join(o, "doc_id", "left").where("page_start is null or (start_offset <= page_end and end_offset >= page_start)")
+    placed = c.where("start_offset is not null").select("*", stretches("start_offset", "end_offset").alias("stretch"))
+    touching = placed.join(o, ["doc_id", "stretch"]).where("start_offset <= page_end and end_offset >= page_start")
     hit = c.select("chunk_id").join(touching.groupBy("chunk_id").agg(F.array_sort(F.collect_set("page_number")).alias("p")), "chunk_id", "left")
-    return hit.select("chunk_id", F.when(F.size("p") > 0, F.col("p")).otherwise(F.array(F.lit(1))).alias("page_numbers"))
+    return hit.select("chunk_id", F.when(F.size("p") > 0, F.col("p")).otherwise(F.array(F.lit(1).cast(offsets.schema["page_number"].dataType))).alias("page_numbers"))
+
+
+_STRETCH = 4096
+
+
+def found_at(part: Column, whole: Column) -> Column:
+    """Where the first hundred characters of a part first occur in the whole; -1 where they do not."""
+    return F.position(F.substring(part, 1, 100), whole) - 1
+
+
+def window_offsets(pages: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
+    """(doc_id, chunk_index, start_offset, end_offset) of fixed windows, in the words joined by single spaces.
+
+    As ``end_offset`` is the last character's place, a window ends before it.
+    """
+    gathered = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_number", "content"))).alias("p"))
+
+    def cut(w: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(config.size - config.overlap))
+        before = lambda s: F.length(F.array_join(F.slice(w, 1, s), " "))
+        each = F.transform(starts, lambda s: F.struct(F.size(F.slice(w, s + 1, config.size)).alias("n"), before(s).alias("start"), F.length(F.array_join(F.slice(w, s + 1, config.size), " ")).alias("chars")))
+        return F.filter(each, lambda x: x["n"] >= config.min_size // 10)
+
+    placed = gathered.select("doc_id", F.posexplode(T.let(T.words(F.array_join("p.content", " ")), cut)).alias("chunk_index", "x"))
+    return placed.select("doc_id", "chunk_index", F.col("x.start").cast("long").alias("start_offset"), (F.col("x.start") + F.col("x.chars") - 1).cast("long").alias("end_offset"))
+
+
+def spaced_offsets(pages: DataFrame) -> DataFrame:
+    """Where each page begins and ends when pages are joined by a space, which belongs to the page before it."""
+    before = Window.partitionBy("doc_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("content") + 1).over(before), F.lit(0))
+    return pages.select("doc_id", "page_number", start.alias("start_offset"), (start + F.length("content")).alias("end_offset"))

@@ -66,15 +66,23 @@ def hierarchy(chunks: DataFrame, found: DataFrame | None = None) -> DataFrame:
 
 
 def related_chunks(chunks: DataFrame, least: int = 3) -> DataFrame:
-    """(doc_id, chunk_id, related_id, strength): chunks of one document that share concepts.
+    """(doc_id, chunk_id, related_id, related_index, strength): chunks of one document that share concepts.
 
-    Concepts are computed once for each chunk; an equi-join on document and
-    concept replaces the comparison of all pairs.
+    Chunks that share ``least`` concepts share one of all but ``least`` - 1 of
+    each, in any common order.  With the order of frequency within the document
+    the equi-join on document and concept leaves out what most chunks have.
     """
-    c = chunks.select("doc_id", "chunk_id", "chunk_index", F.explode(chunk_text.key_concepts("content")).alias("concept"))
-    other = c.select("doc_id", F.col("chunk_id").alias("related_id"), F.col("chunk_index").alias("related_index"), "concept")
-    pairs = c.join(other, ["doc_id", "concept"]).where("chunk_id <> related_id")
-    return pairs.groupBy("doc_id", "chunk_id", "related_id", "related_index").agg(F.count(F.lit(1)).alias("strength")).where(F.col("strength") >= least)
+    c = chunks.select("doc_id", "chunk_id", "chunk_index", chunk_text.key_concepts("content").alias("concepts")).where(F.size("concepts") >= least)
+    each = c.select("doc_id", "chunk_id", "chunk_index", F.explode("concepts").alias("concept"))
+    often = each.groupBy("doc_id", "concept").agg(F.count(F.lit(1)).alias("n"))
+    ranked = each.join(often, ["doc_id", "concept"]).groupBy("doc_id", "chunk_id", "chunk_index").agg(F.array_sort(F.collect_list(F.struct("n", "concept"))).alias("r"))
+    ranked = ranked.select("doc_id", "chunk_id", "chunk_index", F.col("r.concept").alias("concepts"), F.slice("r.concept", 1, F.size("r") - (least - 1)).alias("first"))
+    # a pair meets once for each concept that both have first; it counts at the least of them
+    one = ranked.select("doc_id", "chunk_id", "chunk_index", "concepts", "first", F.explode("first").alias("concept"))
+    other = one.select("doc_id", F.col("chunk_id").alias("related_id"), F.col("chunk_index").alias("related_index"), F.col("concepts").alias("theirs"), F.col("first").alias("their_first"), "concept")
+    pairs = one.join(other, ["doc_id", "concept"]).where((F.col("chunk_id") != F.col("related_id")) & (F.array_min(F.array_intersect("first", "their_first")) == F.col("concept")))
+    strength = F.size(F.array_intersect("concepts", "theirs")).cast("long")
+    return pairs.select("doc_id", "chunk_id", "related_id", "related_index", strength.alias("strength")).where(F.col("strength") >= least)
 
 
 def strongest_related(related: DataFrame, most: int = 5) -> DataFrame:
@@ -98,6 +106,24 @@ def enrich_chunks(chunks: DataFrame, documents: DataFrame) -> DataFrame:
     return out.join(documents, "doc_id", "left")
 
 
+def with_document_context(chunks: DataFrame, documents: DataFrame) -> DataFrame:
+    """Chunks with title, doc_type and total_pages of their document, and defaults where it has none."""
+    d = documents.select("doc_id", F.col("title").alias("t"), F.col("doc_type").alias("k"), F.col("total_pages").alias("n"))
+    out = chunks.join(d, "doc_id", "left")
+    return out.select(*chunks.columns, F.coalesce("t", F.lit("Untitled")).alias("title"), F.coalesce("k", F.lit("unknown")).alias("doc_type"), F.coalesce("n", F.lit(0)).alias("total_pages"))
+
+
+def navigation_integrity(chunks: DataFrame) -> DataFrame:
+    """(doc_id, chunks, linked, first_with_previous, last_with_next): the last two count what should not be."""
+    order = F.col("chunk_index")
+    ends = chunks.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("previous_chunk_id").isNotNull() | F.col("next_chunk_id").isNotNull()).alias("linked"),
+        F.min_by(F.struct("previous_chunk_id"), order).alias("f"), F.max_by(F.struct("next_chunk_id"), order).alias("l"),
+    )
+    issue = lambda c: F.col(c).isNotNull().cast("long")
+    return ends.select("doc_id", "chunks", "linked", issue("f.previous_chunk_id").alias("first_with_previous"), issue("l.next_chunk_id").alias("last_with_next"))
+
+
 def validate_chunks(chunks: DataFrame) -> DataFrame:
     """Adds a struct for each check, issues, and score: the sum of the checks as a percentage."""
     given = {c: F.col(c) for c in ("content", "chapter", "section", "previous_chunk_id", "next_chunk_id", "chunk_type", "token_count", "char_count")}

@@ -59,6 +59,29 @@ def best_category(content: Column, patterns: Mapping[str, Sequence[str]], least:
     return F.when(best["share"] >= least, best["name"]).otherwise("unknown")
 
 
+# Phrases of the compliance checks.
+PRIVACY = {
+    "privacy_policy": ["privacy policy", "datenschutz"],
+    "data_retention": ["data retention", "datenaufbewahrung"],
+    "consent_mechanism": ["consent", "einwilligung"],
+    "data_subject_rights": ["data subject rights", "betroffenenrechte"],
+}
+SECURITY = ["information security", "risk management", "security controls", "incident response", "business continuity"]
+RISKS = ["confidential", "vertraulich", "sensitive", "personal data", "financial", "legal", "compliance", "audit"]
+
+
+def compliance(content: Column) -> Column:
+    """A struct: privacy and security percentages with their statuses, and the risk score with its level."""
+    low = F.lower(content)
+    privacy = sum((T.contains_any(low, words).cast("int") for words in PRIVACY.values()), F.lit(0)) * (100 / len(PRIVACY))
+    security = T.count_contained(low, SECURITY) * (100 / len(SECURITY))
+    risk = T.count_contained(low, RISKS)
+    return F.struct(
+        privacy.alias("privacy_percent"), F.when(privacy >= 75, "compliant").otherwise("non_compliant").alias("privacy_status"), security.alias("security_percent"), F.when(security >= 60, "compliant").otherwise("partial").alias("security_status"),
+        risk.alias("risk_score"), F.when(risk >= 5, "high").when(risk >= 3, "medium").otherwise("low").alias("risk_level"),
+    )
+
+
 def rate(df: DataFrame, passed: Column, *by: str) -> DataFrame:
     """Rows, passed rows and their percentage, overall or by columns."""
     out = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(passed).alias("passed"))

@@ -7,11 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from papyrion.session import set_checkpoint_folder
+
 
 def add_documents(nodes: DataFrame, new: DataFrame) -> DataFrame:
     return nodes.join(new.select("doc_id"), "doc_id", "left_anti").select(*nodes.columns).unionByName(new.select(*nodes.columns))
 
 
+def document(nodes: DataFrame, doc_id) -> DataFrame:
+    """The node with that id, or no row."""
+    return nodes.where(F.col("doc_id") == doc_id)
+
+
 def valid_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges whose two ends exist."""
     ids = nodes.select("doc_id").distinct()
@@ -61,14 +68,33 @@ def similar_to(nodes: DataFrame, doc_id, least: float = 0.7) -> DataFrame:
 def similar_pairs(nodes: DataFrame, least: float = 0.6) -> DataFrame:
     """(doc_id, other_id, similarity) of all pairs, doc_id < other_id.
 
-    Type and authors give half at most, so above one half a pair shares a tag,
-    and an equi-join on tags finds all; lower limits are refused.
+    Type and authors give half at most, so above one half a pair shares tags;
+    lower limits are refused.  How many depends on the rest: with one type and
+    no author in common the index of the tags is at least (least - 0.3) / 0.5,
+    with an author too (least - 0.5) / 0.5, and with an author alone
+    (least - 0.2) / 0.5.  Each case is an equi-join on what is in common and on
+    the rarest tags that such an index leaves room for (prefix filtering), so a
+    tag that many documents have is a key only together with type or author.
     """
     if least <= 0.5:
         raise ValueError("a limit of 0.5 or less would need all pairs")
-    tag = nodes.select("doc_id", F.explode("tags").alias("tag"))
-    ids = tag.join(tag.withColumnRenamed("doc_id", "other_id"), "tag").where("doc_id < other_id").select("doc_id", "other_id").distinct()
-    return ids.join(nodes, "doc_id").join(_as_other(nodes), "other_id").select("doc_id", "other_id", _similarity().alias("similarity")).where(F.col("similarity") >= least)
+    tagged = nodes.select("doc_id", "doc_type", "authors", F.explode(F.array_distinct("tags")).alias("tag"))
+    often = tagged.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    ranked = tagged.join(often, "tag").groupBy("doc_id").agg(F.first("doc_type").alias("doc_type"), F.first("authors").alias("authors"), F.array_sort(F.collect_list(F.struct("n", "tag"))).alias("r"))
+
+    def prefixed(share: float) -> DataFrame:
+        """Each document with the tags of which two with that index have one in common."""
+        most = F.size("r") - F.ceil(F.size("r") * share - 1e-9).cast("int") + 1
+        return ranked.select("doc_id", "doc_type", "authors", F.explode(F.slice("r", 1, most)["tag"]).alias("tag"))
+
+    with_author = lambda df: df.select("doc_id", "doc_type", "tag", F.explode(F.array_distinct("authors")).alias("author"))
+    cases = [(prefixed((least - 0.3) / 0.5), ["doc_type", "tag"]) if least <= 0.8 else None, (with_author(prefixed((least - 0.5) / 0.5)), ["doc_type", "author", "tag"]), (with_author(prefixed((least - 0.2) / 0.5)), ["author", "tag"]) if least <= 0.7 else None]
+    found = None
+    for side, keys in filter(None, cases):
+        side = side.select("doc_id", *keys)
+        ids = side.join(side.withColumnRenamed("doc_id", "other_id"), keys).where("doc_id < other_id").select("doc_id", "other_id")
+        found = ids if found is None else found.unionByName(ids)
+    return found.distinct().join(nodes, "doc_id").join(_as_other(nodes), "other_id").select("doc_id", "other_id", _similarity().alias("similarity")).where(F.col("similarity") >= least)
 
 
 def shortest_path(edges: DataFrame, start, end, max_depth: int = 3) -> list | None:
@@ -80,13 +106,14 @@ def shortest_path(edges: DataFrame, start, end, max_depth: int = 3) -> list | No
     if start == end:
         return [start]
     spark = edges.sparkSession
+    set_checkpoint_folder(spark)
     steps = edges.select(F.col("source_doc_id").alias("s"), F.col("target_doc_id").alias("t")).distinct()
     kind = edges.schema["source_doc_id"].dataType
     layers = [spark.createDataFrame([(start, None)], "node string, parent string").select(F.col("node").cast(kind), F.col("parent").cast(kind))]
     reached = layers[0].select("node")
     for _ in range(max_depth):
         found = layers[-1].select("node").join(steps, F.col("node") == F.col("s")).groupBy("t").agg(F.min("s").alias("parent")).select(F.col("t").alias("node"), "parent")
-        found = found.join(reached, "node", "left_anti").checkpoint() if spark.sparkContext.getCheckpointDir() else found.join(reached, "node", "left_anti")
+        found = found.join(reached, "node", "left_anti").checkpoint()
         layers.append(found)
         if not found.where(F.col("node") == end).isEmpty():
             path = [end]
@@ -105,7 +132,8 @@ def clusters(nodes: DataFrame, least: float = 0.6) -> DataFrame:
     depends on earlier ones only, so it is decided in rounds over the similar
     pairs: whoever has no undecided earlier neighbour is decided.
     """
-    pairs = similar_pairs(nodes, least).select(F.col("doc_id").alias("a"), F.col("other_id").alias("b"))
+    set_checkpoint_folder(nodes.sparkSession)
+    pairs = similar_pairs(nodes, least).select(F.col("doc_id").alias("a"), F.col("other_id").alias("b")).checkpoint()
     state = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct().withColumn("leads", F.lit(None).cast("boolean"))
     while True:
         before = pairs.join(state.withColumnRenamed("n", "a").withColumnRenamed("leads", "led"), "a")
@@ -113,7 +141,7 @@ def clusters(nodes: DataFrame, least: float = 0.6) -> DataFrame:
         nxt = state.join(seen.withColumnRenamed("b", "n"), "n", "left")
         decided = F.when(F.col("leads").isNotNull(), F.col("leads")).when(F.coalesce("taken", F.lit(False)), False).when(F.coalesce("open", F.lit(False)), F.lit(None).cast("boolean")).otherwise(True)
         state = nxt.select("n", decided.alias("leads"))
-        state = state.checkpoint() if state.sparkSession.sparkContext.getCheckpointDir() else state.cache()
+        state = state.checkpoint()
         if state.where("leads is null").isEmpty():
             break
     leaders = state.where("leads").select(F.col("n").alias("a"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+VALUES = "key string, value string"
 STATE = "file_key string, hash string, doc_id string, processed_at timestamp, chunks_created int, processing_time double, quality_score double, file_size long, file_modified timestamp"
 
 
@@ -43,6 +46,48 @@ def statistics(state: DataFrame) -> DataFrame:
     )
 
 
+def inc_report(state: DataFrame, pending: DataFrame, version: str = "unknown") -> DataFrame:
+    """One row: the statistics, the worst files, how many deletions are pending, and the state's version."""
+    worst = low_quality(state).agg(F.to_json(F.array_sort(F.collect_list(F.struct("quality_score", "file_key", "chunks_created")))).alias("low_quality_files"))
+    waiting = pending.agg(F.countDistinct("file_key").alias("deleted_files_pending"))
+    return statistics(state).join(worst).join(waiting).withColumns({"pipeline_version": F.lit(version), "processed_files_count": F.col("total_files")})
+
+
+def save_state(state: DataFrame, values: DataFrame, folder: str) -> None:
+    """Processed files and the key-value state (key, value), as a new version under ``folder``."""
+    state.write.mode("overwrite").parquet(f"{folder}/processed")
+    values.write.mode("overwrite").parquet(f"{folder}/values")
+
+
+def load_state(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """What ``save_state`` wrote; empty where it is missing or cannot be read."""
+
+    def read(name: str, schema: str) -> DataFrame:
+        try:
+            found = spark.read.parquet(f"{folder}/{name}")
+            return found.select(*(F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")))
+        except (PySparkException, Py4JJavaError):
+            return spark.createDataFrame([], schema)
+
+    return read("processed", STATE), read("values", VALUES)
+
+
+def update_value(values: DataFrame, key: str, value: str, as_of: str) -> DataFrame:
+    """Key-value state with one key set, and ``last_updated``."""
+    rows = values.sparkSession.createDataFrame([(key, value), ("last_updated", as_of)], VALUES)
+    return values.join(rows.select("key"), "key", "left_anti").unionByName(rows)
+
+
+def get_value(values: DataFrame, key: str, default: str | None = None) -> str | None:
+    row = values.where(F.col("key") == key).first()
+    return row["value"] if row else default
+
+
+def history(state: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
+    """The tables of a history export (``sinks.export_json``): state, files and statistics."""
+    return {"pipeline_state": values, "processed_files": state, "statistics": statistics(state)}
+
+
 def low_quality(state: DataFrame, below: float = 70.0, most: int = 10) -> DataFrame:
     return state.where(F.col("quality_score") < below).orderBy("quality_score", "file_key").limit(most)
 

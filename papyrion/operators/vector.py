@@ -65,10 +65,23 @@ def flat_metadata(chunks: DataFrame) -> DataFrame:
     )
 
 
-def write_vectors(rows: DataFrame, path: str) -> None:
+def write_vectors(rows: DataFrame, path: str, text_col: str = "content") -> None:
+    """Append rows with an embedding to a store; where some row has none, all get that of ``hashed_embedding``."""
+    if "embedding" not in rows.columns or not rows.where("embedding is null").isEmpty():
+        rows = hashed_embedding(rows.drop("embedding"), text_col=text_col)
     rows.write.mode("append").partitionBy("document_type").parquet(path)
 
 
+def reset(rows: DataFrame, path: str) -> None:
+    """Drop the store at ``path`` and begin an empty one with the columns of ``rows``."""
+    rows.limit(0).write.mode("overwrite").parquet(path)
+
+
+def chunk_by_id(chunks: DataFrame, chunk_id: str) -> DataFrame:
+    """The chunk with that id, or no row."""
+    return chunks.where(F.col("chunk_id") == chunk_id)
+
+
 def statistics(chunks: DataFrame) -> DataFrame:
     """Chunks by document_type and by chunk_type, with totals, in one pass."""
     known = chunks.select(F.coalesce("document_type", F.lit("unknown")).alias("document_type"), F.coalesce("chunk_type", F.lit("unknown")).alias("chunk_type"))

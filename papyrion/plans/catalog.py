@@ -1,6 +1,6 @@
 """All queries of the library, gathered from the modules that define them."""
 
-from papyrion.plans import extension_queries, table_queries, text_queries
+from papyrion.plans import context_queries, extension_queries, table_queries, text_queries
 from papyrion.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "extension_queries", "table_queries", "text_queries"]
+__all__ = ["ORACLES", "QUERIES", "context_queries", "extension_queries", "table_queries", "text_queries"]

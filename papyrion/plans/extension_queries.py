@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrion.functions import quality
-from papyrion.operators import chunking, enrich, extensions, incremental
-from papyrion.plans.inputs import STATE, frame, manuals
+from papyrion.operators import chunking, enrich, extensions, graph, incremental, vector
+from papyrion.plans import pipeline
+from papyrion.plans.inputs import LISTING, STATE, frame, manuals, nodes
 from papyrion.plans.registry import query, table
-from papyrion.plans.text_queries import WITH, WITH_CHUNKS, _scored, manual_chunks
+from papyrion.plans.text_queries import LIST_GAPS, WITH, WITH_CHUNKS, manual_chunks
 from papyrion.sources import files
 
 
@@ -65,7 +66,10 @@ def _tfidf_kmeans(spark, folder):
     return extensions.topics(docs, max(2, min(20, docs.count() // 10)))
 
 
-@query("hybrid_query")
+@query("hybrid_query", """WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 0),
+dots AS (SELECT vec_id, label, list_sum(list_transform(range(1, len(e) + 1), lambda i: CAST(embedding[i] AS DOUBLE) * e[i])) AS d,
+  list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)) AS a, list_sum(list_transform(e, lambda x: CAST(x AS DOUBLE) * x)) AS b FROM embeddings, q)
+SELECT vec_id, round(0.7 * d / (sqrt(a) * sqrt(b)) + 0.3 * (1 + CAST(contains(CAST(label AS VARCHAR), '1') AS INT)) / 2, 6) AS score FROM dots""")
 def _hybrid(spark, folder):
     e = table(spark, folder, "embeddings").withColumn("content", F.concat(F.lit("label "), F.col("label").cast("string")))
     first = e.where("vec_id = 0").first()["embedding"]
@@ -73,7 +77,8 @@ def _hybrid(spark, folder):
     return e.select("vec_id", F.round(score, 6).alias("score"))
 
 
-@query("extract_valid", "SELECT doc_id, length(text) >= 100 AS valid FROM documents")
+@query("extract_valid", r"""SELECT doc_id, length(text) >= 100 AND NOT (length(text) > 1000
+  AND len(list_filter(list_distinct(string_split(text, '')), lambda c: regexp_matches(c, '\p{L}') AND length(text) - length(replace(text, c, '')) = 1)) > 0.3 * length(text)) AS valid FROM documents""")
 def _extract_valid(spark, folder):
     return files.valid_extractions(table(spark, folder, "documents").select("doc_id", F.col("text").alias("content")))
 
@@ -89,10 +94,13 @@ def _q_context(spark, folder):
     return c.select("chunk_id", quality.context_consistency(F.col("content"), none, none, F.col("previous_chunk_id"), F.col("next_chunk_id"), F.lit("unknown"))["score"].alias("score"))
 
 
-@query("nav_integrity", f"{WITH_CHUNKS} SELECT doc_id, count(*) AS chunks, CASE WHEN count(*) > 1 THEN count(*) ELSE 0 END AS linked FROM chunks GROUP BY doc_id")
+@query("nav_integrity", f"""{WITH_CHUNKS}, linked AS (SELECT doc_id, chunk_index, CASE WHEN doc_id % 3 = 0 THEN 'x' ELSE CAST(lag(chunk_index) OVER w AS VARCHAR) END AS p, CASE WHEN doc_id % 4 = 0 THEN 'x' ELSE CAST(lead(chunk_index) OVER w AS VARCHAR) END AS n,
+  row_number() OVER w AS k, count(*) OVER (PARTITION BY doc_id) AS total FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index))
+SELECT doc_id, count(*) AS chunks, count(*) FILTER (p IS NOT NULL OR n IS NOT NULL) AS linked, count(*) FILTER (k = 1 AND p IS NOT NULL) AS first_with_previous, count(*) FILTER (k = total AND n IS NOT NULL) AS last_with_next FROM linked GROUP BY doc_id""")
 def _nav_integrity(spark, folder):
     c = enrich.navigation(manual_chunks(spark, folder))
-    return c.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("previous_chunk_id").isNotNull() | F.col("next_chunk_id").isNotNull()).alias("linked"))
+    broken = {"previous_chunk_id": F.when(F.col("doc_id") % 3 == 0, "x").otherwise(F.col("previous_chunk_id")), "next_chunk_id": F.when(F.col("doc_id") % 4 == 0, "x").otherwise(F.col("next_chunk_id"))}
+    return enrich.navigation_integrity(c.withColumns(broken))
 
 
 @query("coverage", "SELECT source AS doc_id, CAST(sum(length(text)) AS BIGINT) AS total_chars, count(DISTINCT doc_id * doc_id % 37) AS pages_covered, round(count(DISTINCT doc_id * doc_id % 37) / 50, 6) AS coverage_ratio FROM documents GROUP BY 1")
@@ -102,18 +110,20 @@ def _coverage(spark, folder):
     return enrich.coverage(c, total).withColumn("coverage_ratio", F.round("coverage_ratio", 6))
 
 
-@query("q_summary")
-def _q_summary(spark, folder):
-    scored = _scored(spark, folder)
-    top = enrich.frequent_issues(scored).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda x: x["text"]), "; ").alias("major_issues"))
-    return enrich.document_quality(scored, 70.0).join(top, "doc_id", "left").select("doc_id", "grade", "major_issues", (F.col("good_chunks") > 0.8 * F.col("chunks")).alias("mostly_good"))
+_SIMPLE = rf"""{WITH}, words AS (SELECT doc_id, list_filter(regexp_split_to_array(content, '\s+'), lambda w: w <> '') AS w FROM manuals),
+parts AS (SELECT doc_id, CAST(i // 1000 AS INT) AS chunk_index, array_to_string(w[i + 1:i + 1000], ' ') AS content FROM (SELECT doc_id, w, unnest(range(0, len(w), 1000)) AS i FROM words))"""
 
 
-@query("prod_nav", f"""{WITH}, chunks AS (SELECT doc_id, len(list_filter(regexp_split_to_array(content, '\\s+'), lambda w: w <> '')) AS n FROM manuals)
-SELECT doc_id, CAST(ceil(n / 1000.0) AS BIGINT) AS chunks, n // CAST(ceil(n / 1000.0) AS BIGINT) AS mean_words FROM chunks""")
+@query("prod_report", f"{_SIMPLE} SELECT doc_id, count(*) AS chunks, CAST(sum(length(content)) // count(*) AS BIGINT) AS average_chunk_size, CAST(85 AS DOUBLE) AS quality_score FROM parts GROUP BY doc_id")
+def _prod_report(spark, folder):
+    return pipeline.simple_report(chunking.simple(manuals(spark, folder)))
+
+
+@query("prod_nav", f"""{_SIMPLE}, named AS (SELECT doc_id, chunk_index, concat(doc_id, '_chunk_', chunk_index) AS chunk_id FROM parts)
+SELECT chunk_id, lag(chunk_id) OVER w AS previous_chunk_id, lead(chunk_id) OVER w AS next_chunk_id FROM named WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index)""")
 def _prod_nav(spark, folder):
-    c = chunking.simple(manuals(spark, folder))
-    return c.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum("token_count").alias("w")).select("doc_id", "chunks", F.floor(F.col("w") / F.col("chunks")).alias("mean_words"))
+    c = chunking.simple(manuals(spark, folder)).withColumn("chunk_id", F.concat_ws("_chunk_", "doc_id", "chunk_index"))
+    return enrich.navigation(c).select("chunk_id", "previous_chunk_id", "next_chunk_id")
 
 
 @query("last_processing", f"WITH state AS ({STATE}) SELECT max(processed_at) AS last_processing FROM state")
@@ -121,7 +131,7 @@ def _last_processing(spark, folder):
     return incremental.statistics(frame(spark, folder, STATE)).select("last_processing")
 
 
-@query("list_gaps", f"{WITH} SELECT doc_id, doc_id % 5 = 0 AS interrupted FROM manuals")
+@query("list_gaps", f"{WITH} SELECT doc_id, {LIST_GAPS} AS interrupted FROM manuals")
 def _list_gaps(spark, folder):
     check = quality.structural_integrity(F.col("content"))
     return manuals(spark, folder).select("doc_id", F.array_contains(check["issues"], "Interrupted list structure").alias("interrupted"))
@@ -130,4 +140,48 @@ def _list_gaps(spark, folder):
 @query("pages_union", f"{WITH} SELECT source, count(DISTINCT doc_id * doc_id % 31) AS pages FROM manuals GROUP BY 1")
 def _pages_union(spark, folder):
     arrays = manuals(spark, folder).select("source", F.array(F.col("doc_id") * F.col("doc_id") % 31, F.col("doc_id") * F.col("doc_id") % 31).alias("p"))
-    return arrays.groupBy("source").agg(F.size(F.array_distinct(F.flatten(F.collect_set("p")))).cast("long").alias("pages"))
+    return arrays.select("source", F.explode("p").alias("p")).groupBy("source").agg(F.countDistinct("p").alias("pages"))
+
+
+@query("page_span_fixed", r"""WITH pages AS (SELECT source AS doc_id, doc_id AS page_number, text AS content FROM documents),
+offsets AS (SELECT doc_id, page_number, coalesce(sum(length(content) + 1) OVER w, 0) AS a, coalesce(sum(length(content) + 1) OVER w, 0) + length(content) AS b
+  FROM pages WINDOW w AS (PARTITION BY doc_id ORDER BY page_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+texts AS (SELECT doc_id, list_filter(regexp_split_to_array(string_agg(content, ' ' ORDER BY page_number), '\s+'), lambda w: w <> '') AS w FROM pages GROUP BY doc_id),
+starts AS (SELECT doc_id, w, unnest(range(0, len(w), 800)) AS s FROM texts),
+spans AS (SELECT doc_id, s, length(array_to_string(w[1:s], ' ')) AS a, length(array_to_string(w[s + 1:s + 1000], ' ')) AS n FROM starts WHERE len(w[s + 1:s + 1000]) >= 10),
+numbered AS (SELECT concat(doc_id, '_chunk_', row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1) AS chunk_id, * FROM spans)
+SELECT chunk_id, string_agg(CAST(o.page_number AS VARCHAR), ',' ORDER BY o.page_number) AS page_numbers FROM numbered n JOIN offsets o ON n.doc_id = o.doc_id AND n.a <= o.b AND n.a + n.n - 1 >= o.a GROUP BY chunk_id""")
+def _page_span_fixed(spark, folder):
+    pages = frame(spark, folder, "SELECT source AS doc_id, doc_id AS page_number, text AS content FROM documents")
+    chunks = chunking.page_spans(chunking.named(chunking.window_offsets(pages)), chunking.spaced_offsets(pages))
+    return chunks.select("chunk_id", F.array_join(F.transform("page_numbers", lambda x: x.cast("string")), ",").alias("page_numbers"))
+
+
+@query("compliance", f"""{WITH}, counted AS (SELECT doc_id, lower(content) AS low FROM manuals)
+SELECT doc_id, {" + ".join("CASE WHEN " + " OR ".join(f"contains(low, '{w}')" for w in words) + " THEN CAST(25 AS DOUBLE) ELSE 0 END" for words in extensions.PRIVACY.values())} AS privacy_percent,
+  CAST(20 AS DOUBLE) * ({" + ".join(f"CAST(contains(low, '{w}') AS INT)" for w in extensions.SECURITY)}) AS security_percent, CAST({" + ".join(f"CAST(contains(low, '{w}') AS INT)" for w in extensions.RISKS)} AS INT) AS risk_score,
+  CASE WHEN risk_score >= 5 THEN 'high' WHEN risk_score >= 3 THEN 'medium' ELSE 'low' END AS risk_level FROM counted""")
+def _compliance_report(spark, folder):
+    found = manuals(spark, folder).select("doc_id", extensions.compliance(F.col("content")).alias("c"))
+    return found.select("doc_id", "c.privacy_percent", "c.security_percent", "c.risk_score", "c.risk_level")
+
+
+@query("inc_report", f"""WITH state AS ({STATE}), listing AS ({LISTING}), worst AS (SELECT file_key, quality_score, chunks_created FROM state WHERE quality_score < 70 ORDER BY quality_score, file_key LIMIT 10)
+SELECT count(*) AS processed_files_count, CAST(sum(chunks_created) AS BIGINT) AS total_chunks, max(processed_at) AS last_processing, '2.0.0' AS pipeline_version, (SELECT count(*) FROM state WHERE file_key NOT IN (SELECT file_key FROM listing)) AS deleted_files_pending,
+  (SELECT string_agg(file_key, ',' ORDER BY quality_score, file_key) FROM worst) AS low_quality_files FROM state""")
+def _inc_report(spark, folder):
+    state = frame(spark, folder, STATE)
+    gone = incremental.plan(frame(spark, folder, LISTING), state).where("status = 'deleted'")
+    out = incremental.inc_report(state, gone, "2.0.0")
+    worst = F.array_join(F.from_json("low_quality_files", "array<struct<quality_score: double, file_key: string>>")["file_key"], ",")
+    return out.select("processed_files_count", "total_chunks", "last_processing", "pipeline_version", "deleted_files_pending", worst.alias("low_quality_files"))
+
+
+@query("chunk_by_id", f"{WITH_CHUNKS} SELECT doc_id, chunk_index, sha256(content) AS content_sha256 FROM chunks WHERE concat(doc_id, '_chunk_', chunk_index) = '7_chunk_0'")
+def _chunk_by_id(spark, folder):
+    return vector.chunk_by_id(manual_chunks(spark, folder), "7_chunk_0").select("doc_id", F.col("chunk_index").cast("int").alias("chunk_index"), F.sha2("content", 256).alias("content_sha256"))
+
+
+@query("graph_doc", "SELECT p_partkey AS doc_id, p_name AS title, p_type AS doc_type FROM part WHERE p_partkey = 7")
+def _graph_doc(spark, folder):
+    return graph.document(nodes(spark, folder), 7).select("doc_id", "title", "doc_type")

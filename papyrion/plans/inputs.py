@@ -16,7 +16,8 @@ MANUALS = r"""SELECT doc_id, lang, source, concat(
   CASE doc_id % 4
     WHEN 0 THEN concat('User Manual', chr(10), 'Author: Ann Lee and Bob Ray; Cy Dee', chr(10), 'Version 2.', doc_id % 7, chr(10), 'Created: 05/0', doc_id % 9 + 1, '/2024', chr(10), 'Tags: Data, Spark and SQL', chr(10))
     WHEN 1 THEN concat('Release notes', chr(10), 'Title: Change log ', doc_id, chr(10), 'By: Dee Fox', chr(10), 'Last updated: 2023-0', doc_id % 9 + 1, '-15', chr(10))
-    WHEN 2 THEN concat('Research report for the cloud', chr(10), 'Keywords: api; docker', chr(10), 'Table of contents', chr(10))
+    WHEN 2 THEN concat('Research report for the cloud', chr(10), 'Author', chr(10), ' Max Moe, Lia Poe', chr(10), 'Copyright 2021 by Eve Stone', chr(10), 'Date: 2024/03/0', doc_id % 9 + 1, chr(10),
+      CASE WHEN doc_id % 8 = 2 THEN 'Issued 9 March 2023, again march 5, 2022' ELSE 'Revised: 05.1.24 Modified: 31-12-2023' END, chr(10), 'Keywords: api; docker', chr(10), 'Table of contents', chr(10))
     ELSE '' END,
   'Chapter ', doc_id % 5 + 1, ': Topic ', source, chr(10),
   CASE WHEN doc_id % 3 = 0 THEN concat('Introduction: scope', chr(10), 'for example however the best practice', chr(10)) ELSE concat('Warning: mind this', chr(10)) END,

@@ -10,7 +10,8 @@ version.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from papyrion.config import PipelineConfig
 from papyrion.functions import metadata
 from papyrion.functions import text as T
 from papyrion.operators import chunking, enrich, incremental, store, vector
+from papyrion.session import set_checkpoint_folder
 from papyrion.sources import files
 
 
@@ -58,26 +60,28 @@ def joined_text(pages: DataFrame) -> DataFrame:
 def process_pages(pages: DataFrame, config: PipelineConfig = PipelineConfig()) -> tuple[DataFrame, DataFrame]:
     """(documents, scored chunks) of extracted pages."""
     documents = document_metadata(pages)
-    texts = pages if config.chunking.strategy == "semantic" else joined_text(pages)
-    chunks = chunking.create_chunks(texts, config.chunking)
-    if "page_numbers" not in chunks.columns:
-        chunks = chunks.withColumn("page_numbers", F.array(F.lit(1)))
+    chunks = chunking.chunk_pages(pages, joined_text(pages), config.chunking)
     return documents, enrich.validate_chunks(enrich.enrich_chunks(chunks, documents.select("doc_id", "title", "doc_type", "total_pages")))
 
 
-def run(spark: SparkSession, folder: str, state: DataFrame | None = None, tables: dict[str, DataFrame] | None = None, config: PipelineConfig = PipelineConfig(), force_all: bool = False) -> RunResult:
+def run(spark: SparkSession, folder: str, state: DataFrame | None = None, tables: dict[str, DataFrame] | None = None, config: PipelineConfig = PipelineConfig(), force_all: bool = False, materialize: bool = False) -> RunResult:
     """Plan, extract, chunk, enrich, validate and store what changed in ``folder``.
 
     A document fails if no backend could read it, or if its score is below the
     gate; failed files stay out of the state and come again at the next run.
+    With ``materialize`` pages, documents and chunks are written to the shared
+    folder once, instead of being made anew for each table that is used.
     """
+    once = lambda df: df.checkpoint() if materialize else df
+    if materialize:
+        set_checkpoint_folder(spark)
     state = state if state is not None else spark.createDataFrame([], incremental.STATE)
     tables = tables if tables is not None else store.empty_tables(spark)
     listed = files.scan(spark, folder, config.extraction.pattern)
     planned = incremental.plan(listed.select("file_key", "hash"), state)
     chosen = listed if force_all else listed.join(incremental.to_process(planned), "file_key", "left_semi")
-    pages = files.extract_pages(chosen, config.extraction.primary, config.extraction.fallback)
-    documents, chunks = process_pages(pages, config)
+    pages = once(files.extract_pages(chosen, config.extraction.primary, config.extraction.fallback))
+    documents, chunks = map(once, process_pages(pages, config))
     judged = documents.join(enrich.document_quality(chunks, config.min_quality_score), "doc_id", "left")
     ok = F.coalesce(F.col("accepted"), F.lit(False)) & ~F.col("extraction_failed")
     results = judged.withColumn("status", F.when(ok, "success").otherwise("failed")).withColumnsRenamed({"chunks": "chunks_created", "overall_score": "quality_score"})
@@ -103,6 +107,28 @@ def run(spark: SparkSession, folder: str, state: DataFrame | None = None, tables
     return RunResult(documents, kept, results, stored, vectors, left.select(*state.columns), incremental.run_report(results))
 
 
+def run_batch(spark: SparkSession, batches: Sequence[tuple[str, Mapping]], state: DataFrame | None = None, tables: dict[str, DataFrame] | None = None, config: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Several folders, each with fields of ``config`` to replace; (folder, status, files, chunk_count) of each.
+
+    A folder's tables and state are the start of the next one's, and are written
+    to the shared folder before it begins.
+    """
+    set_checkpoint_folder(spark)
+    out = None
+    for folder, override in batches:
+        done = run(spark, folder, state, tables, replace(config, **override), materialize=True)
+        state, tables = done.state.checkpoint(), {name: t.checkpoint() for name, t in done.tables.items()}
+        row = done.report.checkpoint().select(F.lit(folder).alias("folder"), F.when(F.col("failed") == 0, "success").when(F.col("successful") == 0, "failed").otherwise("partial").alias("status"), F.col("total_files_processed").alias("files"), F.col("total_chunks").alias("chunk_count"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def simple_report(chunks: DataFrame, confidence: float = 0.85) -> DataFrame:
+    """(doc_id, chunks, average_chunk_size, quality_score) of the simple profile."""
+    out = chunks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum("char_count").alias("n"))
+    return out.select("doc_id", "chunks", F.floor(F.col("n") / F.col("chunks")).alias("average_chunk_size"), F.lit(confidence * 100).alias("quality_score"))
+
+
 def run_simple(spark: SparkSession, folder: str, pattern: str = "*.pdf", size: int = 1000) -> DataFrame:
     """The simple profile: plain windows with constant confidence, ids unique over documents."""
     pages = files.extract_pages(files.scan(spark, folder, pattern)).where("not extraction_failed")

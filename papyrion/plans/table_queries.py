@@ -225,7 +225,17 @@ def _graph_stats(spark, folder):
     return graph.statistics(nodes(spark, folder), _edges(spark, folder))
 
 
-@query("graph_path")
+def _step(k: int) -> str:
+    seen = " UNION ALL ".join(f"SELECT node FROM l{i}" for i in range(k))
+    return f"l{k} AS (SELECT t AS node, min(s) AS parent FROM l{k - 1} JOIN steps ON s = node WHERE t NOT IN ({seen}) GROUP BY t)"
+
+
+@query("graph_path", f"""WITH edges AS ({EDGES}), steps AS (SELECT DISTINCT source_doc_id AS s, target_doc_id AS t FROM edges), ends AS (SELECT min(source_doc_id) AS a, max(target_doc_id) AS b FROM edges),
+l0 AS (SELECT a AS node FROM ends), {_step(1)}, {_step(2)}, {_step(3)},
+back AS (SELECT 3 AS depth, b AS n3, parent AS n2 FROM ends JOIN l3 ON node = b UNION ALL SELECT 2, NULL, b FROM ends JOIN l2 ON node = b UNION ALL SELECT 1, NULL, NULL FROM ends JOIN l1 ON node = b),
+nodes AS (SELECT depth, n3, n2, CASE WHEN depth = 1 THEN b ELSE (SELECT parent FROM l2 WHERE node = n2) END AS n1, a FROM back, ends),
+path AS (SELECT list_filter([a, n1, n2, n3], lambda x: x IS NOT NULL) AS p FROM nodes ORDER BY depth LIMIT 1)
+SELECT CAST(generate_subscripts(p, 1) - 1 AS INT) AS step, unnest(p) AS doc_id FROM path""")
 def _graph_path(spark, folder):
     edges = _edges(spark, folder)
     ends = edges.agg(F.min("source_doc_id"), F.max("target_doc_id")).first()
@@ -233,7 +243,11 @@ def _graph_path(spark, folder):
     return spark.createDataFrame([(i, n) for i, n in enumerate(path or [])], "step int, doc_id long")
 
 
-@query("nav_suggest")
+@query("nav_suggest", f"""{_GRAPH}, alike AS (SELECT b.doc_id, {_SIM} AS relevance FROM nodes a, nodes b WHERE a.doc_id = 7 AND b.doc_id <> 7 AND {_SIM} >= 0.5 ORDER BY relevance DESC, b.doc_id LIMIT 3)
+SELECT doc_id, kind, relevance FROM (
+  SELECT target_doc_id AS doc_id, 'reference' AS kind, strength AS relevance FROM edges WHERE source_doc_id = 7 AND relation_type = 'references' UNION ALL SELECT doc_id, 'similar', relevance FROM alike
+  UNION ALL SELECT target_doc_id, 'prerequisite', strength FROM edges WHERE source_doc_id = 7 AND relation_type = 'prerequisite' UNION ALL SELECT source_doc_id, 'followup', strength FROM edges WHERE target_doc_id = 7 AND relation_type = 'prerequisite')
+ORDER BY relevance DESC, kind, doc_id LIMIT 10""")
 def _nav_suggest(spark, folder):
     return graph.suggestions(nodes(spark, folder), _edges(spark, folder), 7)
 

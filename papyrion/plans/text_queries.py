@@ -91,22 +91,6 @@ def _chunk_structure(spark, folder):
     return _digest(chunking.structured(manuals(spark, folder), chunking.ChunkingConfig(max_size=10_000_000)))
 
 
-@query("split_large")
-def _split_large(spark, folder):
-    return _digest(chunking.structured(manuals(spark, folder), chunking.ChunkingConfig(max_size=200)))
-
-
-@query("chunk_contextual")
-def _chunk_contextual(spark, folder):
-    return _digest(chunking.create_chunks(manuals(spark, folder)))
-
-
-@query("chunk_semantic")
-def _chunk_semantic(spark, folder):
-    pages = table(spark, folder, "documents").select("source", F.col("doc_id").alias("page_number"), F.regexp_replace("text", "\n", "\n\n").alias("content"))
-    return _digest(chunking.semantic(pages.withColumnRenamed("source", "doc_id"), chunking.ChunkingConfig(size=200)))
-
-
 @query("paragraphs", r"""SELECT doc_id, CAST(len(p) AS INT) AS paragraphs, sha256(array_to_string(p, '|')) AS digest FROM (
   SELECT doc_id, list_filter(list_transform(regexp_split_to_array(replace(text, chr(10), chr(10) || ' ' || chr(10)), '\n\s*\n'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS p FROM documents)""")
 def _paragraphs(spark, folder):
@@ -138,16 +122,16 @@ def _scalar(name: str, value, sql: str, extra: str = "") -> None:
     query(name, f"{WITH} SELECT doc_id, {sql} AS value FROM (SELECT *, CAST(len({W}) AS INT) AS token_count FROM manuals)")(lambda spark, folder: manuals(spark, folder).withColumn("token_count", T.word_count("content")).select("doc_id", value().alias("value")))
 
 
-def _case(rules, default: str) -> str:
+def case_of(rules, default: str) -> str:
     parts = " ".join("WHEN " + " OR ".join(f"contains(lower(content), '{p}')" for p in phrases) + f" THEN '{name}'" for name, phrases in rules)
     return f"CASE {parts} ELSE '{default}' END"
 
 
 _scalar("chunk_conf", lambda: chunk_text.confidence("content", F.col("token_count")), CONF)
 _scalar("completeness", lambda: chunk_text.completeness("content"), COMPLETE)
-_scalar("chunk_type", lambda: chunk_text.chunk_type("content"), _case(chunk_text.CHUNK_TYPES, "unknown"))
-_scalar("semantic_role", lambda: chunk_text.semantic_role("content"), _case(chunk_text.SEMANTIC_ROLES, "main_content"))
-_scalar("md_doctype", lambda: metadata.document_type("content"), _case(metadata.DOCUMENT_TYPES, "unknown"))
+_scalar("chunk_type", lambda: chunk_text.chunk_type("content"), case_of(chunk_text.CHUNK_TYPES, "unknown"))
+_scalar("semantic_role", lambda: chunk_text.semantic_role("content"), case_of(chunk_text.SEMANTIC_ROLES, "main_content"))
+_scalar("md_doctype", lambda: metadata.document_type("content"), case_of(metadata.DOCUMENT_TYPES, "unknown"))
 _scalar("complexity", lambda: F.floor(chunk_text.complexity("content") * 1000000), f"CAST(floor(least(coalesce(length(array_to_string({W}, '')) / nullif(len({W}), 0), 0) / 10, 1.0) * 1000000) AS BIGINT)")
 _scalar("density", lambda: F.round(chunk_text.density("content"), 6), f"round(coalesce(len(list_distinct(list_transform({W}, lambda w: lower(w)))) / nullif(len({W}), 0), 0), 6)")
 _scalar("prod_concepts", lambda: F.array_join(chunk_text.simple_concepts("content"), ","), "array_to_string(list_filter(['business', 'intelligence', 'data', 'analysis', 'management', 'strategy', 'process'], lambda k: contains(lower(content), k))[1:5], ',')")
@@ -160,7 +144,7 @@ ranked AS (SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id ORDER BY t)
 SELECT m.doc_id, coalesce(string_agg(t, ',' ORDER BY t), '') AS value FROM manuals m LEFT JOIN ranked r ON m.doc_id = r.doc_id AND k <= 10 GROUP BY m.doc_id"""
 
 
-def _extract_all(patterns) -> str:
+def extract_all(patterns) -> str:
     out = f"regexp_extract_all(content, '{patterns[0]}', 1)"
     for p in patterns[1:]:
         out = f"list_concat({out}, regexp_extract_all(content, '{p}', 1))"
@@ -168,8 +152,8 @@ def _extract_all(patterns) -> str:
 
 
 _TRIM = r"regexp_replace(x, '^\s+|\s+$', '', 'g')"
-_scalar("prereqs", lambda: F.array_join(chunk_text.prerequisites("content"), "|"), f"array_to_string(list_filter(list_transform({_extract_all(chunk_text.PREREQUISITES)}, lambda x: {_TRIM}), lambda x: length(x) < 100)[1:5], '|')")
-_scalar("refs", lambda: F.array_join(chunk_text.references("content"), "|"), f"array_to_string(list_sort(list_distinct(list_transform({_extract_all(chunk_text.REFERENCES)}, lambda x: {_TRIM}))), '|')")
+_scalar("prereqs", lambda: F.array_join(chunk_text.prerequisites("content"), "|"), f"array_to_string(list_filter(list_transform({extract_all(chunk_text.PREREQUISITES)}, lambda x: {_TRIM}), lambda x: length(x) < 100)[1:5], '|')")
+_scalar("refs", lambda: F.array_join(chunk_text.references("content"), "|"), f"array_to_string(list_sort(list_distinct(list_transform({extract_all(chunk_text.REFERENCES)}, lambda x: {_TRIM}))), '|')")
 _N = f"len({W})"
 _en = " + ".join(f"CAST(contains(lower(content), '{w}') AS INT)" for w in metadata.ENGLISH)
 _de = " + ".join(f"CAST(contains(lower(content), '{w}') AS INT)" for w in metadata.GERMAN)
@@ -186,14 +170,31 @@ _GUIDE = r"^([A-Za-z][A-Za-z\s]+(?i:Guide|Manual|Documentation|Handbook|Referenc
 _LABEL = r"(?i)Title:\s*(.+)"
 _scalar("md_title", lambda: metadata.title("content"), rf"coalesce({_heads(_GUIDE)}[1], {_heads(_LABEL)}[1], list_filter({_HEAD}, lambda x: length(x) > 10 AND NOT regexp_matches(x, '^(?:Page|Chapter|Section)'))[1][1:100], 'Untitled Document')")
 _LAB = lambda labels, split: rf"list_transform(flatten(list_transform(regexp_extract_all(content, '(?i)(?:{labels}):\s*([^\n]+)', 1), lambda x: regexp_split_to_array(x, '{split}'))), lambda x: {_TRIM})"
-_scalar("md_authors", lambda: F.array_join(metadata.authors("content"), ","), rf"array_to_string(list_sort(list_distinct(list_filter({_LAB('Author|Authors|By|Written by|Created by', r'[,;&]|\sand\s')}, lambda x: length(x) BETWEEN 3 AND 50 AND regexp_matches(x, '[a-zA-Z]')))), ',')")
+_NAMES = "list_concat(list_concat({0}, {1}), {2})".format(*(f"regexp_extract_all(content, '{p}', {g})" for p, g in metadata.AUTHORS))
+_AUTHORS = rf"""array_to_string(list_sort(list_distinct(list_filter(list_transform(flatten(list_transform({_NAMES}, lambda x: regexp_split_to_array(x, '{metadata.AUTHOR_SPLIT}'))), lambda x: {_TRIM}),
+  lambda x: length(x) BETWEEN 3 AND 50 AND regexp_matches(x, '[a-zA-Z]')))), ',')"""
+_scalar("md_authors", lambda: F.array_join(metadata.authors("content"), ","), _AUTHORS)
 _TECH = "list_concat(" * 4 + "{0}, {1}), {2}), {3}), {4})"
 _auto = _TECH.format(*(rf"list_filter(regexp_extract_all(lower(content), '[\p{{L}}\p{{N}}_]+'), lambda w: regexp_full_match(w, '{p}'))" for p in metadata.TECHNICAL_TERMS))
 _scalar("md_autotags", lambda: F.array_join(metadata.automatic_tags("content"), ","), f"array_to_string(list_sort(list_distinct({_auto}))[1:10], ',')")
 _named = f"list_transform(list_filter({_LAB('Tags|Keywords|Topics|Category|Categories|Subject|Subjects', r'[,;]|' + chr(92) + 'sand' + chr(92) + 's')}, lambda x: length(x) BETWEEN 2 AND 30), lambda x: lower(x))"
 _scalar("md_tags", lambda: F.array_join(metadata.tags("content"), ","), f"array_to_string(list_sort(list_distinct(list_concat({_named}, list_sort(list_distinct({_auto}))[1:10]))), ',')")
-_scalar("md_dates", lambda: F.concat_ws("/", F.coalesce(metadata.created_on("content").cast("string"), F.lit("-")), F.coalesce(metadata.modified_on("content").cast("string"), F.lit("-"))),
-        r"concat_ws('/', coalesce(CAST(CAST(try_strptime(regexp_extract_all(content, '(?i)(?:Created|Date|Published):\s*(\d{1,2}/\d{1,2}/\d{4})', 1)[-1], '%d/%m/%Y') AS DATE) AS VARCHAR), '-'), coalesce(CAST(CAST(try_strptime(regexp_extract_all(content, '(?i)(?:Last updated|Modified|Revised):\s*(\d{4}-\d{1,2}-\d{1,2})', 1)[-1], '%Y-%m-%d') AS DATE) AS VARCHAR), '-'))")
+_FORMATS = "'%d/%m/%Y', '%m/%d/%Y', '%Y/%m/%d', '%d-%m-%Y', '%m-%d-%Y', '%Y-%m-%d', '%d.%m.%Y', '%m.%d.%Y', '%Y.%m.%d', '%d %B %Y', '%B %d, %Y', '%B %d %Y'"
+
+
+def _dates(patterns: list[str]) -> str:
+    """The last readable date; all of one pattern come before those of the next."""
+    found = "[]"
+    for p in patterns:
+        found = f"list_concat({found}, regexp_extract_all(content, '(?i){p}', 1))"
+    parsed = rf"list_transform({found}, lambda x: CASE WHEN regexp_matches(x, '(?:^|\D)\d{{4}}(?:\D|$)') THEN try_strptime(regexp_replace(x, '\s+', ' ', 'g'), [{_FORMATS}]) END)"
+    return f"coalesce(CAST(CAST(list_filter({parsed}, lambda d: d IS NOT NULL)[-1] AS DATE) AS VARCHAR), '-')"
+
+
+_CREATED = _dates([rf"(?:{metadata.CREATED}):\s*{p}" for p in metadata.NUMERIC_DATES] + metadata.WORDED_DATES)
+_MODIFIED = _dates([rf"(?:{metadata.MODIFIED}):\s*{p}" for p in metadata.NUMERIC_DATES])
+_both = lambda: F.concat_ws("/", *(F.coalesce(f("content").cast("string"), F.lit("-")) for f in (metadata.created_on, metadata.modified_on)))
+_scalar("md_dates", _both, f"concat_ws('/', {_CREATED}, {_MODIFIED})")
 
 
 def _any(phrases) -> str:
@@ -227,6 +228,9 @@ _max = f"(SELECT coalesce(max(n), 0) FROM (SELECT count(*) AS n FROM (SELECT unn
 _sent = r"list_transform(regexp_split_to_array(content, '[.!?]+'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g'))"
 _base = f"CASE WHEN length({STRIP}) < 50 THEN 20 WHEN length({STRIP}) < 100 THEN 60 ELSE 100 END"
 _q1 = rf"CASE WHEN len(list_filter({_sent}, lambda s: length(s) > 10 AND regexp_matches(s, '^\p{{Lu}}'))) / len({_sent}) > 0.8 THEN least({_base} + 20, 100) ELSE {_base} END"
+_items = r"list_filter(range(1, len(string_split(content, chr(10))) + 1), lambda i: regexp_matches(string_split(content, chr(10))[i], '^\s*[\d\-*•]\s+'))"
+#: Two list items are more than three lines apart.
+LIST_GAPS = f"len(list_filter(range(1, len({_items})), lambda i: {_items}[i + 1] - {_items}[i] > 3)) > 0"
 CHECK_SQL = {
     "content_completeness": rf"CASE WHEN regexp_matches(content, '(?:^|[^\p{{L}}\p{{N}}_])[A-Za-z]{{2,}}-\s*$') THEN greatest({_q1} - 30, 0) ELSE {_q1} END",
     "content_coherence": f"80 - CASE WHEN {_max} > 8 THEN 20 ELSE 0 END + CASE WHEN {' OR '.join(f'contains({_low}, {chr(39)}{w}{chr(39)})' for w in quality.CONNECTIVES)} THEN 10 ELSE 0 END - CASE WHEN length(content) - length(replace(content, chr(10), '')) > length(content) / 50 THEN 15 ELSE 0 END",
@@ -235,8 +239,8 @@ CHECK_SQL = {
     "language_quality": rf"""80 - CASE WHEN contains(content, '�') THEN 30 ELSE 0 END - CASE WHEN regexp_matches(content, '\s{{5,}}') THEN 10 ELSE 0 END
   - CASE WHEN len(list_filter(string_split(content, chr(10)), lambda x: regexp_matches(x, '\S') AND NOT regexp_matches(x, '[a-zA-Z]'))) > len(string_split(content, chr(10))) * 0.3 THEN 20 ELSE 0 END
   - CASE WHEN length(array_to_string({W}, '')) / len({W}) < 3 THEN 15 WHEN length(array_to_string({W}, '')) / len({W}) > 8 THEN 10 ELSE 0 END""",
-    "structural_integrity": r"""90 - CASE WHEN len(list_filter(string_split(content, chr(10)), lambda x: contains(x, '|'))) > 1 AND len(list_distinct(list_transform(list_filter(string_split(content, chr(10)), lambda x: contains(x, '|')), lambda x: length(x) - length(replace(x, '|', ''))))) > 2 THEN 15 ELSE 0 END
-  - CASE WHEN doc_id % 5 = 0 THEN 10 ELSE 0 END - CASE WHEN ((length(content) - length(replace(content, '```', ''))) // 3) % 2 <> 0 THEN 20 ELSE 0 END""",
+    "structural_integrity": rf"""90 - CASE WHEN len(list_filter(string_split(content, chr(10)), lambda x: contains(x, '|'))) > 1 AND len(list_distinct(list_transform(list_filter(string_split(content, chr(10)), lambda x: contains(x, '|')), lambda x: length(x) - length(replace(x, '|', ''))))) > 2 THEN 15 ELSE 0 END
+  - CASE WHEN {LIST_GAPS} THEN 10 ELSE 0 END - CASE WHEN ((length(content) - length(replace(content, '```', ''))) // 3) % 2 <> 0 THEN 20 ELSE 0 END""",
 }
 _dens = f"(SELECT *, CAST(len({W}) AS INT) AS token_count, 70 + CASE WHEN len(list_filter({_lw}, lambda w: w NOT IN ({_fw}) AND length(w) > 2)) / nullif(len({_lw}), 0) > 0.6 THEN 20 WHEN len(list_filter({_lw}, lambda w: w NOT IN ({_fw}) AND length(w) > 2)) / nullif(len({_lw}), 0) < 0.3 THEN -20 ELSE 0 END AS d FROM manuals)"
 
@@ -276,62 +280,12 @@ def _related(spark, folder):
     return enrich.related_chunks(manual_chunks(spark, folder)).select("chunk_id", "related_id", "strength")
 
 
-@query("related_top5")
-def _related_top5(spark, folder):
-    return enrich.strongest_related(enrich.related_chunks(manual_chunks(spark, folder))).select("chunk_id", "related_id", "strength", "place")
-
-
-def _section_chunks(spark, folder):
-    out = chunking.structured(manuals(spark, folder), chunking.ChunkingConfig(min_size=1, max_size=10_000_000))
-    return out.withColumn("chunk_id", F.concat_ws("_chunk_", "doc_id", "chunk_index"))
-
-
-@query("hierarchy_scan", rf"""{WITH}, pages AS (SELECT doc_id, string_split(content, chr(10)) AS l FROM manuals), lines AS (SELECT doc_id, i, regexp_replace(l[i], '^\s+|\s+$', '', 'g') AS s FROM (SELECT doc_id, l, unnest(range(1, least(len(l), 5) + 1)) AS i FROM pages)),
-typed AS (SELECT *, CASE WHEN regexp_matches(s, '^(?:Chapter|CHAPTER)\s+(\d+\.?\d*):?\s*(.+)') THEN 'chapter' END AS level FROM lines)
-SELECT doc_id, CAST(i - 1 AS INT) AS line, level, regexp_extract(s, '^(?:Chapter|CHAPTER)\s+(\d+\.?\d*):?\s*(.+)', 1) AS number, regexp_extract(s, '^(?:Chapter|CHAPTER)\s+(\d+\.?\d*):?\s*(.+)', 2) AS title FROM typed WHERE level IS NOT NULL""")
-def _hierarchy_scan(spark, folder):
-    whole = manuals(spark, folder).select("doc_id", F.col("doc_id").cast("string").alias("chunk_id"), F.lit(0).alias("chunk_index"), "content")
-    return enrich.headings(whole).where("level = 'chapter'").select("doc_id", "line", "level", "number", "title")
-
-
-@query("hierarchy_ctx")
-def _hierarchy_ctx(spark, folder):
-    return enrich.hierarchy(_section_chunks(spark, folder)).select("chunk_id", "chapter", "chapter_number", "section", "section_number", "subsection", "depth_level")
-
-
-def _scored(spark, folder):
-    docs = manuals(spark, folder).select("doc_id", metadata.title("content").alias("title"), metadata.document_type("content").alias("doc_type"))
-    return enrich.validate_chunks(enrich.enrich_chunks(_section_chunks(spark, folder), docs))
-
-
-@query("q_validate")
-def _q_validate(spark, folder):
-    return _scored(spark, folder).select("chunk_id", F.round("score", 6).alias("score"), F.array_join("issues", "; ").alias("issues"))
-
-
-@query("quality_gate")
-def _quality_gate(spark, folder):
-    return enrich.document_quality(_scored(spark, folder), 70.0).select("doc_id", "chunks", F.round("overall_score", 6).alias("overall_score"), "grade", "accepted")
-
-
-@query("issue_counts")
-def _issue_counts(spark, folder):
-    return enrich.frequent_issues(_scored(spark, folder)).select("doc_id", "place", "text")
-
-
-@query("vec_meta")
-def _vec_meta(spark, folder):
-    from papyrion.operators import vector
-
-    return vector.flat_metadata(_scored(spark, folder))
-
-
-@query("dist_chunk_types", f"{WITH_CHUNKS} SELECT doc_id, {_case(chunk_text.CHUNK_TYPES, 'unknown')} AS chunk_type, count(*) AS n FROM chunks GROUP BY ALL")
+@query("dist_chunk_types", f"{WITH_CHUNKS} SELECT doc_id, {case_of(chunk_text.CHUNK_TYPES, 'unknown')} AS chunk_type, count(*) AS n FROM chunks GROUP BY ALL")
 def _dist_chunk_types(spark, folder):
     return manual_chunks(spark, folder).groupBy("doc_id", chunk_text.chunk_type("content").alias("chunk_type")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("context_summary", f"{WITH} SELECT doc_id, concat_ws(' | ', concat('Document: ', source), concat('Chapter: ', lang), CASE WHEN ({_case(chunk_text.CHUNK_TYPES, 'unknown')}) <> 'unknown' THEN concat('Type: ', {_case(chunk_text.CHUNK_TYPES, 'unknown')}) END) AS summary FROM manuals")
+@query("context_summary", f"{WITH} SELECT doc_id, concat_ws(' | ', concat('Document: ', source), concat('Chapter: ', lang), CASE WHEN ({case_of(chunk_text.CHUNK_TYPES, 'unknown')}) <> 'unknown' THEN concat('Type: ', {case_of(chunk_text.CHUNK_TYPES, 'unknown')}) END) AS summary FROM manuals")
 def _context_summary(spark, folder):
     none = F.array().cast("array<string>")
     return manuals(spark, folder).select("doc_id", chunk_text.context_summary(F.col("source"), F.col("lang"), F.lit(None).cast("string"), chunk_text.chunk_type("content"), none).alias("summary"))

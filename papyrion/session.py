@@ -2,9 +2,29 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def set_checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that all machines share for intermediate tables, from ``spark.checkpoint.dir``.
+
+    A session on one machine that has none gets a temporary one.
+    """
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("papyrion.scratch.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        folder = "file://" + tempfile.mkdtemp(prefix="papyrion-")
+        spark.conf.set("papyrion.scratch.dir", folder)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def session(app: str = "papyrion", master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
     """UTC, ANSI mode and adaptive execution; anything else is Spark's default or the caller's."""
     builder = SparkSession.builder.appName(app)

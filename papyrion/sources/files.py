@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import html
+import importlib.util
 import re
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +14,19 @@ from pyspark.sql import functions as F
 
 from papyrion.functions import text as T
 
-#: A backend takes a file's bytes and returns its pages, or None if it cannot read them.
-Backend = Callable[[bytes], "list[str] | None"]
-PAGES = "doc_id string, page_number int, content string, char_count int, extraction_method string, extraction_failed boolean"
+
+
+@dataclass(frozen=True)
+class Page:
+    number: int
+    text: str
+    tables: int | None = None
+    images: int | None = None
+
+
+#: A backend takes a file's bytes and returns its pages with text, or None if it cannot read them.
+Backend = Callable[[bytes], "list[Page] | None"]
+PAGES = "doc_id string, page_number int, content string, char_count int, has_tables boolean, table_count int, has_images boolean, image_count int, extraction_method string, extraction_failed boolean"
 MIN_CHARS = 100
 _TAG = re.compile(r"(?s)<(script|style)\b.*?</\1\s*>|<[^>]*>")
 
@@ -29,37 +41,80 @@ def listing(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFra
     return scan(spark, folder, pattern).drop("content")
 
 
-def utf8_text(data: bytes) -> list[str] | None:
+def _numbered(texts: Sequence[str]) -> list[Page]:
+    """Pages with text, under their numbers among all pages."""
+    return [Page(i, t) for i, t in enumerate(texts, 1) if t and t.strip()]
+
+
+def utf8_text(data: bytes) -> list[Page] | None:
     """Plain text; a form feed begins a new page."""
     try:
-        return [p for p in data.decode("utf-8").split("\f") if p.strip()]
+        return _numbered(data.decode("utf-8").split("\f"))
     except UnicodeDecodeError:
         return None
 
 
-def html_text(data: bytes) -> list[str] | None:
+def html_text(data: bytes) -> list[Page] | None:
     if b"<" not in data:
         return None
-    return [html.unescape(_TAG.sub(" ", data.decode("utf-8", "replace"))).strip()]
+    return _numbered([html.unescape(_TAG.sub(" ", data.decode("utf-8", "replace"))).strip()])
+
 
+def table_text(tables: Sequence[Sequence[Sequence[object]]]) -> str:
+    """Rows of all tables, a line each, as they are put after a page's text."""
+    rows = [" | ".join(str(cell) if cell else "" for cell in row) + "\n" for table in tables for row in table if row]
+    return "\n\nTables:\n" + "".join(rows) if rows else ""
 
-def pdf_text(data: bytes) -> list[str] | None:
-    """Pages of a PDF with whichever PDF library is installed; none may be."""
+
+def pdf_with_tables(data: bytes) -> list[Page]:
     import io
 
-    try:
-        from pypdf import PdfReader
-    except ImportError:
+    import pdfplumber
+
+    out = []
+    with pdfplumber.open(io.BytesIO(data)) as pdf:
+        for i, page in enumerate(pdf.pages, 1):
+            if text := page.extract_text():
+                tables = page.extract_tables()
+                out.append(Page(i, text + table_text(tables), tables=len(tables)))
+    return out
+
+
+def pdf_with_images(data: bytes) -> list[Page]:
+    import fitz
+
+    with fitz.open(stream=data, filetype="pdf") as pdf:
+        return [Page(i, text, images=len(page.get_images())) for i, page in enumerate(pdf, 1) if (text := page.get_text())]
+
+
+def pdf_text(data: bytes) -> list[Page]:
+    import io
+
+    from pypdf import PdfReader
+
+    return _numbered([page.extract_text() or "" for page in PdfReader(io.BytesIO(data)).pages])
+
+
+BACKENDS: dict[str, Backend] = {"pdf": pdf_text, "pdfplumber": pdf_with_tables, "pymupdf": pdf_with_images, "html": html_text, "text": utf8_text}
+#: What a backend needs besides the standard library.
+NEEDS = {"pdf": "pypdf", "pdfplumber": "pdfplumber", "pymupdf": "fitz"}
+
+
+def supported() -> list[str]:
+    """The backends whose libraries are installed."""
+    return [b for b in BACKENDS if b not in NEEDS or importlib.util.find_spec(NEEDS[b])]
+
+
+def read_with(backend: str, data: bytes) -> list[Page] | None:
+    """Pages by one backend; None where it is not installed or cannot read the file, so that the next one may."""
+    if backend in NEEDS and not importlib.util.find_spec(NEEDS[backend]):
         return None
     try:
-        return [t for t in (page.extract_text() or "" for page in PdfReader(io.BytesIO(data)).pages) if t.strip()]
-    except Exception:  # a damaged file: the next backend may read it
+        return BACKENDS[backend](data)
+    except Exception:  # whatever a parser makes of a damaged file
         return None
 
 
-BACKENDS: dict[str, Backend] = {"pdf": pdf_text, "html": html_text, "text": utf8_text}
-
-
 def order(primary: str, fallback: str | None = None) -> list[str]:
     """Primary, fallback, then all others, each once."""
     return list(dict.fromkeys([b for b in (primary, fallback, *BACKENDS) if b in BACKENDS]))
@@ -67,7 +122,7 @@ def order(primary: str, fallback: str | None = None) -> list[str]:
 
 def is_valid(pages: Sequence[str]) -> bool:
     """Enough text, and no long page in which over 30 % of the characters are letters that occur once."""
-    if sum(map(len, pages)) < MIN_CHARS:
+    if not pages or sum(map(len, pages)) < MIN_CHARS:
         return False
     return not any(len(p) > 1000 and sum(c.isalpha() and p.count(c) == 1 for c in set(p)) > 0.3 * len(p) for p in pages)
 
@@ -75,23 +130,49 @@ def is_valid(pages: Sequence[str]) -> bool:
 def extract_pages(files: DataFrame, primary: str = "pdf", fallback: str | None = "text") -> DataFrame:
     """A row for each page from the first backend whose pages are valid; else one error page."""
     names = order(primary, fallback)
+    columns = [c.split()[0] for c in PAGES.split(", ")]
+    some = lambda n: None if n is None else n > 0
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = []
             for key, data in zip(frame["file_key"], frame["content"]):
                 for name in names:
-                    pages = BACKENDS[name](bytes(data))
-                    if pages and is_valid(pages):
-                        rows += [(key, i, p, len(p), name, False) for i, p in enumerate(pages, 1)]
+                    pages = read_with(name, bytes(data))
+                    if pages and is_valid([p.text for p in pages]):
+                        rows = [(key, p.number, p.text, len(p.text), some(p.tables), p.tables, some(p.images), p.images, name, False) for p in pages]
                         break
                 else:
-                    rows.append((key, 1, f"[PDF extraction failed for {key}]", 0, "fallback", True))
-            yield pd.DataFrame(rows, columns=["doc_id", "page_number", "content", "char_count", "extraction_method", "extraction_failed"])
+                    rows = [(key, 1, f"[PDF extraction failed for {key}]", 0, None, None, None, None, "fallback", True)]
+                yield pd.DataFrame(rows, columns=columns)  # a file at a time
 
     return files.select("file_key", "content").mapInPandas(run, PAGES)
 
 
+#: What a PDF says of itself, by the names under which its reader has it.
+INFO = {"title": "title", "author": "author", "subject": "subject", "creator": "creator", "producer": "producer", "creation_date": "creationDate", "modification_date": "modDate"}
+
+
+def file_info(files: DataFrame) -> DataFrame:
+    """(file_key, size, modified, ...) with what each PDF says of itself; nulls where no reader is installed."""
+    names = list(INFO)
+
+    def read(data: bytes) -> list[str | None]:
+        try:
+            import fitz
+
+            with fitz.open(stream=data, filetype="pdf") as pdf:
+                return [pdf.metadata.get(INFO[n]) or "" for n in names]
+        except Exception:  # no reader, or no PDF
+            return [None] * len(names)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                yield pd.DataFrame([(row.file_key, row.size, row.modified, *read(bytes(row.content)))], columns=["file_key", "size", "modified", *names])
+
+    return files.select("file_key", "size", "modified", "content").mapInPandas(run, "file_key string, size long, modified timestamp, " + ", ".join(f"{n} string" for n in names))
+
+
 def page_totals(pages: DataFrame) -> DataFrame:
     return pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("total_pages"), F.sum("char_count").alias("total_chars"))
 

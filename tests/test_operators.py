@@ -55,7 +55,7 @@ def test_nearest_is_itself(spark):
 
 
 def test_extraction_cascade():
-    assert files.order("text", "pdf") == ["text", "pdf", "html"]
+    assert files.order("text", "pdf") == ["text", "pdf", "pdfplumber", "pymupdf", "html"]
     assert not files.is_valid(["short"])
     assert files.is_valid(["a text that is long enough " * 10])
 
@@ -118,3 +118,123 @@ def test_topics_query_follows_the_table(spark, tmp_path):
     found = catalog.QUERIES["tfidf_kmeans"](spark, str(tmp_path)).collect()
     assert len(found) > 4 and sum(r["documents"] for r in found) == len(texts)
     assert any(w >= "w300" for r in found for w in r["top_terms"].split(","))
+
+
+def test_similar_pairs_against_all_pairs(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        tags = rng.sample([f"t{k}" for k in range(9)], rng.randrange(5)) + ["all"] * rng.randrange(2)
+        rows.append((i, rng.choice("xyz"), rng.sample(["a", "b", "c"], rng.randrange(3)), tags if i else None))
+    nodes = spark.createDataFrame(rows, "doc_id long, doc_type string, authors array<string>, tags array<string>")
+
+    def jaccard(a, b):
+        return len(set(a) & set(b)) / len(set(a) | set(b)) if a and b else 0.0
+
+    for least in (0.55, 0.6, 0.75, 0.9):
+        want = set()
+        for i, kind, authors, tags in rows:
+            for j, kind2, authors2, tags2 in rows[:i]:
+                score = 0.5 * jaccard(tags or [], tags2 or []) + 0.3 * (kind == kind2) + 0.2 * jaccard(authors, authors2)
+                if score >= least + 1e-9 or abs(score - least) < 1e-9:
+                    want.add((j, i, round(score, 6)))
+        got = {(r["doc_id"], r["other_id"], round(r["similarity"], 6)) for r in graph.similar_pairs(nodes, least).collect()}
+        assert {x for x in got ^ want if abs(x[2] - least) > 1e-6} == set()
+    with pytest.raises(ValueError):
+        graph.similar_pairs(nodes, 0.5)
+
+
+def test_clusters_against_the_loop(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(i, "x", ["a"], rng.sample("pqrs", rng.randrange(1, 4))) for i in range(60)]
+    nodes = spark.createDataFrame(rows, "doc_id long, doc_type string, authors array<string>, tags array<string>")
+    alike = {(r["doc_id"], r["other_id"]) for r in graph.similar_pairs(nodes, 0.8).collect()}
+    free, want = set(range(60)), []
+    for i in range(60):
+        if i in free:
+            members = [i] + [j for j in range(i + 1, 60) if j in free and (i, j) in alike]
+            free -= set(members)
+            if len(members) > 1:
+                want.append((i, members))
+    assert sorted((r["leader"], r["members"]) for r in graph.clusters(nodes, 0.8).collect()) == want
+
+
+def test_related_chunks_against_all_pairs(spark):
+    import random
+
+    from papyrion.functions import chunk_text
+    from papyrion.operators import enrich
+
+    rng = random.Random(5)
+    names = "Alpha Beta Gamma Delta Omega Sigma Kappa Zeta Theta".split()
+    rows = [(d, f"{d}_{i}", i, " ".join(rng.sample(names, rng.randrange(8)))) for d in range(4) for i in range(15)]
+    chunks = spark.createDataFrame(rows, "doc_id long, chunk_id string, chunk_index int, content string")
+    concepts = {r["chunk_id"]: set(r["c"]) for r in chunks.select("chunk_id", chunk_text.key_concepts("content").alias("c")).collect()}
+    want = {(a[1], b[1], len(concepts[a[1]] & concepts[b[1]])) for a in rows for b in rows if a[0] == b[0] and a[1] != b[1] and len(concepts[a[1]] & concepts[b[1]]) >= 3}
+    got = [(r["chunk_id"], r["related_id"], r["strength"]) for r in enrich.related_chunks(chunks).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pages_of_chunks(spark):
+    from papyrion.operators import chunking
+
+    texts = ["Chapter 1: One\n" + "first words here. " * 20, "1.1 Two\n" + "second words there. " * 20, "third " * 30]
+    pages = spark.createDataFrame([("d", i, t) for i, t in enumerate(texts, 1)], "doc_id string, page_number int, content string")
+    joined = pages.groupBy("doc_id").agg(F.array_join(F.collect_list("content"), "\n\n").alias("content"))
+    found = {r["content"][:9]: r["page_numbers"] for r in chunking.chunk_pages(pages, joined).collect()}
+    assert found["Chapter 1"] == [1] and found["1.1 Two\ns"] == [2, 3]
+    fixed = chunking.chunk_pages(pages, joined, chunking.ChunkingConfig(strategy="fixed", size=50, overlap=0)).orderBy("chunk_index").collect()
+    assert [r["page_numbers"] for r in fixed] == [[1], [1, 2], [2, 3]]
+    semantic = chunking.chunk_pages(pages, joined, chunking.ChunkingConfig(strategy="semantic"))
+    assert [r["page_numbers"] for r in semantic.orderBy("chunk_index").collect()] == [[1], [2], [3]]
+
+
+def test_state_goes_to_disk_and_back(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    state, values = incremental.load_state(spark, folder)
+    assert state.count() == 0 and incremental.get_value(values, "version", "none") == "none"
+    state = spark.createDataFrame([("a.pdf", "h", "a.pdf", None, 3, 1.0, 60.0, 10, None)], incremental.STATE)
+    values = incremental.update_value(incremental.update_value(values, "version", "1", "t0"), "version", "2", "t1")
+    incremental.save_state(state, values, folder)
+    state, values = incremental.load_state(spark, folder)
+    assert state.count() == 1 and incremental.get_value(values, "version") == "2" and incremental.get_value(values, "last_updated") == "t1"
+    report = incremental.inc_report(state, state.limit(0), "2").first()
+    assert report["processed_files_count"] == 1 and report["deleted_files_pending"] == 0 and "a.pdf" in report["low_quality_files"]
+    assert set(incremental.history(state, values)) == {"pipeline_state", "processed_files", "statistics"}
+    for part in (tmp_path / "state" / "processed").glob("part-*"):
+        part.write_bytes(b"broken")
+    assert incremental.load_state(spark, folder)[0].count() == 0
+
+
+def test_pages_keep_their_numbers(spark):
+    text = b"first page with enough text. " * 5 + b"\f  \f" + b"third page"
+    rows = spark.createDataFrame([("a", bytearray(text)), ("b", bytearray(b"\xff\xfe"))], "file_key string, content binary")
+    got = [(r["doc_id"], r["page_number"], r["extraction_failed"]) for r in files.extract_pages(rows, "pdfplumber", "text").orderBy("doc_id", "page_number").collect()]
+    assert got == [("a", 1, False), ("a", 3, False), ("b", 1, True)]
+    assert files.table_text([[["a", None], [1, "b"]], []]) == "\n\nTables:\na | \n1 | b\n" and files.table_text([]) == ""
+    assert {"html", "text"} <= set(files.supported())
+    info = files.file_info(rows.withColumn("size", F.lit(1).cast("long")).withColumn("modified", F.lit(None).cast("timestamp")))
+    assert info.count() == 2
+
+
+def test_vector_store_upkeep(spark, tmp_path):
+    path = str(tmp_path / "vectors")
+    rows = spark.createDataFrame([("c1", "t", "some words", [1.0]), ("c2", "t", "other words", None)], "chunk_id string, document_type string, content string, embedding array<float>")
+    vector.write_vectors(rows, path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 2 and len(vector.chunk_by_id(stored, "c2").first()["embedding"]) == 64
+    vector.reset(rows, path)
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_batches_of_folders(spark, tmp_path):
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.pdf").write_text("Chapter 1: Intro\n" + f"The words of {name} stand here and are enough for a chunk. " * 30)
+    batches = [(str(tmp_path / "one"), {}), (str(tmp_path / "two"), {"min_quality_score": 101.0})]
+    got = [(r["folder"].rpartition("/")[2], r["status"], r["files"]) for r in pipeline.run_batch(spark, batches).collect()]
+    assert got == [("one", "success", 1), ("two", "failed", 1)]

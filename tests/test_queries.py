@@ -40,7 +40,16 @@ def test_query(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_query_without_sql(spark, name):
-    assert catalog.QUERIES[name](spark, FOLDER).count() >= 0
+    """These have tests of their own: graph_clusters and extract_pages in test_operators, topics below."""
+    rows = catalog.QUERIES[name](spark, FOLDER)
+    assert rows.count() > 0 and rows.count() == rows.dropDuplicates().count()
+
+
+def test_topics_hold_every_document(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    topics = catalog.QUERIES["tfidf_kmeans"](spark, FOLDER).collect()
+    assert sum(r["documents"] for r in topics) == docs.where(r"text rlike '\\S'").count()
+    assert all(len(r["top_terms"].split(",")) <= 10 for r in topics) and len(topics) <= 20
 
 
 def test_entry(spark):
