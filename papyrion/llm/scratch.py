@@ -8,26 +8,13 @@ folder is ``spark.checkpoint.dir``; where a session on one machine has none
 from __future__ import annotations
 
 import os
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
+from papyrion.session import set_checkpoint_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The shared folder's URI, without a trailing slash."""
-    sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("papyrion.scratch.dir", None)
-    if not folder:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        folder = "file://" + tempfile.mkdtemp(prefix="papyrion-")
-        spark.conf.set("papyrion.scratch.dir", folder)
-        sc.setCheckpointDir(folder)
-    return folder.rstrip("/")
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -44,7 +31,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, job: str):
         ship_package(spark)
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/papyrion-{job}-{uuid.uuid4().hex}"
+        self.folder = f"{set_checkpoint_folder(spark)}/papyrion-{job}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"

@@ -265,8 +265,8 @@ def test_stages_take_odd_tables(spark, odd, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == 0
 
 
-def test_shared_folder_is_asked_for(monkeypatch):
-    from papyrion.llm import scratch
+def test_shared_folder_is_asked_for():
+    from papyrion.session import set_checkpoint_folder
 
     class Bare:
         class sparkContext:
@@ -279,4 +279,4 @@ def test_shared_folder_is_asked_for(monkeypatch):
         conf = {}
 
     with pytest.raises(ValueError, match="checkpoint"):
-        scratch.shared_folder(Bare)
+        set_checkpoint_folder(Bare)
