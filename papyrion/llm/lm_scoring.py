@@ -8,9 +8,9 @@ The vocabulary comes from the counts of all words of all documents and grows
 with them: every word that occurs ``min_count`` times has an entry of its own,
 all others share hashed entries.  A word of a shared entry has the entry's
 log-probability plus the log of its own share of the entry's occurrences, so
-the probabilities of all words add up to one.  Words are predicted in two steps,
-first one of the classes of like frequency and then the entry within it; there
-are about as many classes as half the entries of one.
+the probabilities of all words add up to one.  Words are predicted in three
+steps of a tree: one of the classes of like frequency, a part of it, and the
+entry within that.  All three have about as many branches.
 
 Training passes over every word of every document in a fixed number of rounds.
 A document's round follows from a hash of its id and text.  Each round has the
@@ -22,7 +22,6 @@ added in a tree of tasks, as many as the cluster has cores; the driver gets one.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -37,9 +36,8 @@ from papyrion.llm.scratch import Scratch, ship_package
 
 @dataclass(frozen=True)
 class WindowLmConfig:
-    #: At least; a larger vocabulary has more of both.
-    classes: int = 16
-    per_class: int = 32
+    #: Branches of each of the tree's three steps, at least; a larger vocabulary has more.
+    branches: int = 8
     #: Words that occur so often have an entry of their own.
     min_count: int = 1000
     #: Counts of words that occur so often go to every task; others are joined.
@@ -59,14 +57,14 @@ class WindowLmConfig:
 
     @property
     def size(self) -> int:
-        return self.classes * self.per_class
+        return self.branches**3
 
     def holding(self, words: int) -> WindowLmConfig:
         """This with room for so many words of their own."""
-        if words + self.rare <= self.size:
-            return self
-        classes = math.ceil(math.sqrt((words + self.rare) / 2))
-        return replace(self, classes=classes, per_class=2 * classes)
+        branches = self.branches
+        while branches**3 < words + self.rare:
+            branches += 1
+        return replace(self, branches=branches)
 
 
 class Vocabulary:
@@ -141,24 +139,32 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 class WindowLm:
-    """h = tanh(sum over the window of E[place, word]); classes by C, entries within a class by W."""
+    """h = tanh(sum over the window of E[place, word]); classes by C, a class's parts by S, entries within a part by W."""
 
     def __init__(self, config: WindowLmConfig, totals: np.ndarray | None = None):
         """``totals``: occurrences of each entry, whose frequencies are the start of the biases."""
         c = self.config = config
-        rng = np.random.default_rng(c.seed)
+        rng, k = np.random.default_rng(c.seed), c.branches
         draw = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
         self.E = draw(2 * c.window, c.size + 1, c.dim)
-        self.C, self.Cb = draw(c.dim, c.classes), np.zeros(c.classes, np.float32)
-        self.W, self.Wb = draw(c.classes, c.dim, c.per_class), np.zeros((c.classes, c.per_class), np.float32)
+        self.C, self.Cb = draw(1, c.dim, k), np.zeros((1, k), np.float32)
+        self.S, self.Sb = draw(k, c.dim, k), np.zeros((k, k), np.float32)
+        self.W, self.Wb = draw(k * k, c.dim, k), np.zeros((k * k, k), np.float32)
         if totals is not None and totals.sum():
-            n = totals.reshape(c.classes, c.per_class)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                self.Cb[:] = np.maximum(np.log(n.sum(axis=1) / n.sum()), -30)
-                self.Wb[:] = np.maximum(np.nan_to_num(np.log(n / n.sum(axis=1, keepdims=True)), nan=0.0, neginf=-30), -30)
+            n = totals.reshape(k, k, k)
+            for bias, parts in ((self.Cb, n.sum(axis=(1, 2))), (self.Sb, n.sum(axis=2)), (self.Wb, n)):
+                parts = parts.reshape(-1, k)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    logs = np.log(parts / parts.sum(axis=1, keepdims=True))
+                bias[:] = np.maximum(np.nan_to_num(logs, nan=0.0, neginf=-30), -30)
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.E, self.C, self.Cb, self.W, self.Wb]
+        return [self.E, self.C, self.Cb, self.S, self.Sb, self.W, self.Wb]
+
+    def _steps(self) -> list[tuple[int, int, int]]:
+        """(weights' place among the parameters, entries under a node, entries under a branch) of each step."""
+        k = self.config.branches
+        return [(1, k**3, k * k), (3, k * k, k), (5, k, 1)]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parameters()])
@@ -176,43 +182,58 @@ class WindowLm:
             h += self.E[place][around[place]]
         return np.tanh(h, out=h)
 
-    def _by_class(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort((words // self.config.per_class).astype(np.int16), kind="stable")
-        ends = np.searchsorted(words[order] // self.config.per_class, np.arange(self.config.classes + 1))
-        for k in range(self.config.classes):
-            if ends[k + 1] > ends[k]:
-                yield k, order[ends[k] : ends[k + 1]]
+    def _sorted(self, words: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, words, hidden values), sorted so that the words under each node of the tree follow each other."""
+        parts = words // self.config.branches
+        order = np.argsort(parts.astype(np.uint16) if self.config.branches**2 < 1 << 16 else parts, kind="stable")
+        return order, words[order], self.hidden(around[:, order])
+
+    def _nodes(self, words: np.ndarray, under: int, most: int = 4096) -> Iterator[tuple[int, int, int]]:
+        """(node, begin, end) of sorted words that are under one node, a bounded number at a time."""
+        nodes = words // under
+        edges = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])) if len(nodes) else []
+        for a, b in zip(edges, [*edges[1:], len(nodes)]):
+            for at in range(a, b, most):
+                yield int(nodes[a]), at, min(at + most, b)
 
     def log_probabilities(self, words: np.ndarray, around: np.ndarray) -> np.ndarray:
-        h = self.hidden(around)
-        out = _log_picked(h @ self.C + self.Cb, words // self.config.per_class)
-        for k, at in self._by_class(words):
-            out[at] += _log_picked(h[at] @ self.W[k] + self.Wb[k], words[at] % self.config.per_class)
+        order, words, h = self._sorted(words, around)
+        sums, out = np.zeros(len(words), np.float32), np.empty(len(words), np.float32)
+        for place, under, below in self._steps():
+            weights, biases = self.parameters()[place : place + 2]
+            picked = words % under // below
+            for node, a, b in self._nodes(words, under):
+                sums[a:b] += _log_picked(h[a:b] @ weights[node] + biases[node], picked[a:b])
+        out[order] = sums
         return out
 
     def gradient(self, words: np.ndarray, around: np.ndarray) -> list[np.ndarray]:
         """Of the summed negative log-probability, in the order of ``parameters``."""
-        c, n = self.config, len(words)
-        E, C, W, Wb = np.zeros_like(self.E), None, np.zeros_like(self.W), np.zeros_like(self.Wb)
-        h = self.hidden(around)
-        p = _softmax(h @ self.C + self.Cb)
-        p[np.arange(n), words // c.per_class] -= 1
-        back = p @ self.C.T
-        C, Cb = h.T @ p, p.sum(axis=0)
-        for k, at in self._by_class(words):
-            hk = h[at]
-            q = _softmax(hk @ self.W[k] + self.Wb[k])
-            q[np.arange(len(at)), words[at] % c.per_class] -= 1
-            back[at] += q @ self.W[k].T
-            W[k], Wb[k] = hk.T @ q, q.sum(axis=0)
+        out = [np.zeros_like(p) for p in self.parameters()]
+        order, words, h = self._sorted(words, around)
+        back = np.zeros_like(h)
+        for place, under, below in self._steps():
+            weights, biases = self.parameters()[place : place + 2]
+            picked = words % under // below
+            for node, a, b in self._nodes(words, under):
+                p = _softmax(h[a:b] @ weights[node] + biases[node])
+                p[np.arange(b - a), picked[a:b]] -= 1
+                back[a:b] += p @ weights[node].T
+                out[place][node] += h[a:b].T @ p
+                out[place + 1][node] += p.sum(axis=0)
         back *= 1 - h * h
-        for place in range(len(around)):
-            order = np.argsort(around[place].astype(np.uint16 if c.size < 65536 else np.int32), kind="stable")
-            ids = around[place][order]
-            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if n else np.zeros(0, int)
-            if n:
-                E[place][ids[first]] = np.add.reduceat(back[order], first, axis=0)
-        return [E, C, Cb, W, Wb]
+        for place, ids in enumerate(around[:, order]):
+            self._add_rows(out[0][place], ids, back)
+        return out
+
+    @staticmethod
+    def _add_rows(to: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Add each row to that of ``to`` with its id."""
+        if len(ids):
+            order = np.argsort(ids.astype(np.uint16) if len(to) < 1 << 16 else ids, kind="stable")
+            ids = ids[order]
+            first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            to[ids[first]] += np.add.reduceat(rows[order], first, axis=0)
 
     def train(self, words: np.ndarray, around: np.ndarray, rate: float) -> None:
         """One step of plain gradient descent on a batch."""

@@ -168,9 +168,11 @@ def test_language_model_against_plain_sums(spark):
             for place, by in enumerate(d for k in range(1, c.window + 1) for d in (-k, k)):
                 h += model.E[place][words[t + by] if 0 <= t + by < len(words) else c.size]
             h = np.tanh(h)
-            k = w // c.per_class
-            classes, inner = h @ model.C + model.Cb, h @ model.W[k] + model.Wb[k]
-            total += classes[k] - np.log(np.exp(classes).sum()) + inner[w % c.per_class] - np.log(np.exp(inner).sum()) + share[t]
+            k = c.branches
+            for weights, biases, node, branch in ((model.C, model.Cb, 0, w // k**2), (model.S, model.Sb, w // k**2, w // k % k), (model.W, model.Wb, w // k, w % k)):
+                z = h @ weights[node] + biases[node]
+                total += z[branch] - np.log(np.exp(z).sum())
+            total += share[t]
         assert got[i] == pytest.approx(total, abs=1e-3)
 
 
