@@ -72,17 +72,20 @@ def related_chunks(chunks: DataFrame, least: int = 3) -> DataFrame:
     each, in any common order.  With the order of frequency within the document
     the equi-join on document and concept leaves out what most chunks have.
     """
-    c = chunks.select("doc_id", "chunk_id", "chunk_index", chunk_text.key_concepts("content").alias("concepts")).where(F.size("concepts") >= least)
-    each = c.select("doc_id", "chunk_id", "chunk_index", F.explode("concepts").alias("concept"))
-    often = each.groupBy("doc_id", "concept").agg(F.count(F.lit(1)).alias("n"))
-    ranked = each.join(often, ["doc_id", "concept"]).groupBy("doc_id", "chunk_id", "chunk_index").agg(F.array_sort(F.collect_list(F.struct("n", "concept"))).alias("r"))
-    ranked = ranked.select("doc_id", "chunk_id", "chunk_index", F.col("r.concept").alias("concepts"), F.slice("r.concept", 1, F.size("r") - (least - 1)).alias("first"))
-    # a pair meets once for each concept that both have first; it counts at the least of them
+    each = chunks.select("doc_id", "chunk_id", "chunk_index", F.explode(chunk_text.key_concepts("content")).alias("concept"))
+    each = each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "concept")))
+    ranked = each.groupBy("doc_id", "chunk_id", "chunk_index").agg(F.array_sort(F.collect_list(F.struct("n", "concept"))).alias("r"))
+    ranked = ranked.select("doc_id", "chunk_id", "chunk_index", F.col("r.concept").alias("concepts"), F.slice("r.concept", 1, F.greatest(F.size("r") - (least - 1), F.lit(0))).alias("first"))
+    # the two sides have the same columns, so Spark makes and shuffles them once
     one = ranked.select("doc_id", "chunk_id", "chunk_index", "concepts", "first", F.explode("first").alias("concept"))
     other = one.select("doc_id", F.col("chunk_id").alias("related_id"), F.col("chunk_index").alias("related_index"), F.col("concepts").alias("theirs"), F.col("first").alias("their_first"), "concept")
-    pairs = one.join(other, ["doc_id", "concept"]).where((F.col("chunk_id") != F.col("related_id")) & (F.array_min(F.array_intersect("first", "their_first")) == F.col("concept")))
+    # a pair meets once for each concept that both have first; it counts at the least of them
+    pairs = one.join(other, ["doc_id", "concept"]).where((F.col("chunk_index") < F.col("related_index")) & (F.array_min(F.array_intersect("first", "their_first")) == F.col("concept")))
     strength = F.size(F.array_intersect("concepts", "theirs")).cast("long")
-    return pairs.select("doc_id", "chunk_id", "related_id", "related_index", strength.alias("strength")).where(F.col("strength") >= least)
+    found = pairs.select("doc_id", "chunk_id", "chunk_index", "related_id", "related_index", strength.alias("strength")).where(F.col("strength") >= least)
+    way = lambda a, b, at: F.struct(F.col(a).alias("chunk_id"), F.col(b).alias("related_id"), F.col(at).alias("related_index"))
+    both = F.array(way("chunk_id", "related_id", "related_index"), way("related_id", "chunk_id", "chunk_index"))
+    return found.select("doc_id", "strength", F.explode(both).alias("x")).select("doc_id", "x.chunk_id", "x.related_id", "x.related_index", "strength")
 
 
 def strongest_related(related: DataFrame, most: int = 5) -> DataFrame:

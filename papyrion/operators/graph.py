@@ -78,23 +78,31 @@ def similar_pairs(nodes: DataFrame, least: float = 0.6) -> DataFrame:
     """
     if least <= 0.5:
         raise ValueError("a limit of 0.5 or less would need all pairs")
-    tagged = nodes.select("doc_id", "doc_type", "authors", F.explode(F.array_distinct("tags")).alias("tag"))
+    tagged = nodes.select("doc_id", "doc_type", "authors", "tags", F.explode(F.array_distinct("tags")).alias("tag"))
     often = tagged.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
-    ranked = tagged.join(often, "tag").groupBy("doc_id").agg(F.first("doc_type").alias("doc_type"), F.first("authors").alias("authors"), F.array_sort(F.collect_list(F.struct("n", "tag"))).alias("r"))
+    whole = [F.first(c).alias(c) for c in ("doc_type", "authors", "tags")]
+    ranked = tagged.join(often, "tag").groupBy("doc_id").agg(*whole, F.array_sort(F.collect_list(F.struct("n", "tag"))).alias("r"))
+    # joins below multiply rows: their tasks are not to be merged because what they read is small
+    ranked = ranked.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
 
     def prefixed(share: float) -> DataFrame:
         """Each document with the tags of which two with that index have one in common."""
         most = F.size("r") - F.ceil(F.size("r") * share - 1e-9).cast("int") + 1
-        return ranked.select("doc_id", "doc_type", "authors", F.explode(F.slice("r", 1, most)["tag"]).alias("tag"))
-
-    with_author = lambda df: df.select("doc_id", "doc_type", "tag", F.explode(F.array_distinct("authors")).alias("author"))
-    cases = [(prefixed((least - 0.3) / 0.5), ["doc_type", "tag"]) if least <= 0.8 else None, (with_author(prefixed((least - 0.5) / 0.5)), ["doc_type", "author", "tag"]), (with_author(prefixed((least - 0.2) / 0.5)), ["author", "tag"]) if least <= 0.7 else None]
-    found = None
-    for side, keys in filter(None, cases):
-        side = side.select("doc_id", *keys)
-        ids = side.join(side.withColumnRenamed("doc_id", "other_id"), keys).where("doc_id < other_id").select("doc_id", "other_id")
-        found = ids if found is None else found.unionByName(ids)
-    return found.distinct().join(nodes, "doc_id").join(_as_other(nodes), "other_id").select("doc_id", "other_id", _similarity().alias("similarity")).where(F.col("similarity") >= least)
+        return ranked.select("doc_id", "doc_type", "authors", "tags", F.explode(F.slice("r", 1, most)["tag"]).alias("tag"))
+
+    def pairs(side: DataFrame, *keys: str) -> DataFrame:
+        other = side.select(F.col("doc_id").alias("other_id"), F.col("doc_type").alias("o_type"), F.col("authors").alias("o_authors"), F.col("tags").alias("o_tags"), *(F.col(k).alias(f"with_{k}") for k in keys))
+        same = [F.col(k) == F.col(f"with_{k}") for k in keys]
+        found = side.join(other, [*same, F.col("doc_id") < F.col("other_id")])
+        return found.select("doc_id", "other_id", _similarity().alias("similarity")).where(F.col("similarity") >= least)
+
+    with_author = lambda df: df.select("*", F.explode(F.array_distinct("authors")).alias("author"))
+    found = pairs(with_author(prefixed((least - 0.5) / 0.5)), "doc_type", "author", "tag")
+    if least <= 0.8:
+        found = found.unionByName(pairs(prefixed((least - 0.3) / 0.5), "doc_type", "tag"))
+    if least <= 0.7:
+        found = found.unionByName(pairs(with_author(prefixed((least - 0.2) / 0.5)), "author", "tag"))
+    return found.distinct()
 
 
 def shortest_path(edges: DataFrame, start, end, max_depth: int = 3) -> list | None:
