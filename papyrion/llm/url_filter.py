@@ -131,7 +131,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[UrlRule] = DEFAULT_RULES, id_c
     """Per row: the id, host, path, rule (null if none fits) and verdict (block or allow).
 
     A rule fits its host and all subdomains, from a label's start, where the
-    path begins with the rule's; the longest key wins.  A null url, or one
+    path begins with the rule's; the longest key wins, of equally long ones that
+    with the longer host, and of rules with equal keys the last.  A null url, or one
     without ``://``, has an empty host and path and fits no rule.  Rows keep
     their number; no rows of an empty table give no rows.
     """
@@ -169,7 +170,8 @@ def _joined(located: DataFrame, rules: Sequence[UrlRule], id_col: str, default:
     spark = located.sparkSession
     table = spark.createDataFrame([(r.key, r.verdict) for r in {r.key: r for r in rules}.values()], "key string, verdict string")
     places = located.select("host", "path").distinct()
-    keyed = places.select("host", "path", F.explode(_keys(sorted({len(r.path) for r in rules}))["key"]).alias("key"))
-    best = keyed.join(table, "key").groupBy("host", "path").agg(F.max_by(F.struct("key", "verdict"), F.length("key")).alias("b"))
+    keyed = places.select("host", "path", F.explode(_keys(sorted({len(r.path) for r in rules}))).alias("k")).select("host", "path", "k.*")
+    order = F.struct(F.length("key"), -F.col("path_length"))
+    best = keyed.join(table, "key").groupBy("host", "path").agg(F.max_by(F.struct("key", "verdict"), order).alias("b"))
     out = located.join(best, ["host", "path"], "left")
     return out.select(id_col, "host", "path", F.col("b.key").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
