@@ -325,7 +325,7 @@ def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col:
 
     def result(n, total):
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], schema=schema)
 
     def fit(start):
         def run(batches):
@@ -339,7 +339,8 @@ def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col:
                 around = vocabulary.around(words, np.concatenate([[0], np.cumsum(lengths)]))
                 for at in range(0, len(words), sized.batch):
                     parts = model.gradient(words[at : at + sized.batch], around[:, at : at + sized.batch])
-                    total = parts if total is None else [a + b for a, b in zip(total, parts)]
+                    # sums in double precision: their order hardly shows
+                    total = [p.astype(np.float64) for p in parts] if total is None else [np.add(a, b, out=a) for a, b in zip(total, parts)]
                 seen, held, size = seen + len(words), [], 0
 
             for batch in batches:
@@ -350,7 +351,7 @@ def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col:
                         use()
             if size:
                 use()
-            yield from result(seen, np.concatenate([p.ravel() for p in total]).astype(np.float32) if seen else None)
+            yield from result(seen, np.concatenate([p.ravel() for p in total]) if seen else None)
 
         return run
 
@@ -359,7 +360,7 @@ def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col:
         for batch in batches:
             for n, one in zip(batch.column(0), batch.column(1)):
                 flat = np.frombuffer(one.as_py(), np.float32)
-                total = flat if total is None else total + flat
+                total = flat.astype(np.float64) if total is None else np.add(total, flat, out=total)
                 seen += n.as_py()
         yield from result(seen, total)
 
