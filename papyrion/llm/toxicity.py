@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from papyrion.llm.quality_classifier import sample_labelled, training_rows
 from papyrion.llm.scratch import Scratch, ship_package
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "other", "insult", "threat", "target", "negation", "report"
+OTHER, INSULT, THREAT, TARGET, SUBJECT, NEGATION, REPORT = "other", "insult", "threat", "target", "subject", "negation", "report"
 
-TARGETS = "you your yours u they them he she him her du dich dir ihr euch sie tu toi te vous ils elles usted ustedes ellos ellas".split()
+TARGETS = "you your yours u them him her dich dir ihr euch sie toi te vous usted ustedes".split()
+#: Whom an insult may be aimed at, but who does what a threat says.
+SUBJECTS = "they he she du tu ils elles ellos ellas".split()
 NEGATIONS = "not no never isn't aren't don't doesn't wasn't nicht kein keine nie ne pas jamais nunca ni".split()
 REPORTS = "said says quoted quote called wrote claimed reported alleged sagte schrieb nannte dit disait appelé dijo llamó escribió".split()
 THREATS = "kill hurt destroy shoot stab strangle murder töten umbringen tuer mourir matar".split()
@@ -108,12 +110,15 @@ def reported_speech() -> Transducer:
 
 
 def target(reach: int) -> Transducer:
-    def step(left: int, symbol: str):
-        if symbol == TARGET:
-            return reach + 1, symbol
-        return max(0, left - 1), f"aimed {symbol}" if left and _marks(symbol) else symbol
+    """Aims an insult at a target or a subject nearby, a threat at a target only."""
 
-    return Transducer(0, step)
+    def step(left: tuple[int, int], symbol: str):
+        if symbol in (TARGET, SUBJECT):
+            return (reach + 1, reach + 1 if symbol == TARGET else max(0, left[1] - 1)), symbol
+        aimed = left[0] if symbol == INSULT else left[1] if symbol == THREAT else 0
+        return (max(0, left[0] - 1), max(0, left[1] - 1)), f"aimed {symbol}" if aimed else symbol
+
+    return Transducer((0, 0), step)
 
 
 class ClauseGrammar:
@@ -124,7 +129,7 @@ class ClauseGrammar:
 
     def __init__(self, insults: dict[str, float], config: ToxicityConfig = ToxicityConfig()):
         self.insults, self.config = dict(insults), config
-        self.words = {w: s for s, ws in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
+        self.words = {w: s for s, ws in ((THREAT, THREATS), (TARGET, TARGETS), (SUBJECT, SUBJECTS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in ws}
         # a target may stand after its insult: the clause is read forwards, then backwards
         self.forwards = negation(config.reach).then(reported_speech()).then(target(config.reach))
         self.backwards = target(config.reach)

@@ -96,7 +96,7 @@ def test_clauses_against_plain_rules(spark):
                 continue
             before = [k for k, _ in kinds[max(0, i - config.reach) : i]]
             around = [k for k, _ in kinds[max(0, i - config.reach - 1) : i] + kinds[i + 1 : i + config.reach + 2]]
-            name = "negated" if toxicity.NEGATION in before else "reported" if toxicity.REPORT in [k for k, _ in kinds[:i]] else "aimed" if toxicity.TARGET in around else ""
+            name = "negated" if toxicity.NEGATION in before else "reported" if toxicity.REPORT in [k for k, _ in kinds[:i]] else "aimed" if toxicity.TARGET in around or toxicity.SUBJECT in around and kind == toxicity.INSULT else ""
             total += config.weights[f"{name} {kind}".strip()] * strength
         return total
 
