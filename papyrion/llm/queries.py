@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrion.llm import bpe, decontaminate, html_extract, lm_scoring, near_dedup, quality_classifier, quality_rules, toxicity, url_filter, warc
+from papyrion.llm import bpe, decontaminate, html_extract, lm_scoring, near_dedup, quality_classifier, quality_rules, resampling, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -174,3 +174,39 @@ FROM docs LEFT JOIN hit USING (k) LEFT JOIN named USING (k)
 @_query
 def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract_main_text(_table(spark, folder, "pages"))
+
+
+@_query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+ORACLES["op11_importance_resampling"] = r"""
+WITH crc_table AS MATERIALIZED (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+wanted AS MATERIALIZED (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+words AS MATERIALIZED (SELECT k, x, count(*) AS n FROM (SELECT k, unnest(w) AS x FROM texts) GROUP BY k, x),
+target_words AS MATERIALIZED (SELECT x, count(*) AS n FROM (SELECT unnest(w) AS x FROM wanted) GROUP BY x),
+bytes AS (
+  SELECT x, list_transform(range(0, octet_length(encode(x))), lambda i: CAST('0x' || substr(hex(encode(x)), 2 * i + 1, 2) AS BIGINT)) AS b
+  FROM (SELECT x FROM words UNION SELECT x FROM target_words)),
+hashed AS MATERIALIZED (
+  SELECT x, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc_table),
+s AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS n FROM words JOIN hashed USING (x) GROUP BY bucket),
+t AS (SELECT bucket, CAST(sum(n) AS BIGINT) AS n FROM target_words JOIN hashed USING (x) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS s_all, (SELECT coalesce(sum(n), 0) FROM t) AS t_all),
+gains AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (CAST(s_all AS DOUBLE) + 10000) / ((CAST(s.n AS DOUBLE) + 1) * (CAST(t_all AS DOUBLE) + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), totals),
+weights AS (SELECT k, CAST(sum(n * gain) AS BIGINT) AS weight FROM words JOIN hashed USING (x) JOIN gains USING (bucket) GROUP BY k),
+noise AS (SELECT k, doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM texts),
+scored AS (
+  SELECT doc_id, n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+  FROM noise LEFT JOIN weights USING (k)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM placed
+"""
