@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyrion.llm import bpe, decontaminate, html_extract, lm_scoring, near_dedup, quality_classifier, quality_rules, resampling, toxicity, url_filter, warc
+from papyrion.llm import bpe, decontaminate, fingerprints, hard_negatives, html_extract, lm_scoring, near_dedup, quality_classifier, quality_rules, resampling, toxicity, url_filter, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -210,3 +210,29 @@ placed AS (
   SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE n_features >= 20) OVER () AS n FROM scored)
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM placed
 """
+
+
+@_query
+def op12_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_edited(_table(spark, folder, "documents"))
+
+
+@_query
+def op13_hard_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, folder, "embeddings"))
+
+
+ORACLES["op13_hard_negative_mining"] = r"""
+WITH taken AS MATERIALIZED (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM taken a JOIN taken b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+negatives AS (
+  SELECT p.*, n.id AS negative_id, n.score AS negative_score, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank
+  FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
