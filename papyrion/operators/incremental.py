@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyrion.sources import shared
+
 VALUES = "key string, value string"
 STATE = "file_key string, hash string, doc_id string, processed_at timestamp, chunks_created int, processing_time double, quality_score double, file_size long, file_modified timestamp"
 
@@ -53,21 +53,43 @@ def inc_report(state: DataFrame, pending: DataFrame, version: str = "unknown") -
     return statistics(state).join(worst).join(waiting).withColumns({"pipeline_version": F.lit(version), "processed_files_count": F.col("total_files")})
 
 
-def save_state(state: DataFrame, values: DataFrame, folder: str) -> None:
-    """Processed files and the key-value state (key, value), as a new version under ``folder``."""
-    state.write.mode("overwrite").parquet(f"{folder}/processed")
-    values.write.mode("overwrite").parquet(f"{folder}/values")
+_POINTER = "current"
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    return sorted(int(n[1:]) for n in shared.names(spark, folder) if n[:1] == "v" and n[1:].isdigit())
+
+
+def save_state(state: DataFrame, values: DataFrame, folder: str, keep: int = 2) -> int:
+    """Processed files and the key-value state (key, value) as a new version under ``folder``; returns its number.
+
+    Both tables are written beside the versions before, then a pointer file is
+    moved in one step.  A save that is cut off changes nothing that
+    ``load_state`` reads, and its remains are no obstacle to the next one.  The
+    ``keep`` latest versions stay, so what was loaded from the last one can
+    still be read.
+    """
+    spark = state.sparkSession
+    known = _versions(spark, folder)
+    number = known[-1] + 1 if known else 1
+    state.write.parquet(f"{folder}/v{number:08d}/processed")
+    values.write.parquet(f"{folder}/v{number:08d}/values")
+    shared.write_text(spark, f"{folder}/{_POINTER}", str(number))
+    for old in known:
+        if old <= number - keep:
+            shared.delete(spark, f"{folder}/v{old:08d}")
+    return number
 
 
 def load_state(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """What ``save_state`` wrote; empty where it is missing or cannot be read."""
+    """What the last whole ``save_state`` wrote; empty if there was none.  A version that cannot be read raises."""
+    number = shared.read_text(spark, f"{folder}/{_POINTER}")
 
     def read(name: str, schema: str) -> DataFrame:
-        try:
-            found = spark.read.parquet(f"{folder}/{name}")
-            return found.select(*(F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")))
-        except (PySparkException, Py4JJavaError):
+        if number is None:
             return spark.createDataFrame([], schema)
+        found = spark.read.parquet(f"{folder}/v{int(number):08d}/{name}")
+        return found.select(*(F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")))
 
     return read("processed", STATE), read("values", VALUES)
 

@@ -1,8 +1,9 @@
 """Relational metadata: documents with authors, tags, history and metrics, as tables.
 
 Tables are DataFrames; a change makes new frames (``upsert``, ``delete``), which
-``save_tables`` writes as a new version beside the old one, so nothing is
-overwritten while it is read.
+``save_tables`` writes as a new version beside the old one.  A store on disk
+(``open_store``) keeps each table in buckets of the document id, so a change
+writes the buckets of its documents only.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyrion.operators import buckets
+
 TABLES = ("documents", "authors", "tags", "processing_history", "quality_metrics")
 SCHEMAS = {
     "documents": "doc_id string, title string, doc_type string, file_path string, file_size long, total_pages int, total_chunks int, creation_date string, last_modified string, processed_at timestamp, extraction_method string, language string, version string, metadata_json string, quality_score double, processing_time double",
@@ -21,6 +24,8 @@ SCHEMAS = {
     "quality_metrics": "doc_id string, metric_name string, metric_value double, measured_at timestamp",
 }
 
+SCHEMA_COLUMNS = {name: [c.split()[0] for c in schema.split(", ")] for name, schema in SCHEMAS.items()}
+
 
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
     return {t: spark.createDataFrame([], SCHEMAS[t]) for t in TABLES}
@@ -37,6 +42,42 @@ def load_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {t: spark.read.schema(SCHEMAS[t]).parquet(f"{path}/{t}") for t in TABLES}
 
 
+def open_store(spark: SparkSession, folder: str, count: int = 64) -> dict[str, DataFrame]:
+    """The tables of the store at ``folder``; a table that is not there yet is made, empty, in ``count`` buckets."""
+    for name, empty in empty_tables(spark).items():
+        if not buckets.is_table(spark, f"{folder}/{name}"):
+            buckets.create(empty, f"{folder}/{name}", "doc_id", count)
+    return {name: buckets.read(spark, f"{folder}/{name}") for name in TABLES}
+
+
+def store_on_disk(spark: SparkSession, new: Mapping[str, DataFrame], folder: str) -> None:
+    """``store`` for an opened store: documents, authors, tags and metrics replaced by key, history appended."""
+    replaced = new.get("documents")
+    for name in TABLES:
+        path = f"{folder}/{name}"
+        rows = new.get(name)
+        if name == "processing_history":
+            if rows is not None:
+                buckets.append(rows, path)
+        elif rows is not None:
+            keys = rows.select("doc_id") if replaced is None else rows.select("doc_id").unionByName(replaced.select("doc_id"))
+            buckets.upsert(rows.select(*SCHEMA_COLUMNS[name]), path, keys)
+        elif replaced is not None and name in ("authors", "tags"):
+            buckets.delete(replaced.select("doc_id"), path)
+
+
+def delete_on_disk(keys: DataFrame, folder: str) -> None:
+    """Take documents out of all tables of an opened store."""
+    for name in TABLES:
+        buckets.delete(keys.select("doc_id"), f"{folder}/{name}")
+
+
+def document_on_disk(spark: SparkSession, folder: str, doc_id: str) -> DataFrame:
+    """One document with its authors and tags; one bucket of each table is read."""
+    one = lambda name: buckets.lookup(spark, f"{folder}/{name}", doc_id)
+    return with_children(one("documents"), one("authors"), one("tags"))
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str = "doc_id") -> DataFrame:
     """``old`` with all rows of each key in ``new`` replaced by those of ``new``."""
     return old.join(new.select(key).distinct(), key, "left_anti").select(*old.columns).unionByName(new.select(*old.columns))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from papyrion.operators import buckets
+from papyrion.sources import shared
+
 FILTERS = ("document_id", "document_type", "chunk_type", "semantic_role")
 
 
@@ -65,16 +68,31 @@ def flat_metadata(chunks: DataFrame) -> DataFrame:
     )
 
 
-def write_vectors(rows: DataFrame, path: str, text_col: str = "content") -> None:
-    """Append rows with an embedding to a store; where some row has none, all get that of ``hashed_embedding``."""
-    if "embedding" not in rows.columns or not rows.where("embedding is null").isEmpty():
-        rows = hashed_embedding(rows.drop("embedding"), text_col=text_col)
-    rows.write.mode("append").partitionBy("document_type").parquet(path)
+def with_embedding(rows: DataFrame, dim: int = 64, text_col: str = "content") -> DataFrame:
+    """Rows with an ``embedding``: their own, or that of ``hashed_embedding`` where they have none."""
+    if "embedding" not in rows.columns:
+        return hashed_embedding(rows, dim, text_col)
+    given = rows.withColumnRenamed("embedding", "_given")
+    return hashed_embedding(given, dim, text_col).withColumn("embedding", F.coalesce("_given", "embedding")).drop("_given")
+
+
+def _key_of(rows: DataFrame, key: str | None) -> str:
+    return key or ("document_id" if "document_id" in rows.columns else "chunk_id")
+
+
+def write_vectors(rows: DataFrame, path: str, text_col: str = "content", key: str | None = None) -> None:
+    """Put rows into the store at ``path``, in place of all rows of the same documents (or chunks, without ``document_id``) that it has."""
+    rows, key = with_embedding(rows, text_col=text_col), _key_of(rows, key)
+    if buckets.is_table(rows.sparkSession, path):
+        buckets.upsert(rows, path)
+    else:
+        buckets.create(rows, path, key)
 
 
-def reset(rows: DataFrame, path: str) -> None:
+def reset(rows: DataFrame, path: str, key: str | None = None) -> None:
     """Drop the store at ``path`` and begin an empty one with the columns of ``rows``."""
-    rows.limit(0).write.mode("overwrite").parquet(path)
+    shared.delete(rows.sparkSession, path)
+    buckets.create(rows.limit(0), path, _key_of(rows, key))
 
 
 def chunk_by_id(chunks: DataFrame, chunk_id: str) -> DataFrame:

@@ -10,6 +10,7 @@ version.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from papyrion.config import PipelineConfig
 from papyrion.functions import metadata
 from papyrion.functions import text as T
-from papyrion.operators import chunking, enrich, incremental, store, vector
-from papyrion.session import set_checkpoint_folder
+from papyrion.operators import buckets, chunking, enrich, incremental, store, vector
+from papyrion.session import scratch_folder, set_checkpoint_folder
 from papyrion.sources import files
 
 
@@ -33,6 +34,9 @@ class RunResult:
     vectors: DataFrame
     state: DataFrame
     report: DataFrame
+    #: Rows of this run for each table, and the ids of documents whose files are gone.
+    new: dict[str, DataFrame]
+    gone: DataFrame
 
 
 def document_metadata(pages: DataFrame) -> DataFrame:
@@ -104,21 +108,65 @@ def run(spark: SparkSession, folder: str, state: DataFrame | None = None, tables
     done = rows.select(F.col("doc_id").alias("file_key"), "hash", "doc_id", now.alias("processed_at"), F.col("chunks_created").cast("int").alias("chunks_created"), F.lit(0.0).alias("processing_time"), "quality_score", F.col("size").alias("file_size"), F.col("modified").alias("file_modified"))
     vectors = vector.hashed_embedding(kept.select("doc_id", "chunk_id", "doc_type", "content"), config.embedding_dim)
     left = incremental.mark_processed(state, done).join(gone.select(F.col("doc_id").alias("file_key")), "file_key", "left_anti")
-    return RunResult(documents, kept, results, stored, vectors, left.select(*state.columns), incremental.run_report(results))
+    return RunResult(documents, kept, results, stored, vectors, left.select(*state.columns), incremental.run_report(results), new, gone)
 
 
-def run_batch(spark: SparkSession, batches: Sequence[tuple[str, Mapping]], state: DataFrame | None = None, tables: dict[str, DataFrame] | None = None, config: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """Several folders, each with fields of ``config`` to replace; (folder, status, files, chunk_count) of each.
+def _put(rows: DataFrame, path: str, keys: DataFrame, gone: DataFrame) -> None:
+    """Rows of the documents ``keys`` into a bucket table in place of what it has of them and of ``gone``."""
+    if not buckets.is_table(rows.sparkSession, path):
+        buckets.create(rows.limit(0), path, "doc_id")
+    buckets.upsert(rows, path, keys.select("doc_id").unionByName(gone.select("doc_id")))
 
-    A folder's tables and state are the start of the next one's, and are written
-    to the shared folder before it begins.
+
+def persist(done: RunResult, target: str, source: str) -> None:
+    """Put a run's results into the store at ``target``: chunks, vectors, metadata tables, and the state of the folder ``source`` last.
+
+    Only buckets of documents that the run processed or found deleted are
+    written.  A run that is cut off leaves the state as it was, so its files come
+    again and replace what it had written.
+    """
+    spark, keys = done.documents.sparkSession, done.new["documents"]
+    _put(done.chunks, f"{target}/chunks", keys, done.gone)
+    _put(done.vectors, f"{target}/vectors", keys, done.gone)
+    store.open_store(spark, f"{target}/metadata")
+    store.store_on_disk(spark, done.new, f"{target}/metadata")
+    store.delete_on_disk(done.gone, f"{target}/metadata")
+    folder = state_folder(target, source)
+    incremental.save_state(done.state, incremental.load_state(spark, folder)[1], folder)
+
+
+def state_folder(target: str, source: str) -> str:
+    """Each folder of files has a state of its own, so the files of one are not missed in another."""
+    return f"{target}/state/{hashlib.sha256(source.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def load(spark: SparkSession, target: str) -> tuple[DataFrame | None, DataFrame | None, dict[str, DataFrame]]:
+    """(chunks, vectors, metadata tables) of a store; chunks and vectors are None before the first run."""
+    chunks, vectors = (buckets.read(spark, f"{target}/{n}") if buckets.is_table(spark, f"{target}/{n}") else None for n in ("chunks", "vectors"))
+    return chunks, vectors, store.open_store(spark, f"{target}/metadata")
+
+
+def run_into(spark: SparkSession, folder: str, target: str, config: PipelineConfig = PipelineConfig(), force_all: bool = False) -> DataFrame:
+    """Process what changed in ``folder`` since its last run into the store at ``target``; the run's report."""
+    state, _ = incremental.load_state(spark, state_folder(target, folder))
+    done = run(spark, folder, state, load(spark, target)[2], config, force_all, materialize=True)
+    report = done.report.checkpoint()
+    persist(done, target, folder)
+    return report
+
+
+def run_batch(spark: SparkSession, batches: Sequence[tuple[str, Mapping]], target: str | None = None, config: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Several folders, each with fields of ``config`` to replace; (folder, status, files, chunk_count, store) of each.
+
+    All go into the store at ``target``, by default a new one in the shared
+    folder.  A batch that is repeated with its target processes what changed.
     """
-    set_checkpoint_folder(spark)
+    target = target or scratch_folder(spark, "batch")
     out = None
     for folder, override in batches:
-        done = run(spark, folder, state, tables, replace(config, **override), materialize=True)
-        state, tables = done.state.checkpoint(), {name: t.checkpoint() for name, t in done.tables.items()}
-        row = done.report.checkpoint().select(F.lit(folder).alias("folder"), F.when(F.col("failed") == 0, "success").when(F.col("successful") == 0, "failed").otherwise("partial").alias("status"), F.col("total_files_processed").alias("files"), F.col("total_chunks").alias("chunk_count"))
+        report = run_into(spark, folder, target, replace(config, **override))
+        status = F.when(F.col("failed") == 0, "success").when(F.col("successful") == 0, "failed").otherwise("partial")
+        row = report.select(F.lit(folder).alias("folder"), status.alias("status"), F.col("total_files_processed").alias("files"), F.col("total_chunks").alias("chunk_count"), F.lit(target).alias("store"))
         out = row if out is None else out.unionByName(row)
     return out
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,11 @@ def set_checkpoint_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_folder(spark: SparkSession, job: str) -> str:
+    """The name of a new folder below the shared one."""
+    return f"{set_checkpoint_folder(spark)}/papyrion-{job}-{uuid.uuid4().hex}"
+
+
 def session(app: str = "papyrion", master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
     """UTC, ANSI mode and adaptive execution; anything else is Spark's default or the caller's."""
     builder = SparkSession.builder.appName(app)

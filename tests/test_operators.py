@@ -205,9 +205,33 @@ def test_state_goes_to_disk_and_back(spark, tmp_path):
     report = incremental.inc_report(state, state.limit(0), "2").first()
     assert report["processed_files_count"] == 1 and report["deleted_files_pending"] == 0 and "a.pdf" in report["low_quality_files"]
     assert set(incremental.history(state, values)) == {"pipeline_state", "processed_files", "statistics"}
-    for part in (tmp_path / "state" / "processed").glob("part-*"):
+    values = incremental.update_value(values, "version", "3", "t2")  # a change of what was loaded goes to the same folder
+    incremental.save_state(state, values, folder)
+    state, values = incremental.load_state(spark, folder)
+    assert state.count() == 1 and incremental.get_value(values, "version") == "3"
+
+
+def test_a_save_that_is_cut_off_loses_nothing(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "state")
+    state = spark.createDataFrame([("a.pdf", "h", "a.pdf", None, 3, 1.0, 60.0, 10, None)], incremental.STATE)
+    values = spark.createDataFrame([("k", "1")], incremental.VALUES)
+    assert incremental.save_state(state, values, folder) == 1
+    broken = values.select("key", F.raise_error(F.lit("killed")).cast("string").alias("value"))
+    with pytest.raises(Exception, match="killed"):  # between the two tables
+        incremental.save_state(state.limit(0), broken, folder)
+    state, values = incremental.load_state(spark, folder)
+    assert state.count() == 1 and incremental.get_value(values, "k") == "1"
+    monkeypatch.setattr(incremental.shared, "write_text", lambda *_: 1 / 0)  # before the pointer moves
+    with pytest.raises(ZeroDivisionError):
+        incremental.save_state(state.limit(0), values, folder)
+    monkeypatch.undo()
+    assert incremental.load_state(spark, folder)[0].count() == 1
+    assert incremental.save_state(state, values, folder) == 4
+    assert sorted(p.name for p in (tmp_path / "state").glob("v*")) == ["v00000003", "v00000004"]
+    for part in (tmp_path / "state" / "v00000004" / "processed").glob("part-*"):
         part.write_bytes(b"broken")
-    assert incremental.load_state(spark, folder)[0].count() == 0
+    with pytest.raises(Exception):  # a damaged version is not an empty one
+        incremental.load_state(spark, folder)[0].count()
 
 
 def test_pages_keep_their_numbers(spark):
@@ -238,3 +262,36 @@ def test_batches_of_folders(spark, tmp_path):
     batches = [(str(tmp_path / "one"), {}), (str(tmp_path / "two"), {"min_quality_score": 101.0})]
     got = [(r["folder"].rpartition("/")[2], r["status"], r["files"]) for r in pipeline.run_batch(spark, batches).collect()]
     assert got == [("one", "success", 1), ("two", "failed", 1)]
+
+
+def test_batches_keep_chunks_vectors_and_tables(spark, tmp_path):
+    target = str(tmp_path / "store")
+    text = lambda name: "Chapter 1: Intro\n" + f"The words of {name} stand here and are enough for a chunk. " * 30
+    for name in ("one", "two"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.pdf").write_text(text(name))
+    batches = [(str(tmp_path / "one"), {}), (str(tmp_path / "two"), {})]
+    files = lambda: [r["files"] for r in pipeline.run_batch(spark, batches, target).collect()]
+    assert files() == [1, 1]
+
+    def held():
+        chunks, vectors, tables = pipeline.load(spark, target)
+        ids = lambda df: {r["doc_id"] for r in df.select("doc_id").distinct().collect()}
+        assert chunks.count() == chunks.select("chunk_id").distinct().count() == vectors.count()
+        return ids(chunks), ids(vectors), ids(tables["documents"]), {r["content"][:40] for r in chunks.where("chunk_index = 0").collect()}, tables["processing_history"].count()
+
+    both = {"one.pdf", "two.pdf"}
+    first = held()
+    assert first[:3] == (both, both, both) and first[4] == 2
+    written = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("part-*.parquet")}
+    assert files() == [0, 0] and held() == first  # nothing changed
+    (tmp_path / "two" / "two.pdf").write_text(text("TWO"))
+    (tmp_path / "two" / "three.pdf").write_text(text("three"))
+    assert files() == [0, 2] and held()[0] == both | {"three.pdf"} and held()[4] == 4
+    ours = {p: t for p, t in written.items() if "chunks" in p.parts}
+    kept = [p for p, t in ours.items() if p.exists() and p.stat().st_mtime_ns == t]
+    assert kept  # the bucket of the unchanged document was not written again
+    (tmp_path / "one" / "one.pdf").unlink()
+    assert files() == [0, 0] and held()[:3] == 3 * ({"two.pdf", "three.pdf"},)
+    found = store.document_on_disk(spark, f"{target}/metadata", "three.pdf").collect()
+    assert len(found) == 1 and found[0]["total_chunks"] > 0
