@@ -1,5 +1,6 @@
 """Nulls, empty and very long values, repeated rows, empty tables and clashing columns, for each operator."""
 
+import os
 import random
 
 import pytest
@@ -223,23 +224,46 @@ def test_every_page_is_aligned_with_its_neighbour(spark):
     for protect in (True, False):
         frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
         got = {r["page_id"]: r["text"] for r in html_extract.extract_main_text(frame, protect_articles=protect).collect()}
-        order = sorted((u[7:9], u[9:], i, html_extract.blocks(h)) for i, u, h in pages)
-        hosts = {}
-        for host, _, i, page in order:
-            hosts.setdefault(host, []).append((i, page))
-        for group in hosts.values():
-            for k, (i, page) in enumerate(group):
-                ours = [b.text for b in page]
-                theirs = next((t for t in ([b.text for b in group[j][1]] for j in (k - 1, k + 1) if 0 <= j < len(group)) if t != ours), None)
-                lines, places = html_extract.candidates(page, protect)
-                left = got[i].split(" ") if got[i] else []
-                words = " ".join(lines).split(" ") if lines else []
-                assert len(left) <= len(words)
-                if theirs is None or all(p < 0 for p in places):
-                    assert got[i] == " ".join(lines)
-                elif places == list(range(len(page))):  # every line can be deleted, so what is gone is the common subsequence
-                    gone = len(lines) - sum(1 for _ in _lines_left(got[i], lines))
-                    assert gone == longest_common(ours, theirs)
+        parsed = [(u[7:9], u[9:], i, html_extract.blocks(h)) for i, u, h in pages]
+        texts = lambda page: [b.text for b in page]
+        for host, _, i, page in parsed:
+            ours = texts(page)
+            path, first, _ = min((p, j, 0) for h, p, j, other in parsed if h == host and texts(other) == ours)
+            firsts = {}
+            for h, p, j, other in sorted(parsed, key=lambda r: r[:3]):
+                if h == host and texts(other) != ours:
+                    firsts.setdefault(tuple(texts(other)), (p, j))
+            # the longest common start; of equal ones the last before, else the first after
+            ranked = sorted(((*v, k) for k, v in firsts.items()), key=lambda r: r[:2])
+            theirs = None
+            if ranked:
+                most = max(len(os.path.commonprefix([path, r[0]])) for r in ranked)
+                best = [r for r in ranked if len(os.path.commonprefix([path, r[0]])) == most]
+                earlier = [r for r in best if r[:2] < (path, first)]
+                theirs = list((earlier[-1] if earlier else best[0])[2])
+            lines, places = html_extract.candidates(page, protect)
+            left = got[i].split(" ") if got[i] else []
+            words = " ".join(lines).split(" ") if lines else []
+            assert len(left) <= len(words)
+            if theirs is None or all(p < 0 for p in places):
+                assert got[i] == " ".join(lines)
+            elif places == list(range(len(page))):  # every line can be deleted, so what is gone is the common subsequence
+                gone = len(lines) - sum(1 for _ in _lines_left(got[i], lines))
+                assert gone == longest_common(ours, theirs)
+
+
+def test_nearest_url_is_on_either_side(spark):
+    page = lambda *lines: "".join(f"<p>{x}</p>" for x in lines)
+    rows = [(0, "http://h/a/x", page("A", "zero")), (1, "http://h/b/1", page("B", "one")), (2, "http://h/b/2", page("B", "two"))]
+    text = lambda rows: {r["page_id"]: r["text"] for r in html_extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert text(rows) == {0: "A zero", 1: "one", 2: "two"}
+    # copies, at one URL or several, have one result
+    same = [(i, "http://h/c/1" if i < 30 else f"http://h/c/1{i}", page("menu", "same")) for i in range(10, 60)]
+    assert text([(9, "http://h/c", page("menu", "other")), *same]) == {9: "other"} | {i: "same" for i, _, _ in same}
+    assert set(text(same).values()) == {"menu same"}
+    # equal lines, of which some copies protect one
+    rows = [(1, "http://h/d/1", page("menu", "x")), (2, "http://h/d/2", "<p>menu</p><article><p>x</p></article>"), (3, "http://h/d/3", page("menu", "y"))]
+    assert text(rows) == {1: "x", 2: "x", 3: "y"}
 
 
 def _lines_left(text, lines):
