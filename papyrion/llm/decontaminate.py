@@ -98,17 +98,24 @@ class SuffixAutomaton:
         return new
 
     def _annotate(self, sequences: list[tuple[int, list[int]]]) -> None:
-        """``windows[s]``: items with a window that is a suffix of s's strings, by window length."""
+        """``windows[s]``: items with a window that is a suffix of s's strings, by window length; ``totals[s]``: all windows that are suffixes of s's longest string."""
         self.windows: dict[int, dict[int, set[int]]] = {}
         for item, seq in sequences:
             n, state, length = min(self.window, len(seq)), 0, 0
             for w in seq:
                 state, length = self.step(state, length, w)
-                if length >= n:
-                    s = state
-                    while self.length[self.link[s]] >= n:
-                        s = self.link[s]
-                    self.windows.setdefault(s, {}).setdefault(n, set()).add(item)
+                if length >= n:  # the window's own state, from which the next word goes on
+                    while self.length[self.link[state]] >= n:
+                        state = self.link[state]
+                    length = n
+                    self.windows.setdefault(state, {}).setdefault(n, set()).add(item)
+        # states without windows share what their suffix has; a chain has at most one state with windows for each window length
+        self.totals: list[tuple[int, frozenset[int]]] = [(0, frozenset())] * len(self.next)
+        for s in sorted(range(1, len(self.next)), key=self.length.__getitem__):
+            longest, items = self.totals[self.link[s]]
+            if s in self.windows:
+                longest, items = max(longest, *self.windows[s]), items.union(*self.windows[s].values())
+            self.totals[s] = longest, items
 
     def step(self, state: int, length: int, w: int) -> tuple[int, int]:
         """After one more word: the state and the length of the longest match that ends here."""
@@ -118,14 +125,14 @@ class SuffixAutomaton:
             length = self.length[state]
         return (nxt[state][w], length + 1) if w in nxt[state] else (0, 0)
 
-    def ending(self, state: int, length: int) -> tuple[int, set[int]]:
+    def ending(self, state: int, length: int) -> tuple[int, frozenset[int]]:
         """Of the windows that end here: the greatest length, and all their items."""
-        longest, items = 0, set()
-        while state > 0:
-            for n, found in self.windows.get(state, {}).items():
-                if n <= length:
-                    longest, items = max(longest, n), items | found
-            state = self.link[state]
+        if length == self.length[state] or state not in self.windows:
+            return self.totals[state]
+        longest, items = self.totals[self.link[state]]  # shorter than the match, so all of them
+        for n, found in self.windows[state].items():
+            if n <= length:
+                longest, items = max(longest, n), items | found
         return longest, items
 
     def _index(self, pairs: set[tuple[int, int]]) -> None:
@@ -174,7 +181,7 @@ def hits(piece: Piece, automaton: SuffixAutomaton) -> Iterator[tuple[int, int, i
 
 def _stream(piece, automaton, starts, ends, numbers, offsets, a, b, rows) -> None:
     row = int(np.searchsorted(offsets, a, "right")) - 1
-    state, length = 0, 0
+    state, length, last = 0, 0, None
     for i in range(a, b):
         # the words themselves decide: a hash that another word shares ends the match
         word = LOWER[piece.data[starts[i] : ends[i]]].tobytes().decode("utf-8", "replace")
@@ -192,7 +199,9 @@ def _stream(piece, automaton, starts, ends, numbers, offsets, a, b, rows) -> Non
             mask, found = rows[row]
             at = i - offsets[row]
             mask[at - n + 1 : at + 1] = True
-            found |= items
+            if items is not last:
+                found |= items
+                last = items
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, most: int) -> Iterator[list[tuple[str, list[str]]]]:

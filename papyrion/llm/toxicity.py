@@ -163,7 +163,8 @@ class ClauseGrammar:
             begin = end - len(word) + 1
             if end < done or begin and low[begin - 1].isalpha():
                 continue
-            left = max(low.rfind(c, 0, begin) for c in ".!?;:\n") + 1
+            # the clause begins after the last separator since the one before it ended
+            left = max(low.rfind(c, max(done, 0), begin) for c in ".!?;:\n") + 1
             m = self._CLAUSE.match(low, left)
             done = m.end()
             out.append((m.group(), self.clause_weight(m.group())))
