@@ -10,7 +10,9 @@ counts is the clause that it stands in.
 
 Function words are fixed lists.  Insults are learned: beginnings of words that
 mark labelled toxic documents and hardly ever occur in others, chosen so that
-each toxic document is explained by several of them.
+each toxic document is explained by several of them.  Some beginnings mark a
+document only where two or three words have them; each such word weighs a half
+or a third.
 """
 
 from __future__ import annotations
@@ -48,6 +50,10 @@ class ToxicityConfig:
     min_documents: int = 3
     #: An insult is this much likelier in toxic documents (natural logarithm).
     min_log_odds: float = 3.0
+    #: Of documents with an insult at most so many are not toxic, as a share of those that are; the second holds for insults that must recur.
+    max_noise: tuple[float, float] = (0.05, 0.1)
+    #: Words that one beginning may need to mark a document.
+    max_need: int = 3
     #: So many insults should explain each toxic document.
     cover: int = 4
     slope: float = 2.0
@@ -191,26 +197,34 @@ def learn_insults(docs: DataFrame, labels: DataFrame, config: ToxicityConfig = T
     sample = sample_labelled(docs, labels, label, config.max_sample, training_rows())
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) >= config.min_prefix)
     scratch = Scratch(docs.sparkSession, "toxicity")
-    kept = _without_copies(sample.select("label", F.array_distinct(words).alias("w"), _shingles(F.lower("text")).alias("s")).where(F.size("w") > 0), scratch)
-    beginnings = F.array_distinct(F.flatten(F.transform("w", lambda w: F.transform(F.sequence(F.lit(config.min_prefix), F.least(F.length(w), F.lit(config.max_prefix))), lambda n: F.substring(w, F.lit(1), n)))))
-    each = kept.select("key", "label", F.explode(beginnings).alias("p"))
-    counts = each.groupBy("p").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).where(f"pos >= {config.min_documents}")
-    counts = scratch.save(counts, "counts")
+    kept = _without_copies(sample.select("label", words.alias("w"), _shingles(F.lower("text")).alias("s")).where(F.size("w") > 0), scratch)
+    beginnings = F.flatten(F.transform("w", lambda w: F.transform(F.sequence(F.lit(config.min_prefix), F.least(F.length(w), F.lit(config.max_prefix))), lambda n: F.substring(w, F.lit(1), n))))
+    each = kept.select("key", "label", F.explode(beginnings).alias("p")).groupBy("key", "label", "p").agg(F.count(F.lit(1)).alias("times"))
+    needs = range(1, config.max_need + 1)
+    sums = [F.sum(F.when(F.col("times") >= k, value)).alias(f"{name}{k}") for k in needs for name, value in (("pos", F.col("label")), ("n", F.lit(1)))]
+    counts = scratch.save(each.groupBy("p").agg(*sums).where(f"pos1 >= {config.min_documents}"), "counts")
     totals = kept.agg(F.sum("label"), F.count(F.lit(1))).first()
     positives, everything = totals[0] or 0, totals[1]
     if not positives:
         return {}
-    base, odds, tested = positives / everything, [], counts.count()
+    base, odds, tested = positives / everything, [], counts.count() * config.max_need
+    noise = lambda k: config.max_noise[k > 1]
+    rare = " or ".join(f"(pos{k} >= {config.min_documents} and n{k} - pos{k} <= {noise(k)} * pos{k})" for k in needs)
     # bounded by the sample's toxic words
-    for p, pos, n in counts.where("n - pos <= 0.05 * pos").select("p", "pos", "n").collect():
-        weight = math.log((pos + 0.5) / (positives + 1)) - math.log((n - pos + 0.5) / (everything - positives + 1))
-        if weight >= config.min_log_odds and upper_tail(pos, n, base) * tested < 1:
-            odds.append((p, min(1.0, weight / 6 + 0.25)))
+    for row in counts.where(rare).collect():
+        for k in needs:
+            pos, n = row[f"pos{k}"] or 0, row[f"n{k}"] or 0
+            if pos < config.min_documents or n - pos > noise(k) * pos:
+                continue
+            weight = math.log((pos + 0.5) / (positives + 1)) - math.log((n - pos + 0.5) / (everything - positives + 1))
+            if weight >= config.min_log_odds and upper_tail(pos, n, base) * tested < 1:
+                odds.append((row["p"], k, min(1.0, weight / 6 + 0.25) / k))
+                break
     if not odds:
         return {}
     spark = docs.sparkSession
-    marked = spark.createDataFrame(odds, "p string, weight double")
-    holders = each.where("label = 1").join(marked, "p").groupBy("p").agg(F.first("weight"), F.collect_list("key")).collect()
+    marked = spark.createDataFrame(odds, "p string, need int, weight double")
+    holders = each.where("label = 1").join(marked, "p").where("times >= need").groupBy("p").agg(F.first("weight"), F.collect_list("key")).collect()
     return _multi_cover({p: (w, frozenset(k)) for p, w, k in holders}, config.cover)
 
 
