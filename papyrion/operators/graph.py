@@ -132,6 +132,56 @@ def shortest_path(edges: DataFrame, start, end, max_depth: int = 3) -> list | No
     return None
 
 
+def shortest_paths(edges: DataFrame, pairs: DataFrame, max_depth: int = 3) -> DataFrame:
+    """(start, end, path) of each distinct pair (start, end) that a path of at most ``max_depth`` edges joins.
+
+    Of several shortest paths it is that of ``shortest_path``: from the end back,
+    each node is the least possible one.  All pairs advance together, from both
+    ends: nodes are reached once for each distinct start, up to half of the
+    depth, and once for each distinct end.  Where both meet gives the length;
+    beyond the middle only nodes that still lead to the pair's end go on.  The
+    number of jobs follows the depth, not the pairs.
+    """
+    set_checkpoint_folder(edges.sparkSession)
+    steps = edges.select(F.col("source_doc_id").alias("s"), F.col("target_doc_id").alias("t")).where("s is not null and t is not null").distinct().checkpoint()
+    pairs = pairs.select("start", "end").where("start is not null and end is not null").distinct().checkpoint()
+    half, rest = (max_depth + 1) // 2, max_depth // 2
+
+    def layers(roots: DataFrame, here: str, there: str, depth: int) -> DataFrame:
+        """(root, node, depth): the nodes that are first reached in so many steps."""
+        reached = last = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth"))
+        for k in range(1, depth + 1):
+            found = last.select("root", "node").join(steps, F.col("node") == F.col(here)).select("root", F.col(there).alias("node")).distinct()
+            last = found.join(reached, ["root", "node"], "left_anti").withColumn("depth", F.lit(k)).checkpoint()
+            reached = reached.unionByName(last)
+        return reached
+
+    ahead = layers(pairs.select(F.col("start").alias("root")).distinct(), "s", "t", half)
+    back = layers(pairs.select(F.col("end").alias("root")).distinct(), "t", "s", rest)
+    to_end = back.select(F.col("root").alias("end"), "node", F.col("depth").alias("left"))
+    met = pairs.join(ahead.withColumnRenamed("root", "start"), "start").join(to_end, ["end", "node"])
+    length = met.groupBy("start", "end").agg(F.min(F.col("depth") + F.col("left")).alias("length"))
+    now = length.select("start", "end", "length", F.array("end").alias("path")).checkpoint()
+
+    # nodes beyond the middle: on a way to the end of the right length
+    beyond, at = {}, None
+    for k in range(half + 1, max_depth):
+        at = ahead.where(F.col("depth") == half).withColumnRenamed("root", "start") if at is None else at
+        longer = now.where(F.col("length") > k).select("start", "end", "length")
+        grown = at.join(longer, [c for c in ("start", "end") if c in at.columns]).select("start", "end", "length", "node")
+        grown = grown.join(steps, F.col("node") == F.col("s")).select("start", "end", "length", F.col("t").alias("node")).join(to_end, ["end", "node"])
+        at = grown.where(F.col("left") == F.col("length") - k).select("start", "end", "node").distinct().checkpoint()
+        beyond[k] = at
+
+    for k in range(max_depth - 1, -1, -1):
+        layer = beyond[k] if k in beyond else ahead.where(F.col("depth") == k).select(F.col("root").alias("start"), "node")
+        open_ones = now.where(F.col("length") > k)
+        before = open_ones.join(steps, F.get("path", F.lit(0)) == F.col("t")).select(*now.columns, F.col("s").alias("node")).join(layer, layer.columns)
+        longer = before.groupBy("start", "end").agg(F.first("length").alias("length"), F.first("path").alias("path"), F.min("node").alias("node"))
+        now = now.where(F.col("length") <= k).unionByName(longer.select("start", "end", "length", F.concat(F.array("node"), "path").alias("path"))).checkpoint()
+    return now.select("start", "end", "path")
+
+
 def clusters(nodes: DataFrame, least: float = 0.6) -> DataFrame:
     """(leader, members) of clusters of two and more around leaders, in the order of ids.
 

@@ -243,6 +243,20 @@ def _graph_path(spark, folder):
     return spark.createDataFrame([(i, n) for i, n in enumerate(path or [])], "step int, doc_id long")
 
 
+@query("graph_paths", f"""WITH edges AS ({EDGES}), steps AS MATERIALIZED (SELECT DISTINCT source_doc_id AS s, target_doc_id AS t FROM edges), pairs AS MATERIALIZED (SELECT p_partkey AS a, (p_partkey * 37 + 11) % 2500 AS b FROM part),
+l1 AS MATERIALIZED (SELECT a AS src, t AS node FROM pairs JOIN steps ON s = a WHERE t <> a),
+l2 AS MATERIALIZED (SELECT src, t AS node, min(node) AS parent FROM l1 JOIN steps ON s = node WHERE t <> src AND (src, t) NOT IN (SELECT (src, node) FROM l1) GROUP BY src, t),
+l3 AS (SELECT a, b, min(node) AS n2 FROM pairs JOIN l2 ON src = a JOIN steps ON s = node AND t = b GROUP BY a, b),
+paths AS (SELECT p.a AS start_id, p.b AS end_id, CASE WHEN p.a = p.b THEN [p.a] WHEN one.node IS NOT NULL THEN [p.a, p.b] WHEN two.node IS NOT NULL THEN [p.a, two.parent, p.b] WHEN n2 IS NOT NULL THEN [p.a, last.parent, n2, p.b] END AS path
+  FROM pairs p LEFT JOIN l1 one ON one.src = p.a AND one.node = p.b LEFT JOIN l2 two ON two.src = p.a AND two.node = p.b LEFT JOIN l3 ON l3.a = p.a AND l3.b = p.b LEFT JOIN l2 last ON last.src = p.a AND last.node = n2)
+SELECT start_id, end_id, array_to_string(path, '>') AS path FROM paths WHERE path IS NOT NULL""")
+def _graph_paths(spark, folder):
+    """A path from every part to another one, all at once."""
+    pairs = table(spark, folder, "part").select(F.col("p_partkey").alias("start"), ((F.col("p_partkey") * 37 + 11) % 2500).alias("end"))
+    found = graph.shortest_paths(_edges(spark, folder), pairs)
+    return found.select(F.col("start").alias("start_id"), F.col("end").alias("end_id"), F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
+
+
 @query("nav_suggest", f"""{_GRAPH}, alike AS (SELECT b.doc_id, {_SIM} AS relevance FROM nodes a, nodes b WHERE a.doc_id = 7 AND b.doc_id <> 7 AND {_SIM} >= 0.5 ORDER BY relevance DESC, b.doc_id LIMIT 3)
 SELECT doc_id, kind, relevance FROM (
   SELECT target_doc_id AS doc_id, 'reference' AS kind, strength AS relevance FROM edges WHERE source_doc_id = 7 AND relation_type = 'references' UNION ALL SELECT doc_id, 'similar', relevance FROM alike
