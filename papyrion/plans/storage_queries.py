@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from papyrion.operators import buckets, vector, vector_index
 from papyrion.plans import table_queries  # noqa: F401  (its SQL is that of the queries here)
-from papyrion.plans.inputs import REGISTRY, frame
+from papyrion.plans.inputs import LISTING, REGISTRY, STATE, frame
 from papyrion.plans.registry import ORACLES, query, table
 from papyrion.session import scratch_folder
+from papyrion.streaming import changes
 
 
 def _index(spark, folder):
@@ -42,3 +43,15 @@ def _meta_upsert_store(spark, folder):
     buckets.create(docs, path, "doc_id", 16)
     buckets.upsert(docs.where("doc_id % 10 = 0").withColumns({"doc_id": F.col("doc_id") + 1000, "quality_score": F.col("quality_score") + 1}), path)
     return buckets.read(spark, path).select("doc_id", "title", F.round("quality_score", 6).alias("quality_score"))
+
+
+@query("inc_plan_stream", ORACLES["inc_plan"])
+def _inc_plan_stream(spark, folder):
+    """The plan of ``inc_plan`` as a stream: the state's files are a first scan, the listing is a second one."""
+    path = scratch_folder(spark, "scans")
+    for i, files in enumerate((STATE, LISTING), 1):
+        changes.add_scan(frame(spark, folder, files), f"{path}/scans", f"2024-01-0{i} 00:00:00")
+    write = lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/changes/batch={number}")
+    changes.follow(spark, f"{path}/scans", f"{path}/checkpoint", write).awaitTermination()
+    found = spark.read.parquet(f"{path}/changes")
+    return found.where("scan = timestamp '2024-01-02 00:00:00'").select("file_key", "status")
