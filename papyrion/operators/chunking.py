@@ -8,6 +8,7 @@ structure needs one exchange by document.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -94,19 +95,33 @@ def packed(parts: Column, size: int, prefix: Column | None = None) -> Column:
     with it and its words count.
     """
     start = F.size(T.words(prefix)) if prefix is not None else F.lit(0)
-    empty = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("open"), start.alias("n"))
+    none = F.array().cast("array<string>")
+    # finished texts go into blocks, so that a long document's list is not copied for each of them
+    empty = F.struct(F.array().cast("array<array<string>>").alias("blocks"), none.alias("done"), none.alias("open"), start.alias("n"))
 
     def add(a: Column, p: Column) -> Column:
         n = T.word_count(p)
         full = (a["n"] + n > size) & (F.size(a["open"]) > 0)
-        return F.when(full, F.struct(F.concat(a["done"], F.array(F.array_join(a["open"], "\n\n"))).alias("done"), F.array(p).alias("open"), (start + n).alias("n"))).otherwise(
-            F.struct(a["done"].alias("done"), F.concat(a["open"], F.array(p)).alias("open"), (a["n"] + n).alias("n"))
-        )
-
-    texts = F.aggregate(parts, empty, add, lambda a: F.when(F.size(a["open"]) > 0, F.concat(a["done"], F.array(F.array_join(a["open"], "\n\n")))).otherwise(a["done"]))
+        whole = F.size(a["done"]) >= _BLOCK
+        closed = F.array(F.array_join(a["open"], "\n\n"))
+        then = F.struct(
+            F.when(whole, F.concat(a["blocks"], F.array(a["done"]))).otherwise(a["blocks"]).alias("blocks"), F.when(whole, closed).otherwise(F.concat(a["done"], closed)).alias("done"),
+            F.array(p).alias("open"), (start + n).alias("n"),
+        )
+        return F.when(full, then).otherwise(F.struct(a["blocks"].alias("blocks"), a["done"].alias("done"), F.concat(a["open"], F.array(p)).alias("open"), (a["n"] + n).alias("n")))
+
+    def finish(a: Column) -> Column:
+        last = F.when(F.size(a["open"]) > 0, F.array(F.array_join(a["open"], "\n\n"))).otherwise(none)
+        return F.concat(F.flatten(a["blocks"]), a["done"], last)
+
+    texts = F.aggregate(parts, empty, add, finish)
     return texts if prefix is None else F.transform(texts, lambda t: F.concat(prefix, F.lit("\n\n"), t))
 
 
+#: Finished texts in a block of ``packed``.
+_BLOCK = 256
+
+
 def semantic(pages: DataFrame, config: ChunkingConfig = ChunkingConfig()) -> DataFrame:
     """Paragraphs packed page by page; numbers run on over a document's pages."""
     per_page = pages.select("doc_id", "page_number", F.posexplode(packed(paragraphs("content"), config.size)).alias("at", "content"))
@@ -222,17 +237,31 @@ def window_offsets(pages: DataFrame, config: ChunkingConfig = ChunkingConfig())
     """(doc_id, chunk_index, start_offset, end_offset) of fixed windows, in the words joined by single spaces.
 
     As ``end_offset`` is the last character's place, a window ends before it.
+    Windows begin and end on a grid of words.  Each page gives the words and
+    characters of its part of each grid cell, so a text is cut once, and running
+    sums over a document's cells give the offsets.
     """
-    gathered = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_number", "content"))).alias("p"))
-
-    def cut(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(config.size - config.overlap))
-        before = lambda s: F.length(F.array_join(F.slice(w, 1, s), " "))
-        each = F.transform(starts, lambda s: F.struct(F.size(F.slice(w, s + 1, config.size)).alias("n"), before(s).alias("start"), F.length(F.array_join(F.slice(w, s + 1, config.size), " ")).alias("chars")))
-        return F.filter(each, lambda x: x["n"] >= config.min_size // 10)
-
-    placed = gathered.select("doc_id", F.posexplode(T.let(T.words(F.array_join("p.content", " ")), cut)).alias("chunk_index", "x"))
-    return placed.select("doc_id", "chunk_index", F.col("x.start").cast("long").alias("start_offset"), (F.col("x.start") + F.col("x.chars") - 1).cast("long").alias("end_offset"))
+    step = config.size - config.overlap
+    grid = math.gcd(config.size, step)
+    pages = pages.withColumn("_w", T.words("content"))
+    before = Window.partitionBy("doc_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pages.select("doc_id", "_w", F.size("_w").alias("n"), F.coalesce(F.sum(F.size("_w")).over(before), F.lit(0)).cast("int").alias("first"))
+    inner = F.pmod(-F.col("first"), F.lit(grid))
+    begins = F.array_distinct(F.concat(F.array(F.lit(0)), F.when(inner < F.col("n"), F.sequence(inner, F.col("n") - 1, F.lit(grid))).otherwise(F.array().cast("array<int>"))))
+    cell = lambda at: F.floor((F.col("first") + at) / grid).cast("int")
+    end = lambda at: F.least(F.col("n"), (cell(at) + 1) * grid - F.col("first"))
+    part = F.transform(begins, lambda at: F.struct(cell(at).alias("cell"), (end(at) - at).alias("words"), F.length(F.array_join(F.slice("_w", at + 1, end(at) - at), "")).alias("chars")))
+    cells = placed.select("doc_id", F.explode(part).alias("x")).groupBy("doc_id", "x.cell").agg(F.sum("x.words").alias("words"), F.sum("x.chars").alias("chars"))
+    order = Window.partitionBy("doc_id").orderBy("cell")
+    spaced = F.sum(F.col("chars") + F.col("words"))  # a space after each word
+    found = cells.select(
+        "doc_id", "cell", F.coalesce(spaced.over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), spaced.over(order.rowsBetween(0, config.size // grid - 1)).alias("length"),
+        F.sum("words").over(order.rowsBetween(0, config.size // grid - 1)).alias("n"), F.sum("words").over(Window.partitionBy("doc_id")).alias("total"),
+    )
+    windows = found.where((F.col("cell") % (step // grid) == 0) & (F.col("cell") * grid <= F.greatest(F.col("total") - 1, F.lit(0))) & (F.col("n") >= config.min_size // 10))
+    start = F.greatest(F.col("start") - 1, F.lit(0))  # where the words before it end
+    last = start + F.greatest(F.col("length") - 1, F.lit(0)) - 1
+    return windows.select("doc_id", (F.col("cell") / (step // grid)).cast("int").alias("chunk_index"), start.cast("long").alias("start_offset"), last.cast("long").alias("end_offset"))
 
 
 def spaced_offsets(pages: DataFrame) -> DataFrame:
