@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from papyrion.operators import substring_index, text_index, vector
+from papyrion.functions import quality
+from papyrion.operators import phrases, substring_index, text_index, vector
 from papyrion.plans import table_queries
 from papyrion.plans.inputs import AUTHORS, REGISTRY, frame
 from papyrion.plans.registry import ORACLES, query, table
@@ -69,3 +70,29 @@ def _semi_author_index(spark, folder):
     substring_index.build(names, path)
     met = authors.join(substring_index.search(spark, path, "%supplier 7%").select(F.col("id").alias("author_name")), "author_name", "left_semi")
     return table_queries._registry(spark, folder).join(met, "doc_id", "left_semi").select("doc_id", "title")
+
+
+_STOP = ", ".join(f"'{w}'" for w in quality.FUNCTION_WORDS)
+_TERMS = rf"""stretches AS (SELECT doc_id, unnest(regexp_split_to_array(lower(coalesce(text, '')), '[.!?;:,()\n]+')) AS s FROM documents),
+worded AS (SELECT doc_id, list_filter(regexp_split_to_array(s, '\s+'), lambda w: w <> '') AS w FROM stretches),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM worded),
+runs AS (SELECT doc_id, w[i:i + n - 1] AS p FROM starts, (SELECT unnest([2, 3, 4]) AS n) WHERE i + n - 1 <= len(w)),
+found AS MATERIALIZED (SELECT doc_id, array_to_string(p, ' ') AS term, p FROM runs WHERE p[1] NOT IN ({_STOP}) AND p[-1] NOT IN ({_STOP}) AND len(list_filter(p, lambda x: NOT regexp_full_match(x, '\p{{L}}{{2,}}'))) = 0),
+counted AS MATERIALIZED (SELECT term, p, count(*) AS occurrences FROM found GROUP BY ALL HAVING count(*) >= 5),
+inner_terms AS (SELECT DISTINCT term, occurrences, array_to_string(p[i:i + n - 1], ' ') AS part FROM (SELECT *, unnest(range(1, len(p))) AS i FROM counted), (SELECT unnest([2, 3]) AS n) WHERE n < len(p) AND i + n - 1 <= len(p)),
+told AS (SELECT part AS term, count(*) AS nested_in, sum(occurrences) AS within FROM inner_terms GROUP BY 1),
+terms AS MATERIALIZED (SELECT c.term, CAST(len(p) AS INT) AS words, occurrences, coalesce(nested_in, 0) AS nested_in,
+  CAST(floor(log2(len(p)) * (occurrences - CASE WHEN nested_in > 0 THEN CAST(within AS DOUBLE) / nested_in ELSE 0 END) * 1e4 + 0.5) AS BIGINT) AS c_value FROM counted c LEFT JOIN told USING (term))"""
+
+
+@query("noun_phrases", f"WITH {_TERMS} SELECT term, words, occurrences, nested_in, c_value FROM terms")
+def _noun_phrases(spark, folder):
+    return phrases.terms(table(spark, folder, "documents"), text_col="text")
+
+
+@query("noun_phrase_concepts", f"""WITH {_TERMS}, held AS (SELECT DISTINCT doc_id, term FROM found),
+placed AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY c_value DESC, term) AS k FROM held JOIN terms USING (term) WHERE c_value > 0)
+SELECT doc_id, string_agg(term, ',' ORDER BY k) AS concepts FROM placed WHERE k <= 10 GROUP BY 1""")
+def _noun_phrase_concepts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
+    return phrases.concepts(docs, phrases.terms(docs)).select("doc_id", F.array_join("concepts", ",").alias("concepts"))

@@ -9,13 +9,12 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from papyrion.functions import text as T
 
 
-
 @dataclass(frozen=True)
 class Page:
     number: int
@@ -31,10 +30,14 @@ MIN_CHARS = 100
 _TAG = re.compile(r"(?s)<(script|style)\b.*?</\1\s*>|<[^>]*>")
 
 
+def _name() -> Column:
+    return F.element_at(F.split("path", "/"), -1)
+
+
 def scan(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """(file_key, path, hash, size, modified, content) of the files in a folder, subfolders left out."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_key"), "path", F.sha2("content", 256).alias("hash"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "content")
+    return files.select(_name().alias("file_key"), "path", F.sha2("content", 256).alias("hash"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "content")
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
@@ -148,6 +151,43 @@ def extract_pages(files: DataFrame, primary: str = "pdf", fallback: str | None =
     return files.select("file_key", "content").mapInPandas(run, PAGES)
 
 
+def text_pages(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
+    """The pages of plain text files as ``extract_pages`` gives them, for files of any size.
+
+    A form feed parts pages, and Spark's text reader parts a file at form feeds:
+    it is read in many tasks, each about ``spark.sql.files.maxPartitionBytes``,
+    and no task or row holds more than a part or a page.  A page's number is its
+    place in its part and the number of pages in the parts before.  Bytes that
+    are not UTF-8 become U+FFFD; they do not make a file fail.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select(F.col("_metadata.file_path").alias("file"), _name().alias("doc_id"))
+    raw = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\f").text(folder)
+    parts = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("at"))
+    placed = parts.withColumn("place", F.row_number().over(Window.partitionBy("file", "part").orderBy("at")))
+    counts = raw.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = placed.join(counts.select("file", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")), ["file", "part"])
+    pages = numbered.where(r"value rlike '\\S'").select("file", (F.col("before") + F.col("place")).cast("int").alias("page_number"), F.col("value").alias("content"))
+    valid = valid_extractions(pages.withColumnRenamed("file", "doc_id")).where("valid").select(F.col("doc_id").alias("file"))
+    none = lambda kind: F.lit(None).cast(kind)
+    tables = [none("boolean").alias("has_tables"), none("int").alias("table_count"), none("boolean").alias("has_images"), none("int").alias("image_count")]
+    good = listed.join(valid, "file").join(pages, "file").select("doc_id", "page_number", "content", F.length("content").alias("char_count"), *tables, F.lit("text").alias("extraction_method"), F.lit(False).alias("extraction_failed"))
+    failed = listed.join(valid, "file", "left_anti").select("doc_id", F.lit(1).alias("page_number"), F.concat(F.lit("[PDF extraction failed for "), F.col("doc_id"), F.lit("]")).alias("content"), F.lit(0).alias("char_count"), *tables, F.lit("fallback").alias("extraction_method"), F.lit(True).alias("extraction_failed"))
+    return good.unionByName(failed)
+
+
+def text_listing(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
+    """(file_key, path, hash, size, modified) of text files of any size; the hash is one of all lines and their places, added up from the file's parts."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    listed = listed.select(F.col("_metadata.file_path").alias("file"), _name().alias("file_key"), "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    raw = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\f").text(folder)
+    pages = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("at"))
+    pages = pages.withColumn("place", F.row_number().over(Window.partitionBy("file", "part").orderBy("at")))
+    sums = pages.groupBy("file").agg(*(F.bit_xor(F.xxhash64(F.lit(seed), "value", "part", "place")).alias(f"h{seed}") for seed in (1, 2)), F.count(F.lit(1)).alias("n"))
+    joined = listed.join(sums, "file", "left")
+    return joined.select("file_key", "path", F.sha2(F.concat_ws(",", "size", "n", "h1", "h2"), 256).alias("hash"), "size", "modified")
+
+
 #: What a PDF says of itself, by the names under which its reader has it.
 INFO = {"title": "title", "author": "author", "subject": "subject", "creator": "creator", "producer": "producer", "creation_date": "creationDate", "modification_date": "modDate"}
 
