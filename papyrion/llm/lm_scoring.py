@@ -4,9 +4,10 @@ A small network predicts each word from the words in a window on both of its
 sides, as if the word were masked; a document's score is the sum of those
 conditional log-probabilities.
 
-The vocabulary comes from the counts of all words of all documents and grows
-with them: every word that occurs ``min_count`` times has an entry of its own,
-all others share hashed entries.  A word of a shared entry has the entry's
+The vocabulary comes from the counts of all words of all documents: the
+``most_words`` most frequent ones have an entry of their own, if they occur
+``min_count`` times, and all others share hashed entries.  So the network has
+the same size for every large corpus, while the counts grow with it.  A word of a shared entry has the entry's
 log-probability plus the log of its own share of the entry's occurrences, so
 the probabilities of all words add up to one.  Words are predicted in three
 steps of a tree: one of the classes of like frequency, a part of it, and the
@@ -38,10 +39,12 @@ from papyrion.llm.scratch import Scratch, ship_package
 class WindowLmConfig:
     #: Branches of each of the tree's three steps, at least; a larger vocabulary has more.
     branches: int = 8
-    #: Words that occur so often have an entry of their own.
-    min_count: int = 1000
-    #: Counts of words that occur so often go to every task; others are joined.
+    #: Of the words that occur so often, the most frequent ones have an entry of their own.
+    min_count: int = 100
+    most_words: int = 4032
+    #: Of the words that occur so often, the counts of the most frequent ones go to every task (16 bytes each); others are joined.
     known_count: int = 100
+    most_known: int = 200_000
     #: Entries at the end of the vocabulary that rare words are hashed to.
     rare: int = 64
     dim: int = 16
@@ -71,9 +74,12 @@ class Vocabulary:
     """Word hashes to entries; entry ``size`` stands for what lies outside a document."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, rare_counts: np.ndarray, config: WindowLmConfig):
-        """``hashes``: of the words with known counts, the most frequent first; ``rare_counts``: occurrences of each shared entry."""
-        own = int((counts >= config.min_count).sum())
+        """``hashes``: of the words with known counts, the most frequent first; ``rare_counts``: occurrences of all words of each hashed entry."""
+        own = min(int((counts >= config.min_count).sum()), config.most_words)
+        #: The last of the known words, where there may be more of them.
+        self.last = (int(counts[-1]), int(hashes[-1:].view(np.int64)[0])) if len(counts) >= config.most_known else None
         c = self.config = config.holding(own)
+        rare_counts = rare_counts - np.bincount(self._shared(hashes[:own]) - (c.size - c.rare), weights=counts[:own], minlength=c.rare).astype(np.int64)
         order = np.argsort(hashes)
         self.sorted, n = hashes[order], counts[order]
         shared = self._shared(self.sorted)
@@ -259,6 +265,7 @@ class Adam:
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word, n) for each distinct word of all texts, A-Z lower-cased, as a 64-bit hash."""
+    ship_package(docs.sparkSession)
     schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
@@ -273,11 +280,10 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def build_vocabulary(counts: DataFrame, config: WindowLmConfig = WindowLmConfig()) -> Vocabulary:
     """From ``word_counts``."""
-    # 16 bytes for each word that occurs known_count times
-    top = counts.where(F.col("n") >= min(config.known_count, config.min_count)).orderBy(F.desc("n"), "word").toArrow()
+    top = counts.where(F.col("n") >= min(config.known_count, config.min_count)).orderBy(F.desc("n"), "word").limit(config.most_known).toArrow()
     entry = (F.shiftrightunsigned("word", 58) % config.rare).alias("entry")
     rare = np.zeros(config.rare, np.int64)
-    for entry_, n in counts.where(F.col("n") < config.min_count).groupBy(entry).agg(F.sum("n")).collect():
+    for entry_, n in counts.groupBy(entry).agg(F.sum("n")).collect():
         rare[entry_] = n
     return Vocabulary(top["word"].to_numpy().view(np.uint64), top["n"].to_numpy(), rare, config)
 
@@ -299,7 +305,8 @@ def _words_by_round(docs: DataFrame, vocabulary, config: WindowLmConfig, scratch
                 yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int32())], names=["words", "lengths", "round"])
 
     shape = "words binary, lengths binary, round int"
-    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
+    # a task writes a file for each round, so a few partitions share one; a lost task repeats no more than those
+    tasks = max(4 * docs.sparkSession.sparkContext.defaultParallelism, source.rdd.getNumPartitions() // 8)
     source.coalesce(tasks).mapInArrow(run, shape).write.partitionBy("round").parquet(scratch.path("words"))
     return docs.sparkSession.read.schema(shape).parquet(scratch.path("words"))
 
@@ -319,7 +326,7 @@ def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col:
     vocabulary = build_vocabulary(counts, config)
     sized = vocabulary.config
     model = WindowLm(sized, vocabulary.totals)
-    # Some 350 bytes for each word with an entry of its own.
+    # at most 16 bytes for each known word
     table = _words_by_round(docs, sc.broadcast(vocabulary), config, scratch, id_col, text_col)
     schema = pa.schema([("words", pa.int64()), ("gradient", pa.binary())])
 
@@ -369,8 +376,9 @@ def train(docs: DataFrame, config: WindowLmConfig = WindowLmConfig(), text_col:
     around = _Around(sized)
     for i in range(config.rounds):
         start = sc.broadcast((around, flat))
-        left = sc.defaultParallelism
-        summed = table.where(F.col("round") == i).select("words", "lengths").coalesce(left).mapInArrow(fit(start), "words long, gradient binary")
+        part = table.where(F.col("round") == i).select("words", "lengths")
+        left = max(sc.defaultParallelism, part.rdd.getNumPartitions() // 8)
+        summed = part.coalesce(left).mapInArrow(fit(start), "words long, gradient binary")
         while left > 1:
             left = -(-left // config.fan_in)
             summed = summed.repartition(left).mapInArrow(add, "words long, gradient binary")
@@ -420,7 +428,11 @@ def score_documents(docs: DataFrame, vocabulary: Vocabulary, model: WindowLm, id
     if counts is not None:
         # the counts of words that are not in the vocabulary: each is rare, so no key is hot
         scored = Scratch(spark, "lm").save(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-        rest = counts.where((F.col("n") > 1) & (F.col("n") < min(vocabulary.config.known_count, vocabulary.config.min_count)))
+        unknown = F.col("n") < min(vocabulary.config.known_count, vocabulary.config.min_count)
+        if vocabulary.last:
+            n, word = vocabulary.last
+            unknown = (F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word))
+        rest = counts.where((F.col("n") > 1) & unknown)
         more = scored.select("row", F.explode("rare").alias("word")).join(rest, "word").groupBy("row").agg(F.sum(F.log("n")).alias("more"))
         scored, total = scored.join(more, "row", "left"), total + F.coalesce("more", F.lit(0.0))
     out = scored.select(id_col, "n_words", total.alias("log_likelihood"))

@@ -56,3 +56,18 @@ def test_clauses_of_a_long_text():
     # one clause with matches throughout, and separators of all kinds
     assert len(grammar.matched_clauses("zorg walks " * 50_000)) == 1
     assert [c for c, _ in grammar.matched_clauses("zorg: a zorg! no; you\nzorg? zorgx. x")] == ["zorg", " a zorg", "zorg", " zorgx"]
+
+
+def test_scores_do_not_depend_on_which_counts_are_at_hand(spark):
+    from papyrion.llm import lm_scoring
+
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join(f"w{min(int(rng.expovariate(0.1)), 50)}" for _ in range(30))) for i in range(40)], "doc_id long, text string")
+    counts = lm_scoring.word_counts(docs).cache()
+    scores = []
+    for most in (4, 1000):
+        config = lm_scoring.WindowLmConfig(min_count=2, known_count=2, most_words=3, most_known=most, rounds=2)
+        vocabulary, model = lm_scoring.train(docs, config, counts=counts)
+        assert vocabulary.config.size == 512 and (vocabulary.last is not None) == (most == 4)
+        scores.append({r["doc_id"]: r["log_likelihood"] for r in lm_scoring.score_documents(docs, vocabulary, model, counts=counts).collect()})
+    assert all(abs(scores[0][i] - scores[1][i]) < 1e-3 for i in scores[0])
