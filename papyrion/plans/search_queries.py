@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrion.functions import quality
-from papyrion.operators import phrases, substring_index, text_index, vector
+from papyrion.operators import embedding, phrases, substring_index, text_index, vector
 from papyrion.plans import table_queries
 from papyrion.plans.inputs import AUTHORS, REGISTRY, frame
 from papyrion.plans.registry import ORACLES, query, table
@@ -96,3 +96,22 @@ SELECT doc_id, string_agg(term, ',' ORDER BY k) AS concepts FROM placed WHERE k
 def _noun_phrase_concepts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
     return phrases.concepts(docs, phrases.terms(docs)).select("doc_id", F.array_join("concepts", ",").alias("concepts"))
+
+
+_SIGN = lambda j: f"(2 * ((h{j // 32} >> {j % 32}) & 1) - 1)"
+_VECTORS = rf"""worded AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+known AS MATERIALIZED (SELECT term, count(*) AS documents FROM (SELECT unnest(list_distinct(w)) AS term FROM worded) GROUP BY 1 HAVING count(*) >= 2 ORDER BY 2 DESC, 1 LIMIT 2048),
+starts AS (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+one_way AS MATERIALIZED (SELECT w[i] AS a, w[i + k] AS b, count(*) AS n FROM starts, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k <= len(w) AND w[i] IN (SELECT term FROM known) AND w[i + k] IN (SELECT term FROM known) GROUP BY ALL),
+both_ways AS MATERIALIZED (SELECT a, b, sum(n) AS n FROM (SELECT a, b, n FROM one_way UNION ALL SELECT b, a, n FROM one_way) GROUP BY ALL),
+sums AS MATERIALIZED (SELECT a, sum(n) AS of_a FROM both_ways GROUP BY 1),
+rated AS (SELECT x.a, x.b, CAST(floor(1000 * ln(CAST(x.n AS DOUBLE) * (SELECT sum(of_a) FROM sums) / (CAST(s.of_a AS DOUBLE) * t.of_a))) AS BIGINT) AS v,
+  CAST('0x' || substr(sha256(x.b), 1, 8) AS BIGINT) AS h0, CAST('0x' || substr(sha256(x.b), 9, 8) AS BIGINT) AS h1 FROM both_ways x JOIN sums s ON s.a = x.a JOIN sums t ON t.a = x.b),
+summed AS (SELECT a AS term, [{", ".join(f"CAST(sum(v * {_SIGN(j)}) AS BIGINT)" for j in range(64))}] AS vector FROM rated WHERE v > 0 GROUP BY 1)
+SELECT term, documents, array_to_string(coalesce(vector, list_transform(range(64), lambda x: 0)), ',') AS vector FROM known LEFT JOIN summed USING (term)"""
+
+
+@query("term_vectors", f"WITH {_VECTORS}")
+def _term_vectors(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
+    return embedding.term_vectors(docs).select("term", "documents", F.array_join(F.col("vector").cast("array<string>"), ",").alias("vector"))
