@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from papyrion.functions import quality
-from papyrion.operators import chunking, enrich, extensions, graph, incremental, vector
+from papyrion.operators import chunking, cross_references, enrich, extensions, graph, incremental, vector
 from papyrion.plans import pipeline
 from papyrion.plans.inputs import LISTING, STATE, frame, manuals, nodes
 from papyrion.plans.registry import query, table
@@ -185,3 +185,11 @@ def _chunk_by_id(spark, folder):
 @query("graph_doc", "SELECT p_partkey AS doc_id, p_name AS title, p_type AS doc_type FROM part WHERE p_partkey = 7")
 def _graph_doc(spark, folder):
     return graph.document(nodes(spark, folder), 7).select("doc_id", "title", "doc_type")
+
+
+@query("cross_references")
+def _cross_references(spark, folder):
+    """Where the references of all manuals' chunks point, dangling ones included; held against loops in the tests."""
+    chunks = chunking.named(manual_chunks(spark, folder).select("doc_id", "chunk_index", "content"))
+    titles = manuals(spark, folder).select("doc_id", F.regexp_extract("content", r"Chapter \d: (Topic [^\n]+)", 1).alias("title"))
+    return cross_references.resolve(chunks, titles)
