@@ -12,6 +12,8 @@ class ExtractionConfig:
     pattern: str = "*.pdf"
     primary: str = "pdf"
     fallback: str = "text"
+    #: Plain text files (``pattern``), read in parts whatever their size; ``primary`` and ``fallback`` are not used.
+    in_parts: bool = False
 
 
 @dataclass(frozen=True)
@@ -28,7 +30,7 @@ def from_mapping(given: dict) -> PipelineConfig:
     """Settings from a nested mapping such as a parsed YAML file; unknown keys are ignored."""
     take = lambda cls, d: cls(**{k: d[k] for k in cls.__dataclass_fields__ if k in d})
     chunking, extraction = given.get("chunking", {}), given.get("extraction", {}).get("pdf", {})
-    names = {"chunk_size": "size", "chunk_overlap": "overlap", "min_chunk_size": "min_size", "max_chunk_size": "max_size", "primary_method": "primary", "fallback_method": "fallback"}
+    names = {"chunk_size": "size", "chunk_overlap": "overlap", "min_chunk_size": "min_size", "max_chunk_size": "max_size", "primary_method": "primary", "fallback_method": "fallback", "read_in_parts": "in_parts"}
     rename = lambda d: {names.get(k, k): v for k, v in d.items()}
     out = {k: given[k] for k in ("version", "min_quality_score", "embedding_dim", "as_of") if k in given}
     if "min_quality_score" in given.get("validation", {}):

@@ -81,10 +81,14 @@ def run(spark: SparkSession, folder: str, state: DataFrame | None = None, tables
         set_checkpoint_folder(spark)
     state = state if state is not None else spark.createDataFrame([], incremental.STATE)
     tables = tables if tables is not None else store.empty_tables(spark)
-    listed = files.scan(spark, folder, config.extraction.pattern)
+    extraction = config.extraction
+    listed = files.text_listing(spark, folder, extraction.pattern) if extraction.in_parts else files.scan(spark, folder, extraction.pattern)
     planned = incremental.plan(listed.select("file_key", "hash"), state)
     chosen = listed if force_all else listed.join(incremental.to_process(planned), "file_key", "left_semi")
-    pages = once(files.extract_pages(chosen, config.extraction.primary, config.extraction.fallback))
+    if extraction.in_parts:
+        pages = once(files.text_pages(spark, folder, extraction.pattern).join(chosen.select(F.col("file_key").alias("doc_id")), "doc_id", "left_semi"))
+    else:
+        pages = once(files.extract_pages(chosen, extraction.primary, extraction.fallback))
     documents, chunks = map(once, process_pages(pages, config))
     judged = documents.join(enrich.document_quality(chunks, config.min_quality_score), "doc_id", "left")
     ok = F.coalesce(F.col("accepted"), F.lit(False)) & ~F.col("extraction_failed")

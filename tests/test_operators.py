@@ -284,14 +284,28 @@ def test_batches_keep_chunks_vectors_and_tables(spark, tmp_path):
     first = held()
     assert first[:3] == (both, both, both) and first[4] == 2
     written = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("part-*.parquet")}
-    assert files() == [0, 0] and held() == first  # nothing changed
     (tmp_path / "two" / "two.pdf").write_text(text("TWO"))
     (tmp_path / "two" / "three.pdf").write_text(text("three"))
-    assert files() == [0, 2] and held()[0] == both | {"three.pdf"} and held()[4] == 4
+    assert files() == [0, 2]  # what did not change is not processed again
+    second = held()
+    assert second[0] == both | {"three.pdf"} and second[4] == 4
     ours = {p: t for p, t in written.items() if "chunks" in p.parts}
     kept = [p for p, t in ours.items() if p.exists() and p.stat().st_mtime_ns == t]
     assert kept  # the bucket of the unchanged document was not written again
     (tmp_path / "one" / "one.pdf").unlink()
-    assert files() == [0, 0] and held()[:3] == 3 * ({"two.pdf", "three.pdf"},)
+    assert [r["files"] for r in pipeline.run_batch(spark, batches[:1], target).collect()] == [0]
+    assert held()[:3] == 3 * ({"two.pdf", "three.pdf"},)
     found = store.document_on_disk(spark, f"{target}/metadata", "three.pdf").collect()
     assert len(found) == 1 and found[0]["total_chunks"] > 0
+
+
+def test_a_run_over_text_in_parts(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    page = "Chapter 1: Intro\n" + "The words stand here and are enough for a chunk. " * 30
+    (tmp_path / "in" / "a b.txt").write_text(f"{page}\f\f{page}")
+    results = []
+    for in_parts in (True, False):
+        config = PipelineConfig(extraction=ExtractionConfig("*.txt", "text", None, in_parts))
+        done = pipeline.run(spark, str(tmp_path / "in"), config=config, materialize=True)
+        results.append(sorted((r["chunk_id"], r["content"], r["page_numbers"]) for r in done.chunks.select("chunk_id", "content", "page_numbers").collect()))
+    assert results[0] == results[1] and len(results[0]) > 0
