@@ -70,6 +70,10 @@ class WindowLmConfig:
         return replace(self, branches=branches)
 
 
+#: Bits of a hash that are looked at first.
+_PLACE_BITS = 21
+
+
 class Vocabulary:
     """Word hashes to entries; entry ``size`` stands for what lies outside a document."""
 
@@ -97,15 +101,29 @@ class Vocabulary:
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entries, logs of shares, whether the count is known); an unknown count is taken for 1."""
-        out = self._shared(hashes).astype(np.int32)
-        share, known = np.zeros(len(hashes)), np.zeros(len(hashes), bool)
+        out, share, known = self._shared(hashes).astype(np.int32), np.zeros(len(hashes)), np.zeros(len(hashes), bool)
         if len(self.sorted) and len(hashes):
-            at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-            known = self.sorted[at] == hashes
+            # the first bits say where a word would be; only where two known words share them it is searched for
+            at = self._places()[(hashes >> np.uint64(64 - _PLACE_BITS)).astype(np.int64)]
+            many = np.flatnonzero(at == -2)
+            at[many] = np.minimum(np.searchsorted(self.sorted, hashes[many]), len(self.sorted) - 1)
+            known = (at >= 0) & (self.sorted[at] == hashes)
             out[known], share[known] = self.entry[at[known]], self.share[at[known]]
         share[~known] = -self.rare_logs[out[~known] - (self.config.size - self.config.rare)]
         return out, share, known
 
+    def _places(self) -> np.ndarray:
+        """For each value of a hash's first bits: the place of the one known word with it, -1 for none, -2 for several.  Made anew in each worker."""
+        if self.__dict__.get("places") is None:
+            first = (self.sorted >> np.uint64(64 - _PLACE_BITS)).astype(np.int64)
+            self.places = np.full(1 << _PLACE_BITS, -1, np.int32)
+            self.places[first] = np.arange(len(first))
+            self.places[first[1:][first[1:] == first[:-1]]] = -2
+        return self.places
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "places"}
+
     def entries(self, hashes: np.ndarray) -> np.ndarray:
         return self.look_up(hashes)[0]
 
