@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 
 #: Work on about this many bytes at a time, so that temporaries stay in cache.
 PIECE = 1 << 20
+#: Hash about so many bytes at a time, so that tables of powers and sums are small.
+_WINDOW = 1 << 18
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _M64 = (1 << 64) - 1
 
@@ -86,7 +88,7 @@ class Piece:
         value, at = _VALUE_LOWER if lower else _VALUE, 0
         while at < len(starts):
             base = int(starts[at])
-            to = max(at + 1, int(np.searchsorted(ends, base + 2 * PIECE, "right")))
+            to = max(at + 1, int(np.searchsorted(ends, base + _WINDOW, "right")))
             n = int(ends[at:to].max()) - base
             up, down = _powers(1 << max(16, (n + 1).bit_length()))
             sums = np.zeros(n + 1, np.uint64)
