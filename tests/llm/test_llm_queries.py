@@ -15,7 +15,7 @@ def test_query(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         c.sql(f"create view {t} as select * from '{FOLDER}/{t}.parquet'")
     df = queries.QUERIES[name](spark, FOLDER)
     want = c.sql(queries.ORACLES[name])
