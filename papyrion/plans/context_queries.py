@@ -9,6 +9,7 @@ from papyrion.operators import chunking, enrich, vector
 from papyrion.plans.inputs import manuals
 from papyrion.plans.registry import ORACLES, query, table
 from papyrion.plans.text_queries import COMPLETE, CONF, SECTIONS, STRIP, WITH, WITH_CHUNKS, W, case_of, extract_all, manual_chunks
+from papyrion.session import saved
 
 # --- chunking with packing ------------------------------------------------
 
@@ -133,7 +134,9 @@ def _related_top5(spark, folder):
 
 def _validated(spark, folder):
     """Chunks with all that the checks look at, and their scores."""
-    chunks = enrich.content_context(enrich.hierarchy(enrich.navigation(_section_chunks(spark, folder))))
+    # the headings of a chunk are read twice beside the chunk itself, so chunks are made once and saved
+    chunks = saved(enrich.navigation(_section_chunks(spark, folder)), "chunks")
+    chunks = enrich.content_context(enrich.hierarchy(chunks))
     return enrich.validate_chunks(chunks)
 
 
@@ -232,7 +235,7 @@ SELECT chunk_id, doc_id AS document_id, coalesce(t.value, '') AS document_title,
 FROM measured LEFT JOIN concepts USING (chunk_id) LEFT JOIN titled t USING (doc_id) LEFT JOIN typed_docs d USING (doc_id)""")
 def _vec_meta(spark, folder):
     docs = manuals(spark, folder).select("doc_id", metadata.title("content").alias("title"), metadata.document_type("content").alias("doc_type"))
-    rows = vector.flat_metadata(enrich.enrich_chunks(_section_chunks(spark, folder), docs))
+    rows = vector.flat_metadata(enrich.enrich_chunks(saved(_section_chunks(spark, folder), "chunks"), docs))
     return rows.withColumns({c: F.round(c, 6) for c in ("position", "extraction_confidence")})
 
 

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def set_checkpoint_folder(spark: SparkSession) -> str:
@@ -31,6 +31,13 @@ def scratch_folder(spark: SparkSession, job: str) -> str:
     return f"{set_checkpoint_folder(spark)}/papyrion-{job}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame, job: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for plans that use dear rows several times."""
+    path = scratch_folder(df.sparkSession, job)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def session(app: str = "papyrion", master: str | None = None, shuffle_partitions: int | None = None, **settings: str) -> SparkSession:
     """UTC, ANSI mode and adaptive execution; anything else is Spark's default or the caller's."""
     builder = SparkSession.builder.appName(app)
