@@ -22,6 +22,8 @@ class PipelineConfig:
     min_quality_score: float = 50.0
     embedding_dim: int = 64
     as_of: str = "1970-01-01 00:00:00"
+    #: Types of chunks by ``chunk_classes``, learned from the chunks of the run itself; else by the rules alone.
+    learned_types: bool = False
     extraction: ExtractionConfig = field(default_factory=ExtractionConfig)
     chunking: ChunkingConfig = field(default_factory=ChunkingConfig)
 
@@ -32,7 +34,7 @@ def from_mapping(given: dict) -> PipelineConfig:
     chunking, extraction = given.get("chunking", {}), given.get("extraction", {}).get("pdf", {})
     names = {"chunk_size": "size", "chunk_overlap": "overlap", "min_chunk_size": "min_size", "max_chunk_size": "max_size", "primary_method": "primary", "fallback_method": "fallback", "read_in_parts": "in_parts"}
     rename = lambda d: {names.get(k, k): v for k, v in d.items()}
-    out = {k: given[k] for k in ("version", "min_quality_score", "embedding_dim", "as_of") if k in given}
+    out = {k: given[k] for k in ("version", "min_quality_score", "embedding_dim", "as_of", "learned_types") if k in given}
     if "min_quality_score" in given.get("validation", {}):
         out["min_quality_score"] = given["validation"]["min_quality_score"]
     return PipelineConfig(**out, chunking=take(ChunkingConfig, rename(chunking)), extraction=take(ExtractionConfig, rename(extraction)))

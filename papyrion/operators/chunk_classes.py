@@ -90,7 +90,8 @@ def classify(chunks: DataFrame, model: ChunkClasses, id_col: str = "chunk_id", t
     ``margin`` its lead over the second one in thousandths; 0 if there is one
     type only.  Both are null for a paragraph without known terms, and for a row
     without an id.  ``chunk_type`` is the learned one if it leads by
-    ``least_margin``, else the rules' type of the whole text.  Ids are unique.
+    ``least_margin``, else the rules' type of the whole text.  Ids are unique; rows
+    that share one are scored together, by the sum over all of them.
     """
     kept = [c for c in chunks.columns if c not in ("learned_type", "margin", "chunk_type")]
     rules = F.coalesce(chunk_text.chunk_type(text_col), F.lit("unknown"))

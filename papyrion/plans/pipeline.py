@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from papyrion.config import PipelineConfig
 from papyrion.functions import metadata
 from papyrion.functions import text as T
-from papyrion.operators import buckets, chunking, enrich, incremental, store, vector
-from papyrion.session import scratch_folder, set_checkpoint_folder
+from papyrion.operators import buckets, chunk_classes, chunking, enrich, incremental, store, vector
+from papyrion.session import saved, scratch_folder, set_checkpoint_folder
 from papyrion.sources import files
 
 
@@ -65,7 +65,13 @@ def process_pages(pages: DataFrame, config: PipelineConfig = PipelineConfig()) -
     """(documents, scored chunks) of extracted pages."""
     documents = document_metadata(pages)
     chunks = chunking.chunk_pages(pages, joined_text(pages), config.chunking)
-    return documents, enrich.validate_chunks(enrich.enrich_chunks(chunks, documents.select("doc_id", "title", "doc_type", "total_pages")))
+    described = documents.select("doc_id", "title", "doc_type", "total_pages")
+    if not config.learned_types:
+        return documents, enrich.validate_chunks(enrich.enrich_chunks(chunks, described))
+    chunks = saved(chunks, "chunks")  # read to learn, and again to classify
+    enriched = enrich.enrich_chunks(chunks, described)
+    typed = chunk_classes.classify(enriched, chunk_classes.train(chunks))
+    return documents, enrich.validate_chunks(typed.select(*enriched.columns))
 
 
 def run(spark: SparkSession, folder: str, state: DataFrame | None = None, tables: dict[str, DataFrame] | None = None, config: PipelineConfig = PipelineConfig(), force_all: bool = False, materialize: bool = False) -> RunResult:

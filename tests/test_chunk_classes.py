@@ -4,8 +4,10 @@ import math
 import random
 from collections import Counter
 
+from papyrion.config import from_mapping
 from papyrion.operators import chunk_classes
 from papyrion.operators.chunk_classes import ChunkClassesConfig
+from papyrion.plans import pipeline
 
 PHRASES = {"example": "for example", "warning": "caution: mind", "summary": "in summary", "reference": '(see annex 7)'}
 
@@ -75,3 +77,16 @@ def test_nothing_to_learn_from(spark):
     assert model.labels == [] and model.gains.count() == 0
     assert [r["chunk_type"] for r in chunk_classes.classify(chunks, model).collect()] == ["unknown"] * 2
     assert chunk_classes.classify(chunks.limit(0), model).count() == 0
+
+
+def test_a_run_with_learned_types(spark):
+    """Pages of one paragraph each; without the setting those without a phrase have no type."""
+    pages = spark.createDataFrame([(f"d{i}", 1, t.replace("\n\n", " "), k) for i, k, t in corpus(160, 4)], "doc_id string, page_number int, content string, kind string")
+    pages = pages.selectExpr("*", "length(content) as char_count", "'text' as extraction_method", "false as extraction_failed")
+    ruled = pipeline.process_pages(pages.drop("kind"), from_mapping({"chunking": {"min_chunk_size": 1}}))[1]
+    typed = pipeline.process_pages(pages.drop("kind"), from_mapping({"learned_types": True, "chunking": {"min_chunk_size": 1}}))[1]
+    assert typed.schema.names == ruled.schema.names
+    kinds = pages.select("doc_id", "kind")
+    right = lambda chunks: chunks.join(kinds, "doc_id").where("chunk_type = kind").count()
+    n = typed.count()
+    assert n >= 160 and right(typed) >= 0.95 * n and right(ruled) <= 0.5 * n
