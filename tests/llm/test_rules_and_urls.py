@@ -168,3 +168,11 @@ def test_damage_costs_one_record(compress):
     cut = list(warc.read_records(whole[:-5]))
     assert isinstance(cut[-1], warc.Gap) and len(cut) == 5
     assert list(warc.read_records(b"")) == []
+
+
+def test_verdicts_are_those_of_the_contract(spark):
+    words = {"com/en/": "block", "example.com/en/7": "allow", "net/de/": "allow", "example.net/de/8": "block", "org/es/": "block"}
+    assert {rule.key: rule.verdict for rule in url_filter.DEFAULT_RULES} == words
+    rows = spark.createDataFrame([(i, f"http://sub.{key}x") for i, key in enumerate(words)], "page_id long, url string")
+    got = {r["rule"]: r["verdict"] for r in url_filter.filter_urls(rows).collect()}
+    assert got == words
