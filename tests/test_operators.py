@@ -309,3 +309,15 @@ def test_a_run_over_text_in_parts(spark, tmp_path):
         done = pipeline.run(spark, str(tmp_path / "in"), config=config, materialize=True)
         results.append(sorted((r["chunk_id"], r["content"], r["page_numbers"]) for r in done.chunks.select("chunk_id", "content", "page_numbers").collect()))
     assert results[0] == results[1] and len(results[0]) > 0
+
+
+def test_a_mean_on_the_limit_of_a_grade_is_on_it_in_any_order(spark):
+    from papyrion.operators import enrich
+
+    # in doubles these means are 69.99999999999999, 80.00000000000001 and 90.00000000000001 in this order
+    points = {70: [491, 493, 503, 473], 80: [618, 482, 580], 90: [611, 606, 635, 624, 674], 79: [552, 555, 552]}
+    rows = [(k, p / 700 * 100) for k, of_doc in points.items() for p in of_doc]
+    for given in (rows, rows[::-1]):
+        got = {r["doc_id"]: r for r in enrich.document_quality(spark.createDataFrame(given, "doc_id int, score double").coalesce(1), 70.0).collect()}
+        assert [got[k]["overall_score"] for k in (70, 80, 90, 79)] == [70.0, 80.0, 90.0, 79.0]
+        assert [got[k]["grade"] for k in (70, 80, 90, 79)] == ["Acceptable", "Good", "Excellent", "Acceptable"] and got[70]["accepted"]
