@@ -37,6 +37,10 @@ class TextIndexConfig:
     first_chunks: int = 4
     #: Up to so many terms are pushed down to the files as a list.
     pushed_terms: int = 1000
+    #: Chunks that a task takes where there are enough for all cores.
+    chunks_per_task: int = 4
+    #: Terms of queries, and chunks of queries, are broadcast up to so many rows; beyond that Spark shuffles both sides.
+    broadcast_rows: int = 1_000_000
 
 
 def terms_of(text: Column | str) -> Column:
@@ -61,18 +65,29 @@ def build(docs: DataFrame, path: str, config: TextIndexConfig = TextIndexConfig(
     spark = docs.sparkSession
     spark.createDataFrame([(totals["documents"], totals["words"], chunks)], "documents long, words long, chunks long").coalesce(1).write.parquet(f"{path}/totals")
     chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks))
-    occurring = worded.where("doc_id is not null").select("doc_id", chunk.alias("chunk"), F.size("words").cast("long").alias("length"), F.explode("words").alias("term"))
-    counted = occurring.groupBy("term", "chunk", "doc_id", "length").agg(F.count(F.lit(1)).alias("tf"))
-    blocks = counted.groupBy("term", "chunk").agg(
+    # texts move once; what follows has the chunk in its keys and stays in its task
+    dealt = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null").withColumn("chunk", chunk).repartition(_tasks(spark, chunks, config), "chunk")
+    words = dealt.select("doc_id", "chunk", terms_of("text").alias("words"))
+    occurring = words.select("chunk", F.explode("words").alias("term"), "doc_id", F.size("words").cast("long").alias("length"))
+    counted = occurring.groupBy("chunk", "term", "doc_id", "length").agg(F.count(F.lit(1)).alias("tf"))
+    blocks = counted.groupBy("chunk", "term").agg(
         F.max(_impact(F.col("tf"), F.col("length"), average, config)).alias("peak"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("doc_id", "tf", "length")).alias("docs")
     )
     bucket = bucket_of(F.col("term"), config.buckets)
-    blocks.withColumn("bucket", bucket).repartition("bucket", "chunk").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/blocks")
+    blocks.select("term", "chunk", "peak", "n", "docs", bucket.alias("bucket")).sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/blocks")
     if totals["words"]:
         found = spark.read.parquet(f"{path}/blocks").groupBy("bucket", "term").agg(F.sum("n").alias("documents"))
         found.repartition("bucket").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/terms")
 
 
+def _tasks(spark: SparkSession, chunks: int, config: TextIndexConfig) -> int:
+    return max(-(-chunks // config.chunks_per_task), min(chunks, spark.sparkContext.defaultParallelism))
+
+
+def _few(rows: DataFrame, config: TextIndexConfig) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= config.broadcast_rows else rows
+
+
 def _wanted(table: DataFrame, asked: list[str], buckets: list[int], config: TextIndexConfig) -> DataFrame:
     table = table.where(F.col("bucket").isin(buckets))
     return table.where(F.col("term").isin(asked)) if len(asked) <= config.pushed_terms else table
@@ -85,19 +100,25 @@ class _Search:
     blocks: DataFrame
     terms: DataFrame
     average: float
+    chunks: int
     config: TextIndexConfig
 
     def bounds(self) -> DataFrame:
         """(query_id, chunk, bound): no document of the chunk scores higher.  Reads no postings."""
-        heads = self.blocks.select("term", "chunk", "peak").join(self.terms, "term")
+        heads = self.blocks.select("term", "chunk", "peak").join(_few(self.terms, self.config), "term")
         return heads.groupBy("query_id", "chunk").agg(F.sum(_millionths(F.col("idf") * F.col("peak"))).alias("bound"))
 
     def scored(self, chunks: DataFrame) -> DataFrame:
         """(query_id, doc_id, score) of all documents in the given chunks (query_id, chunk) that have a term of the query."""
-        met = self.blocks.select("term", "chunk", "docs").join(self.terms, "term").join(chunks.select("query_id", "chunk"), ["query_id", "chunk"])
-        each = met.select("query_id", "idf", F.explode("docs").alias("d"))
+        # a block moves once, however many queries ask for it, and a task adds up all of a chunk's scores
+        wanted = _few(chunks.select("query_id", "chunk").checkpoint(), self.config)
+        blocks = self.blocks.select("term", "chunk", "docs").join(wanted.select("chunk").distinct(), "chunk", "left_semi")
+        blocks = blocks.repartition(_tasks(blocks.sparkSession, self.chunks, self.config), "chunk")
+        met = blocks.join(_few(self.terms, self.config), "term").join(wanted, ["query_id", "chunk"])
+        each = met.select("query_id", "chunk", "idf", F.explode("docs").alias("d"))
         part = _millionths(F.col("idf") * _impact(F.col("d.tf"), F.col("d.length"), self.average, self.config))
-        return each.select("query_id", F.col("d.doc_id").alias("doc_id"), part.alias("part")).groupBy("query_id", "doc_id").agg(F.sum("part").alias("score"))
+        each = each.select("query_id", "chunk", F.col("d.doc_id").alias("doc_id"), part.alias("part"))
+        return each.groupBy("query_id", "chunk", "doc_id").agg(F.sum("part").alias("score")).select("query_id", "doc_id", "score")
 
 
 def _open(spark: SparkSession, path: str, queries: DataFrame, config: TextIndexConfig) -> _Search | None:
@@ -111,7 +132,7 @@ def _open(spark: SparkSession, path: str, queries: DataFrame, config: TextIndexC
     idf = F.log(1 + (n - F.col("documents") + 0.5) / (F.col("documents") + 0.5))
     known = _wanted(spark.read.parquet(f"{path}/terms"), few, buckets, config)
     terms = asked.join(known.select("term", "documents"), "term").select("query_id", "term", idf.alias("idf"))
-    return _Search(_wanted(spark.read.parquet(f"{path}/blocks"), few, buckets, config), terms.checkpoint(), max(1, totals["words"]) / totals["documents"], config)
+    return _Search(_wanted(spark.read.parquet(f"{path}/blocks"), few, buckets, config), terms.checkpoint(), max(1, totals["words"]) / totals["documents"], totals["chunks"], config)
 
 
 def _top(scored: DataFrame, n: int) -> DataFrame:

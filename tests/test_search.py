@@ -103,3 +103,14 @@ def test_a_substring_search_reads_its_lists_only(spark, tmp_path):
     assert found.count() == 11 + 0  # 123, 1230 to 1239
     assert substring_index.candidates(spark, path, "%xyz%").count() == 0
     assert substring_index.candidates(spark, path, "%12%") is None
+
+
+def test_scores_add_up_where_a_chunk_lies(spark, tmp_path):
+    config = TextIndexConfig(chunk_rows=10)
+    docs = spark.createDataFrame([(i, f"common w{i % 3}") for i in range(100)], "doc_id long, content string")
+    text_index.build(docs, str(tmp_path / "index"), config)
+    found = text_index._open(spark, str(tmp_path / "index"), spark.createDataFrame([(q, "common w1") for q in range(20)], "query_id int, text string"), config)
+    scored = found.scored(found.bounds().select("query_id", "chunk"))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query_id" not in plan and plan.count("hashpartitioning(chunk") >= 1
+    assert scored.count() == 20 * 100
