@@ -27,24 +27,19 @@ class PhraseConfig:
 
 
 def candidates(text: Column | str, config: PhraseConfig = PhraseConfig()) -> Column:
-    """All candidates of a text, as arrays of lower-case words, each as often as it occurs."""
+    """All candidates of a text, as lower-case words with a space between them, each as often as it occurs."""
     text = F.col(text) if isinstance(text, str) else text
-    stretches = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[.!?;:,()\n]+")
-    stop = F.array(*(F.lit(w) for w in config.stop_words))
-    word = lambda x: F.struct(x.alias("w"), x.rlike(r"^\p{L}{2,}$").alias("plain"), F.array_contains(stop, x).alias("stop"))
+    # what ends a stretch becomes a word that is no candidate's
+    low = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?;:,()\n]+", " . ")
+    found = F.flatten(F.array(*(F.regexp_extract_all(low, F.lit(_pattern(n, config)), F.lit(1)) for n in range(2, config.most_words + 1))))
+    return F.transform(found, lambda p: F.regexp_replace(p, r"\s+", " "))
 
-    def runs(stretch: Column) -> Column:
-        words = F.transform(F.filter(F.split(stretch, r"\s+"), lambda x: x != ""), word)
-        return F.flatten(F.transform(F.array(words), lambda ws: F.flatten(F.array(*(_runs(ws, n) for n in range(2, config.most_words + 1))))))
 
-    return F.flatten(F.transform(stretches, runs))
-
-
-def _runs(words: Column, n: int) -> Column:
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    parts = F.transform(starts, lambda i: F.slice(words, i, n))
-    good = F.filter(parts, lambda p: F.forall(p, lambda x: x["plain"]) & ~F.get(p, F.lit(0))["stop"] & ~F.get(p, F.lit(n - 1))["stop"])
-    return F.transform(good, lambda p: F.transform(p, lambda x: x["w"]))
+def _pattern(n: int, config: PhraseConfig) -> str:
+    """A run of ``n`` plain words, looked for from every word on."""
+    plain = r"\p{L}{2,}"
+    no_stop = r"(?!(?:" + "|".join(rf"\Q{w}\E" for w in config.stop_words) + r")(?!\S))" if config.stop_words else ""
+    return rf"(?<!\S){no_stop}(?=({plain}(?:\s+{plain}){{{n - 2}}}\s+{no_stop}{plain})(?!\S))"
 
 
 def terms(docs: DataFrame, config: PhraseConfig = PhraseConfig(), text_col: str = "content") -> DataFrame:
@@ -53,15 +48,17 @@ def terms(docs: DataFrame, config: PhraseConfig = PhraseConfig(), text_col: str
     ``nested_in`` counts the longer terms that hold it; ``c_value`` is in
     ten-thousandths.  Null and empty texts have no candidates.
     """
-    counted = docs.select(F.explode(candidates(text_col, config)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("occurrences")).where(F.col("occurrences") >= config.min_count)
+    # an inner explode would look for the candidates again, to see whether there are any
+    counted = docs.select(F.explode_outer(candidates(text_col, config)).alias("name")).where("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("occurrences")).where(F.col("occurrences") >= config.min_count)
+    counted = counted.withColumn("term", F.split("name", " "))
     # each longer term tells its parts, once each, how often it occurs
     inner = F.array_distinct(F.flatten(F.array(*(_parts(F.col("term"), n) for n in range(2, config.most_words)))))
     told = counted.select(F.explode(inner).alias("part"), F.size("term").alias("words"), "occurrences").where(F.size("part") < F.col("words"))
-    told = told.groupBy(F.col("part").alias("term")).agg(F.count(F.lit(1)).alias("nested_in"), F.sum("occurrences").alias("within"))
-    joined = counted.join(told, "term", "left").withColumn("nested_in", F.coalesce("nested_in", F.lit(0)))
+    told = told.groupBy(F.array_join("part", " ").alias("name")).agg(F.count(F.lit(1)).alias("nested_in"), F.sum("occurrences").alias("within"))
+    joined = counted.join(told, "name", "left").withColumn("nested_in", F.coalesce("nested_in", F.lit(0)))
     alone = F.col("occurrences") - F.when(F.col("nested_in") > 0, F.col("within") / F.col("nested_in")).otherwise(0.0)
     value = F.floor(F.log2(F.size("term").cast("double")) * alone * 1e4 + 0.5).cast("long")
-    return joined.select(F.array_join("term", " ").alias("term"), F.size("term").alias("words"), "occurrences", "nested_in", value.alias("c_value"))
+    return joined.select(F.col("name").alias("term"), F.size("term").alias("words"), "occurrences", "nested_in", value.alias("c_value"))
 
 
 def _parts(term: Column, n: int) -> Column:
@@ -71,7 +68,7 @@ def _parts(term: Column, n: int) -> Column:
 
 def concepts(docs: DataFrame, known: DataFrame, most: int = 10, config: PhraseConfig = PhraseConfig(), text_col: str = "content", id_col: str = "doc_id") -> DataFrame:
     """(id, concepts): each row's ``most`` terms with the highest C-values above 0, highest first, then in order; rows without any are left out."""
-    held = docs.select(id_col, F.explode(F.array_distinct(F.transform(candidates(text_col, config), lambda t: F.array_join(t, " ")))).alias("term"))
+    held = docs.select(id_col, F.explode_outer(F.array_distinct(candidates(text_col, config))).alias("term")).where("term is not null")
     met = held.join(known.where("c_value > 0").select("term", "c_value"), "term")
     top = met.withColumn("k", F.row_number().over(Window.partitionBy(id_col).orderBy(F.desc("c_value"), "term"))).where(F.col("k") <= most)
     return top.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "term"))), lambda x: x["term"]).alias("concepts"))

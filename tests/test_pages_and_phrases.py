@@ -80,3 +80,10 @@ def _runs(text):
 
 def test_no_texts(spark):
     assert phrases.terms(spark.createDataFrame([], "content string")).count() == 0
+
+
+def test_candidates_are_found_once_a_row(spark):
+    docs = spark.createDataFrame([(1, "deep learning net\u2028 works, of deep nets")], "doc_id int, content string")
+    assert docs.select(phrases.candidates("content").alias("c")).first()["c"] == ["deep learning", "deep nets"]
+    plan = phrases.terms(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "size(flatten(array(regexp" not in plan and "size(transform(flatten(array(regexp" not in plan
