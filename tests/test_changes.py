@@ -31,3 +31,20 @@ def test_stream_equals_plan(spark, tmp_path):
             want += [(time(k), r["file_key"], r["status"]) for r in planned]
             state = listings[k]
         assert got == sorted(want)
+
+
+def test_many_files_share_a_key_of_the_state(spark, tmp_path, monkeypatch):
+    """Calls to the state follow the buckets, not the files; each scan is one batch of several files."""
+    monkeypatch.setattr(changes, "BUCKETS", 3)
+    first, second = ({f"f{i}": str(i % a) for i in range(400) if i % b} for a, b in ((5, 3), (4, 7)))
+    frame = lambda rows: spark.createDataFrame(list(rows.items()), "file_key string, hash string")
+    scans, batches = str(tmp_path / "scans"), {}
+    for k, rows in enumerate((first, second), 1):
+        changes.add_scan(frame(rows), scans, f"2024-01-0{k} 00:00:00")
+    assert len(list((tmp_path / "scans").glob("*.parquet"))) == 2 * changes.PARTS
+    query = changes.follow(spark, scans, str(tmp_path / "checkpoint"), lambda batch, number: batches.__setitem__(number, batch.select("file_key", "status", F.dayofmonth("scan")).collect()))
+    query.awaitTermination()
+    got = sorted((r["file_key"], r["status"]) for rows in batches.values() for r in rows if r[2] == 2)
+    assert got == sorted((r["file_key"], r["status"]) for r in incremental.plan(frame(second), frame(first)).collect())
+    keys = [op.numRowsTotal for p in query.recentProgress for op in p.stateOperators]
+    assert max(keys) <= 20  # two buckets' timers and values, where 500 files were each a key
