@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from papyrion.operators import buckets
+from papyrion.operators import nearest as nearest_groups
 from papyrion.sources import shared
 
 FILTERS = ("document_id", "document_type", "chunk_type", "semantic_role")
@@ -38,24 +39,25 @@ def nearest(vectors: DataFrame, query: list[float], n: int = 5, metric: str = "l
     return filtered(vectors, filters).withColumn("distance", distance).orderBy("distance", "vec_id").limit(n)
 
 
-def nearest_batch(vectors: DataFrame, queries: DataFrame, n: int = 5, metric: str = "l2sq", block_rows: int = 20_000) -> DataFrame:
+def nearest_batch(vectors: DataFrame, queries: DataFrame, n: int = 5, metric: str = "l2sq", block_rows: int = nearest_groups.GROUP_QUERIES) -> DataFrame:
     """(query_id, vec_id, distance, place): the ``n`` nearest of each stated query, over all vectors.
 
-    Spark limits each query's rows in every task before the shuffle (a window
-    group limit), so what moves is queries times tasks times n rows.  Queries are a stated set;
-    beyond ``block_rows`` they go in blocks, each broadcast on its own.
+    Vectors and queries (in groups of about ``block_rows``) meet in groups of
+    bounded size, each of which gives its n best for each query (``nearest``).
+    Pairs with a vector that has a null, an infinite component or another number
+    of components go by the column expression; those without a distance come last.
     """
-    total = queries.count()
-    blocks = max(1, -(-total // block_rows))
-    numbered = queries.select("query_id", F.col("embedding").alias("q")).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    out = None
-    for b in range(blocks):
-        part = F.broadcast(numbered.where(F.col("block") == b).drop("block"))
-        pairs = vectors.select("vec_id", "embedding").crossJoin(part).select("query_id", "vec_id", METRICS[metric](F.col("embedding"), F.col("q")).alias("distance"))
-        w = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-        best = pairs.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
-        out = best if out is None else out.unionByName(best)
-    return out
+    total, width = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    asked, width = queries.select("query_id", F.col("embedding").alias("q")), width or 0
+    rows = vectors.select("vec_id", "embedding")
+    spark = vectors.sparkSession
+    listed = rows.withColumn("list", F.lit(0))
+    found = nearest_groups.among(listed, asked.withColumn("lists", F.array(F.lit(0))), n, metric, width, nearest_groups.groups(spark, rows.count(), nearest_groups.GROUP_ROWS), max(1, -(-total // block_rows)))
+    odd = lambda c: ~nearest_groups.regular(F.col(c), width, metric)
+    pairs = rows.where(odd("embedding")).crossJoin(asked).unionByName(rows.where(~odd("embedding")).crossJoin(asked.where(odd("q"))))
+    found = found.unionByName(pairs.select("query_id", "vec_id", METRICS[metric](F.col("embedding"), F.col("q")).alias("distance")))
+    w = Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), "vec_id")
+    return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
 
 
 def flat_metadata(chunks: DataFrame) -> DataFrame:

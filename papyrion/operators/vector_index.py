@@ -25,9 +25,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from papyrion.operators import buckets
+from papyrion.operators import buckets, nearest
 from papyrion.operators.vector import METRICS, filtered
-from papyrion.session import set_checkpoint_folder
+from papyrion.session import saved, set_checkpoint_folder
 from papyrion.sources import shared
 
 
@@ -42,8 +42,6 @@ class IndexConfig:
     seed: int = 17
     #: ``cosine`` compares directions: centroids and lists are those of the vectors at unit length.
     metric: str = "l2sq"
-    #: A set of queries (vectors and probes) of up to so many bytes is broadcast.
-    broadcast_bytes: int = 8 << 20
 
 
 def _placed(embedding: Column, metric: str) -> Column:
@@ -139,12 +137,21 @@ def search(spark: SparkSession, path: str, queries: DataFrame, n: int = 5, probe
     asked = queries.where("embedding is not null").select("query_id", F.col("embedding").alias("q"), _placed(F.col("embedding"), config.metric).alias("placed"))
     # queries times lists, which are few
     ranked = asked.crossJoin(F.broadcast(lists)).withColumn("apart", _distance(F.col("placed"), F.col("centroid"))).drop("placed", "centroid", "rows")
-    ranked = ranked.withColumn("nth", F.row_number().over(Window.partitionBy("query_id").orderBy("apart", "list")))
+    # read by several jobs below, and dear: a distance for each query and list
+    ranked = saved(ranked.withColumn("nth", F.row_number().over(Window.partitionBy("query_id").orderBy("apart", "list"))), "places")
     metric = METRICS[config.metric]
 
+    total, width = asked.agg(F.count(F.lit(1)), F.max(F.size("q"))).first()
+    indexed = lists.agg(F.sum("rows")).first()[0] or 0
+
     def among(places: DataFrame) -> DataFrame:
+        """In groups (see ``nearest``), to each of which a query goes once, with the lists that it looks into."""
         rows = filtered(_pruned(data, places), filters).select("list", "vec_id", "embedding")
-        found = rows.join(_few(places.select("list", "query_id", "q"), config), "list").select("query_id", "vec_id", metric(F.col("embedding"), F.col("q")).alias("distance"))
+        each = places.groupBy("query_id").agg(F.first("q").alias("q"), F.collect_set("list").alias("lists"))
+        found = nearest.among(rows, each, n, config.metric, width or 0, nearest.groups(spark, indexed, nearest.GROUP_ROWS), max(1, -(-total // nearest.GROUP_QUERIES)))
+        odd = lambda c: ~nearest.regular(F.col(c), width or 0, config.metric)
+        compare = lambda rows, places: rows.join(places.select("list", "query_id", "q"), "list").select("query_id", "vec_id", metric(F.col("embedding"), F.col("q")).alias("distance"))
+        found = found.unionByName(compare(rows.where(odd("embedding")), places)).unionByName(compare(rows.where(~odd("embedding")), places.where(odd("q"))))
         return _best(found.where("distance is not null"), n)
 
     first = among(ranked.where(F.col("nth") <= probes))
@@ -152,14 +159,8 @@ def search(spark: SparkSession, path: str, queries: DataFrame, n: int = 5, probe
         return first
     first = first.checkpoint()
     bound = first.where(F.col("place") == n).select("query_id", F.col("distance").alias("kth"))
-    nearest = F.greatest(F.col("apart") - F.col("radius"), F.lit(0.0))
+    inner = F.greatest(F.col("apart") - F.col("radius"), F.lit(0.0))
     # the square of a distance at unit length is twice the cosine distance
-    least = nearest * nearest / (2 if config.metric == "cosine" else 1)
+    least = inner * inner / (2 if config.metric == "cosine" else 1)
     more = ranked.where(F.col("nth") > probes).join(bound, "query_id", "left").where(F.col("kth").isNull() | (least <= F.col("kth") + 1e-9))
     return _best(first.drop("place").unionByName(among(more).drop("place")), n)
-
-
-def _few(places: DataFrame, config: IndexConfig) -> DataFrame:
-    """Broadcast if small by the sum of its vectors' sizes; beyond that Spark shuffles both sides by list."""
-    size = places.agg(F.sum(F.size("q") * 8 + 16)).first()[0] or 0
-    return F.broadcast(places) if size <= config.broadcast_bytes else places
