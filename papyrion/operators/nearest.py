@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from papyrion.session import ship_package
+
 #: Vectors and queries of a group.
 GROUP_ROWS = 32_768
 GROUP_QUERIES = 16_384
@@ -114,6 +116,7 @@ def among(vectors: DataFrame, queries: DataFrame, n: int, metric: str, width: in
 
     ``queries`` has (query_id, q, lists), ``lists`` without repeats.
     """
+    ship_package(vectors.sparkSession)
     rows = vectors.where(regular(F.col("embedding"), width, metric)).select("list", "vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(row_groups)).cast("int").alias("vg"))
     rows = rows.withColumn("qg", F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1))))
     asked = queries.where(regular(F.col("q"), width, metric)).select("query_id", "q", "lists", F.pmod(F.xxhash64("query_id"), F.lit(query_groups)).cast("int").alias("qg"))

@@ -39,6 +39,10 @@ def nearest(vectors: DataFrame, query: list[float], n: int = 5, metric: str = "l
     return filtered(vectors, filters).withColumn("distance", distance).orderBy("distance", "vec_id").limit(n)
 
 
+def _compared(pairs: DataFrame, metric: str) -> DataFrame:
+    return pairs.select("query_id", "vec_id", METRICS[metric](F.col("embedding"), F.col("q")).alias("distance"))
+
+
 def nearest_batch(vectors: DataFrame, queries: DataFrame, n: int = 5, metric: str = "l2sq", block_rows: int = nearest_groups.GROUP_QUERIES) -> DataFrame:
     """(query_id, vec_id, distance, place): the ``n`` nearest of each stated query, over all vectors.
 
@@ -51,11 +55,15 @@ def nearest_batch(vectors: DataFrame, queries: DataFrame, n: int = 5, metric: st
     asked, width = queries.select("query_id", F.col("embedding").alias("q")), width or 0
     rows = vectors.select("vec_id", "embedding")
     spark = vectors.sparkSession
-    listed = rows.withColumn("list", F.lit(0))
-    found = nearest_groups.among(listed, asked.withColumn("lists", F.array(F.lit(0))), n, metric, width, nearest_groups.groups(spark, rows.count(), nearest_groups.GROUP_ROWS), max(1, -(-total // block_rows)))
     odd = lambda c: ~nearest_groups.regular(F.col(c), width, metric)
-    pairs = rows.where(odd("embedding")).crossJoin(asked).unionByName(rows.where(~odd("embedding")).crossJoin(asked.where(odd("q"))))
-    found = found.unionByName(pairs.select("query_id", "vec_id", METRICS[metric](F.col("embedding"), F.col("q")).alias("distance")))
+    count, odd_rows = rows.agg(F.count(F.lit(1)), F.count_if(odd("embedding"))).first()
+    listed = rows.withColumn("list", F.lit(0))
+    found = nearest_groups.among(listed, asked.withColumn("lists", F.array(F.lit(0))), n, metric, width, nearest_groups.groups(spark, count, nearest_groups.GROUP_ROWS), max(1, -(-total // block_rows)))
+    # a product of tables is slow even where a side is empty
+    if odd_rows:
+        found = found.unionByName(_compared(rows.where(odd("embedding")).crossJoin(asked), metric))
+    if not asked.where(odd("q")).isEmpty():
+        found = found.unionByName(_compared(rows.where(~odd("embedding")).crossJoin(asked.where(odd("q"))), metric))
     w = Window.partitionBy("query_id").orderBy(F.col("distance").asc_nulls_last(), "vec_id")
     return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
 
