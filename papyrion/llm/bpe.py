@@ -14,10 +14,11 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +30,16 @@ _SPACE = r"\t-\r \x85\xa0  -     　"
 _SPLIT = regex.compile(f"[{_SPACE}]+")
 _PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Characters that str.split() takes for white space and the tokenizer does not.
-_ODD = regex.compile("[\x1c-\x1f]")
+_ODD = r"[\x1c-\x1f]"
+_PIECE_OR_END = regex.compile(rf"{_PIECE.pattern}|\n")
 _NO_RANK = 1 << 60
 _ID = (1 << 20) - 1
-_NOTHING = ("", 0)
 #: Stands for a symbol that the vocabulary lacks; no pair with it has a rank.
 _UNKNOWN = _ID
+#: Pieces of at most so many bytes are merged together, longer ones each by itself.
+_TOGETHER = 64
+#: Characters of text that are encoded together, which bounds what a task holds.
+_STRETCH = 2_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -85,26 +90,39 @@ class SegmentTree:
         return i - self.size, value
 
 
-class RecentWords:
-    """What was made of the words met last, in two generations of bounded size.
-
-    A full generation becomes the old one; what is asked for again moves on to
-    the young one, so frequent words stay and the rest is forgotten.
-    """
-
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def recall(self, text: str):
-        found = self.young.get(text)
-        if found is None and (found := self.old.get(text)) is not None:
-            self.keep(text, found)
-        return found
-
-    def keep(self, text: str, made) -> None:
-        if len(self.young) >= self.most:
-            self.old, self.young = self.young, {}
-        self.young[text] = made
+class SegmentTrees:
+    """Segment trees of one size, a row each, that are read and changed together."""
+
+    def __init__(self, values: np.ndarray):
+        rows, self.size = values.shape
+        self.least = np.full((rows, 2 * self.size), _NO_RANK, np.int64)
+        self.least[:, self.size :] = values
+        at = self.size
+        while at > 1:
+            half = at // 2
+            self.least[:, half:at] = np.minimum(self.least[:, at : 2 * at : 2], self.least[:, at + 1 : 2 * at : 2])
+            at = half
+
+    def set(self, rows: np.ndarray, leaves: list[np.ndarray], values: list[np.ndarray]) -> None:
+        """Write several leaves of each of ``rows``, the last one of equal leaves in the end."""
+        flat, base = self.least.reshape(-1), rows * (2 * self.size)
+        nodes = [leaf + self.size for leaf in leaves]
+        for i, value in zip(nodes, values):
+            flat[base + i] = value
+        for _ in range(self.size.bit_length() - 1):
+            nodes = [i >> 1 for i in nodes]
+            for i in nodes:
+                below = base + 2 * i
+                flat[base + i] = np.minimum(flat[below], flat[below + 1])
+
+    def leftmost_least(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, values) of the leftmost least value of each of ``rows``."""
+        flat, base = self.least.reshape(-1), rows * (2 * self.size)
+        value, i = flat[base + 1], np.ones(len(rows), np.int64)
+        for _ in range(self.size.bit_length() - 1):
+            i *= 2
+            i += flat[base + i] != value
+        return i - self.size, value
 
 
 class WordBpe:
@@ -119,13 +137,15 @@ class WordBpe:
         self.merges = {self.ids[a] << 20 | self.ids[b]: rank << 20 | self.ids[a + b] for rank, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        self._token_of = {str(i): t for i, t in self.tokens.items()}
         alphabet = byte_alphabet()
-        self._inner = [self.ids.get(c, _UNKNOWN) for c in alphabet]
-        self._final = [self.ids.get(c + self.suffix, _UNKNOWN) for c in alphabet]
+        self._inner = np.array([self.ids.get(c, _UNKNOWN) for c in alphabet], np.int64)
+        self._final = np.array([self.ids.get(c + self.suffix, _UNKNOWN) for c in alphabet], np.int64)
+        self._pairs = np.array(sorted(self.merges) + [1 << 62], np.int64)
+        self._ranks = np.array([self.merges[p] for p in self._pairs[:-1].tolist()] + [_NO_RANK], np.int64)
+        most = max(self.tokens, default=0) + 1
+        self._id_texts = pa.array(map(str, range(most)), pa.large_string())
+        self._token_texts = pa.array([self.tokens.get(i) for i in range(most)], pa.large_string())
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
-        self._pieces = RecentWords(150_000)
-        self._words = RecentWords(300_000)
 
     def merge(self, at: list[int]) -> list[int]:
         """Apply merges to a list of ids in rank order, leftmost first, until no adjacent pair has a rank."""
@@ -153,75 +173,159 @@ class WordBpe:
                 tree.set(p, merges(at[p] << 20 | at[i], _NO_RANK))
         return [s for s in at if s >= 0]
 
-    def piece(self, text: str) -> tuple[str, int]:
-        """(ids, count) of one piece; symbols that the vocabulary lacks are left out."""
-        found = self._pieces.recall(text)
-        if found is None:
-            data, inner = text.encode("utf-8", "surrogatepass"), self._inner
-            symbols = [inner[b] for b in data]
-            symbols[-1] = self._final[data[-1]]
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a << 20 | b
+        at = np.searchsorted(self._pairs, pair)
+        return np.where(self._pairs[at] == pair, self._ranks[at], _NO_RANK)
+
+    def merge_rows(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """``merge`` of each row's first ``n`` ids, all rows at once; in place, with -1 where no id is left."""
+        rows, size = at.shape
+        place = np.arange(size)
+        values = np.full((rows, size), _NO_RANK, np.int64)
+        inner = place[None, :-1] < (n - 1)[:, None]
+        values[:, :-1][inner] = self._rank(at[:, :-1][inner], at[:, 1:][inner])
+        trees = SegmentTrees(values)
+        # a place more on each side stands for "none"
+        following, previous = np.tile(place + 1, (rows, 1)), np.tile(place - 1, (rows, 1))
+        live, ids, following, previous = np.arange(rows), at.reshape(-1), following.reshape(-1), previous.reshape(-1)
+        while True:
+            live = live[trees.least[live, 1] < _NO_RANK]
+            if not len(live):
+                return at
+            i, least = trees.leftmost_least(live)
+            base, end, made = live * size, n[live], least & _ID
+            j = following[base + i]
+            k = following[base + j]
+            ids[base + i], ids[base + j], following[base + i] = made, -1, k
+            more = k < end
+            k = np.where(more, k, i)
+            previous[(base + k)[more]] = i[more]
+            p = previous[base + i]
+            first = p < 0
+            p = np.where(first, i, p)
+            ahead = np.where(more, self._rank(made, ids[base + k]), _NO_RANK)
+            trees.set(live, [j, p, i], [np.full(len(live), _NO_RANK), np.where(first, _NO_RANK, self._rank(ids[base + p], made)), ahead])
+
+    def _pieces(self, pieces: pa.StringArray) -> pa.ListArray:
+        """The ids of each piece; symbols that the vocabulary lacks are left out."""
+        starts = np.frombuffer(pieces.buffers()[1], np.int32, len(pieces) + 1, 4 * pieces.offset).astype(np.int64)
+        data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+        n = np.diff(starts)
+        made, places = [], []
+        size, done = 1, np.int64(0)
+        while size <= _TOGETHER:
+            here = np.flatnonzero((n > done) & (n <= size))
+            if len(here):
+                place = np.arange(size)
+                held = place < n[here, None]
+                at = np.full((len(here), size), -1, np.int64)
+                at[held] = self._inner[data[(starts[here, None] + place)[held]]]
+                at[np.arange(len(here)), n[here] - 1] = self._final[data[starts[here] + n[here] - 1]]
+                if size > 1:
+                    at = self.merge_rows(at, n[here])
+                left = (at >= 0) & (at != _UNKNOWN)
+                made.append(_lists(left.sum(axis=1), at[left]))
+                places.append(here)
+            size, done = 2 * size, size
+        for x in np.flatnonzero(n > done).tolist():
+            symbols = self._inner[data[starts[x] : starts[x + 1]]].tolist()
+            symbols[-1] = int(self._final[data[starts[x + 1] - 1]])
             ids = [i for i in self.merge(symbols) if i != _UNKNOWN]
-            found = " ".join(map(str, ids)), len(ids)
-            if len(text) <= 64:
-                self._pieces.keep(text, found)
-        return found
-
-    def word(self, text: str) -> tuple[str, int]:
-        """(ids, count) of a run without white space, ids joined by a space."""
-        found = self._words.recall(text)
-        if found is None:
-            plain = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")
-            plain = plain.lower()
-            pieces = [plain] if plain.isascii() and plain.isalpha() else _PIECE.findall(plain)
-            parts = [p for p in map(self.piece, pieces) if p[1]]
-            found = parts[0] if len(parts) == 1 else (" ".join([p[0] for p in parts]), sum([p[1] for p in parts]))
-            if len(text) <= 64:
-                self._words.keep(text, found)
-        return found
-
-    def _runs(self, plain: str) -> list[tuple[str, int]]:
-        """The words of a text without special tokens, in order."""
-        words = plain.split() if not _ODD.search(plain) else [w for w in _SPLIT.split(plain) if w]
-        runs = list(map(self._words.young.get, words))
-        if None in runs:
-            runs = [r or self.word(w) for r, w in zip(runs, words)]
-        return runs
-
-    def encode_joined(self, text: str) -> tuple[str, int]:
-        """(ids, count) of a whole text, ids joined by a space."""
-        if "<|" in text and self._special.search(text):
-            runs, at = [], 0
-            for m in self._special.finditer(text):
-                runs += self._runs(text[at : m.start()])
-                runs.append((str(self.special[m.group()]), 1))
-                at = m.end()
-            runs += self._runs(text[at:])
-        else:
-            runs = self._runs(text)
-        if _NOTHING in runs:
-            runs = [r for r in runs if r[1]]
-        if not runs:
-            return _NOTHING
-        ids, counts = zip(*runs)
-        return " ".join(ids), sum(counts)
+            made.append(_lists(np.array([len(ids)]), np.array(ids, np.int64)))
+            places.append(np.array([x]))
+        if not made:
+            return _lists(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return pa.concat_arrays(made).take(pa.array(np.argsort(np.concatenate(places))))
+
+    def _different_words(self, words: list[str]) -> pa.ListArray:
+        """The ids of each run without white space; a special token stands for itself."""
+        joined = "\n".join(["" if w in self.special else w for w in words])
+        plain = joined if joined.isascii() else unicodedata.normalize("NFC", joined).replace("Σ", "σ")
+        found = pa.array(_PIECE_OR_END.findall(plain.lower() + "\n"), pa.string()).dictionary_encode()
+        pieces = self._pieces(found.dictionary)
+        codes = found.indices.to_numpy()
+        mark = pc.index(found.dictionary, "\n").as_py()
+        ends = codes == mark
+        taken = pieces.take(pa.array(np.where(ends, -1, codes), mask=ends))
+        counts = pc.fill_null(pc.list_value_length(taken), 0).to_numpy()
+        until = np.cumsum(counts)[ends]
+        out = _lists(np.diff(until, prepend=0), taken.flatten())
+        special = [i for i, w in enumerate(words) if w in self.special]
+        if special:
+            ids = _lists(np.ones(len(special), np.int64), np.array([self.special[words[i]] for i in special]))
+            order = np.arange(len(words))
+            order[special] = len(words) + np.arange(len(special))
+            out = pa.concat_arrays([out, ids]).take(pa.array(order))
+        return out
+
+    def _runs(self, text: str) -> list[str]:
+        """The words of a text in order, special tokens among them."""
+        out, at = [], 0
+        for m in self._special.finditer(text):
+            out += [*_SPLIT.split(text[at : m.start()]), m.group()]
+            at = m.end()
+        return [w for w in out + _SPLIT.split(text[at:]) if w]
+
+    def encode_texts(self, texts: pa.StringArray) -> pa.ListArray:
+        """The ids of each text; the words that differ are cut into pieces and merged once."""
+        odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, _ODD)).to_numpy(zero_copy_only=False)
+        words = pc.utf8_split_whitespace(texts)
+        if odd.any():
+            at = np.flatnonzero(odd)
+            order = np.arange(len(texts))
+            order[at] = len(texts) + np.arange(len(at))
+            words = pa.concat_arrays([words, pa.array([self._runs(texts[i].as_py()) for i in at.tolist()], words.type)]).take(pa.array(order))
+        coded = words.flatten().dictionary_encode()
+        made = self._different_words(coded.dictionary.to_pylist()).take(coded.indices)
+        until = np.concatenate([[0], np.cumsum(pc.list_value_length(made).to_numpy())])
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
+        return _lists(np.diff(until[ends]), made.flatten())
+
+    def texts_of(self, ids: pa.ListArray) -> tuple[pa.LargeStringArray, pa.LargeStringArray]:
+        """Of each list, its ids and its tokens, joined by a space."""
+        space = pa.scalar(" ", pa.large_string())
+        joined = lambda texts: pc.binary_join(pa.ListArray.from_arrays(ids.offsets, texts.take(ids.values)), space)
+        return joined(self._id_texts), joined(self._token_texts)
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for i in self.encode_joined(text)[0].split(" ") if i]
+        return self.encode_texts(pa.array([text], pa.string()))[0].as_py()
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens joined by a space, as the file names no decoder; unknown ids are left out."""
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
-    def decode_joined(self, ids: str) -> str:
-        """``decode`` of ids that are joined by a space, all of them in the vocabulary."""
-        return " ".join(map(self._token_of.__getitem__, ids.split(" "))) if ids else ""
+
+def _lists(counts: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
+    """Lists of ``counts`` values each."""
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+
+
+def _stretches(text: str) -> list[str]:
+    """``text`` in stretches of about ``_STRETCH`` characters, cut at white space, where no piece or special token goes on."""
+    out, at = [], 0
+    while len(text) - at > _STRETCH and (m := _SPLIT.search(text, at + _STRETCH)):
+        out.append(text[at : m.start()])
+        at = m.end()
+    return [*out, text[at:]]
+
+
+def _groups(texts: pa.StringArray) -> Iterator[pa.StringArray]:
+    """Runs of texts of about ``_STRETCH`` characters together, one text at least."""
+    until = np.cumsum(pc.utf8_length(texts).to_numpy())
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(until, (until[at - 1] if at else 0) + _STRETCH, "right")))
+        yield texts.slice(at, end - at)
+        at = end
 
 
 _LOADED: dict[str, WordBpe] = {}
 
 
 def _tokenizer(definition: str) -> WordBpe:
-    """One tokenizer a Python worker, so that words met in one task are known in the next."""
+    """One tokenizer a Python worker; it holds the vocabulary only, none of the data."""
     key = hashlib.sha256(definition.encode()).hexdigest()
     if key not in _LOADED:
         _LOADED.clear()
@@ -253,6 +357,20 @@ def encode_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     return _mapped(out, path, "text", schema, full=False)
 
 
+def _digests(parts: Iterable[tuple[pa.LargeStringArray, pa.LargeStringArray]], one: bool) -> list[pa.StringArray]:
+    """SHA-256 of ids and tokens of each text, or of one text whose stretches are the parts."""
+    if not one:
+        return [pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in texts], pa.string()) for texts in next(iter(parts))]
+    made, begun = [hashlib.sha256(), hashlib.sha256()], False
+    for pair in parts:
+        if len(pair[0][0].as_buffer()):
+            for sha, texts in zip(made, pair):
+                sha.update(b" " if begun else b"")
+                sha.update(texts[0].as_buffer())
+            begun = True
+    return [pa.array([sha.hexdigest()], pa.string()) for sha in made]
+
+
 def _mapped(df: DataFrame, path: str, text_col: str, schema: str, full: bool) -> DataFrame:
     ship_package(df.sparkSession)
     # The file of a vocabulary: about 1.7 MB, whatever the data.
@@ -260,19 +378,29 @@ def _mapped(df: DataFrame, path: str, text_col: str, schema: str, full: bool) ->
 
     def run(batches):
         bpe = _tokenizer(definition.value)
-        sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = part.column(part.schema.get_field_index(text_col))
-                made = [bpe.encode_joined(t.as_py() or "") for t in texts]
+            texts = batch.column(batch.schema.get_field_index(text_col)).fill_null("")
+            at = 0
+            for group in _groups(texts):
+                part = batch.slice(at, len(group))
+                at += len(group)
+                # only a text that is a group by itself can be longer than a stretch
+                stretches = _stretches(group[0].as_py()) if len(group) == 1 else []
+                if len(stretches) > 1:
+                    group = None
+                    parts = [bpe.encode_texts(pa.array([s], pa.string())) for s in stretches]
+                    ids = _lists(np.array([sum(len(p.values) for p in parts)]), pa.concat_arrays([p.values for p in parts]))
+                else:
+                    parts = [ids := bpe.encode_texts(group)]
                 if full:
-                    ids = pa.array([np.fromstring(m[0], np.int32, sep=" ") for m in made], pa.list_(pa.int32()))
-                    new = {"token_ids": ids, "decoded": pa.array([bpe.decode_joined(m[0]) for m in made], pa.string())}
-                    columns = dict(zip(part.schema.names, part.columns)) | new
+                    tokens = [bpe.texts_of(p)[1] for p in parts if len(parts) == 1 or len(p.values)]
+                    decoded = tokens[0] if len(parts) == 1 else pa.array([" ".join(t[0].as_py() for t in tokens)])
+                    columns = dict(zip(part.schema.names, part.columns)) | {"token_ids": ids, "decoded": decoded.cast(pa.string())}
                 else:
-                    new = {"n_tokens": pa.array([m[1] for m in made], pa.int64()), "ids_sha256": pa.array([sha(m[0]) for m in made], pa.string()), "decoded_sha256": pa.array([sha(bpe.decode_joined(m[0])) for m in made], pa.string())}
-                    columns = {part.schema.names[0]: part.column(0)} | new
+                    digests = _digests(map(bpe.texts_of, parts), len(parts) > 1)
+                    columns = {part.schema.names[0]: part.column(0), "n_tokens": pc.list_value_length(ids).cast(pa.int64()), "ids_sha256": digests[0], "decoded_sha256": digests[1]}
                 yield pa.RecordBatch.from_pydict(columns)
+                # what a group took is not kept beside the next stage's needs
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

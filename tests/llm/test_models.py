@@ -158,6 +158,55 @@ def test_bpe_matches_the_library(spark):
     assert full["token_ids"] == library.encode(texts[502], add_special_tokens=False).ids
 
 
+def test_bpe_keeps_none_of_the_data():
+    import pickle
+
+    import public_tokenizers
+
+    tokenizer = bpe.WordBpe(bpe.tokenizer_definition(public_tokenizers.path("word_bpe_49k.json")))
+    before = len(pickle.dumps(tokenizer))
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(20_000))
+    assert len(tokenizer.encode(text)) > 20_000 and len(pickle.dumps(tokenizer)) == before
+
+
+def test_bpe_in_groups_and_stretches(spark, monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    tokenizer = bpe.WordBpe(bpe.tokenizer_definition(path))
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(ALPHABET) for _ in range(rng.randrange(300))) for _ in range(40)] + ["", " " * 90, "\n".join(["Σé it's 42!"] * 60)]
+    monkeypatch.setattr(bpe, "_STRETCH", 50)
+    groups = list(bpe._groups(pa.array(texts)))
+    assert [t for g in groups for t in g.to_pylist()] == texts
+    assert all(len(g) == 1 or sum(map(len, g.to_pylist())) <= 50 for g in groups)
+    for text in texts:
+        wanted = library.encode(text, add_special_tokens=False).ids
+        parts = [tokenizer.encode(s) for s in bpe._stretches(text)]
+        assert sum(parts, []) == wanted == tokenizer.encode(text)
+        digests = bpe._digests([tokenizer.texts_of(tokenizer.encode_texts(pa.array([s]))) for s in bpe._stretches(text)], True)
+        assert digests[0][0].as_py() == hashlib.sha256(" ".join(map(str, wanted)).encode()).hexdigest()
+        assert digests[1][0].as_py() == hashlib.sha256(library.decode(wanted, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_bpe_long_text(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    text = "the quick brown ford's 17 naïve foxes, jumped\n" * 60_000
+    rows = spark.createDataFrame([(1, "a b"), (2, text), (3, None)], "doc_id long, text string")
+    wanted = library.encode(text, add_special_tokens=False).ids
+    full = {r["doc_id"]: r for r in bpe.encode_documents(rows, path).collect()}
+    assert full[2]["token_ids"] == wanted and full[2]["decoded"] == library.decode(wanted, skip_special_tokens=False) and full[3]["decoded"] == ""
+    got = {r["doc_id"]: r for r in bpe.encode_digests(rows, path).collect()}
+    assert got[2]["n_tokens"] == len(wanted) and got[2]["ids_sha256"] == hashlib.sha256(" ".join(map(str, wanted)).encode()).hexdigest()
+
+
 def test_segment_tree():
     rng = random.Random(2)
     values = [rng.randrange(5) for _ in range(37)]
