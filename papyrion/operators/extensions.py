@@ -99,15 +99,16 @@ def topics(docs: DataFrame, k: int, terms: int = 1000, top: int = 10, seed: int
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import IDF, CountVectorizer
     from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
 
     words = docs.select("doc_id", T.words(F.lower("content")).alias("w")).where(F.size("w") > 0)
     counted = CountVectorizer(inputCol="w", outputCol="tf", vocabSize=terms).fit(words)
     weighed = (tf := counted.transform(words)) and IDF(inputCol="tf", outputCol="features").fit(tf).transform(tf)
     placed = KMeans(k=k, seed=seed).fit(weighed).transform(weighed)
-    entry = F.posexplode(vector_to_array("features"))
-    sums = placed.select("prediction", entry.alias("term", "x")).where("x > 0").groupBy("prediction", "term").agg(F.sum("x").alias("x"))
+    # one vector a cluster is made dense, not one a document
+    added = placed.groupBy("prediction").agg(Summarizer.sum(F.col("features")).alias("s"), F.count(F.lit(1)).alias("documents"))
+    sums = added.select("documents", "prediction", F.posexplode(vector_to_array("s")).alias("term", "x")).where("x > 0")
     w = Window.partitionBy("prediction").orderBy(F.desc("x"), "term")
     vocabulary = F.array(*map(F.lit, counted.vocabulary))
-    best = sums.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).groupBy("prediction").agg(F.array_sort(F.collect_list(F.struct("place", vocabulary[F.col("term")].alias("t")))).alias("t"))
-    sizes = placed.groupBy("prediction").agg(F.count(F.lit(1)).alias("documents"))
-    return sizes.join(best, "prediction").select(F.col("prediction").alias("cluster"), "documents", F.array_join("t.t", ",").alias("top_terms"))
+    best = sums.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).groupBy("prediction").agg(F.first("documents").alias("documents"), F.array_sort(F.collect_list(F.struct("place", vocabulary[F.col("term")].alias("t")))).alias("t"))
+    return best.select(F.col("prediction").alias("cluster"), "documents", F.array_join("t.t", ",").alias("top_terms"))
