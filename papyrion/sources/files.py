@@ -220,6 +220,8 @@ def page_totals(pages: DataFrame) -> DataFrame:
 def valid_extractions(pages: DataFrame) -> DataFrame:
     """(doc_id, valid) by the same rule as ``is_valid``, in columns."""
     chars = F.filter(F.split("content", ""), lambda c: c != "")
-    once = T.let(F.array_sort(F.filter(chars, lambda c: c.rlike(r"\p{L}"))), lambda s: F.size(F.filter(F.transform(s, lambda c, i: ~F.coalesce(F.get(s, i - 1) == c, F.lit(False)) & ~F.coalesce(F.get(s, i + 1) == c, F.lit(False))), lambda b: b)))
-    odd = (F.length("content") > 1000) & (once > 0.3 * F.length("content"))
+    once = T.let(F.sort_array(F.filter(chars, lambda c: c.rlike(r"\p{L}"))), lambda s: F.size(F.filter(F.transform(s, lambda c, i: ~F.coalesce(F.get(s, i - 1) == c, F.lit(False)) & ~F.coalesce(F.get(s, i + 1) == c, F.lit(False))), lambda b: b)))
+    # no more letters can occur once than there are ASCII letters and other characters; few texts have so many
+    most = 52 + F.length(F.regexp_replace("content", r"[\x00-\x7F]+", ""))
+    odd = F.when((F.length("content") > 1000) & (most > 0.3 * F.length("content")), once > 0.3 * F.length("content")).otherwise(False)
     return pages.groupBy("doc_id").agg(F.sum(F.length("content")).alias("n"), F.bool_or(odd).alias("odd")).select("doc_id", ((F.col("n") >= MIN_CHARS) & ~F.col("odd")).alias("valid"))
