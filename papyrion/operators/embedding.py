@@ -10,19 +10,34 @@ whether or not they ever occur together.  A text is the sum of its terms'
 vectors, weighted by how rare they are, at unit length.
 
 All sums are of whole numbers, so they do not depend on their order.
+
+The texts are read twice: for the terms, and for the pairs of terms.  Both times
+a task counts windows of texts in numpy and hands on counts, never a row for
+each word or pair; a pair is its cell in the table of terms by terms.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from papyrion.functions import text as T
+from papyrion.session import saved, ship_package
 
 #: Numbers in a vector, one for each bit of the hash.
 DIM = 64
+#: Bytes of text that a task counts at a time; a longer text is a window of its own.
+_WINDOW = 8 << 20
+#: A task adds up its pairs in a table of at most so many cells (128 MB); for more terms it hands them on by window and distance.
+_CELLS = 1 << 24
+#: Rows of an Arrow batch that a task returns.
+_ROWS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -37,16 +52,91 @@ def _words(text_col: str) -> Column:
     return T.words(F.lower(text_col))
 
 
+def _worded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """By window of lower-case texts: words, the text that each is of, and which of them are words (an empty one stands at a text's ends)."""
+    for batch in batches:
+        texts = batch.column(0)
+        ends, start = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+        while start < len(texts):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + _WINDOW, "right")))
+            lists = pc.ascii_split_whitespace(texts.slice(start, stop - start))
+            words = lists.flatten()
+            yield words, pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64), pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+            start = stop
+
+
+def _lower(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.lower(text_col), F.lit("")).alias("text"))
+
+
+def _count_holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, documents) of each window."""
+    for words, holder, full in _worded(batches):
+        coded = words.dictionary_encode()
+        size = max(1, len(coded.dictionary))
+        held = np.sort((holder * size + coded.indices.to_numpy(zero_copy_only=False))[full])
+        held = held[np.diff(held, prepend=-1) > 0]  # a word of a text once
+        n = np.bincount(held % size, minlength=len(coded.dictionary))
+        found = np.flatnonzero(n)
+        terms = coded.dictionary.take(pa.array(found)).cast(pa.string())
+        for i in range(0, len(found), _ROWS):
+            yield pa.RecordBatch.from_arrays([terms[i : i + _ROWS], pa.array(n[found[i : i + _ROWS]], pa.int64())], names=["term", "documents"])
+
+
 def vocabulary(docs: DataFrame, config: EmbeddingConfig = EmbeddingConfig(), text_col: str = "content") -> DataFrame:
     """(term, documents): at most ``terms`` rows."""
-    counted = docs.select(F.explode(F.array_distinct(_words(text_col))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    ship_package(docs.sparkSession)
+    counted = _lower(docs, text_col).mapInArrow(_count_holders, "term string, documents long").groupBy("term").agg(F.sum("documents").alias("documents"))
     return counted.where(F.col("documents") >= config.min_documents).orderBy(F.desc("documents"), "term").limit(config.terms)
 
 
-def _signs(term: Column) -> list[Column]:
-    """1 or -1 for each number of a vector."""
-    halves = [F.conv(F.substring(F.sha2(term, 256), 1 + 8 * i, 8), 16, 10).cast("long") for i in (0, 1)]
-    return [2 * F.shiftright(halves[j // 32], j % 32).bitwiseAND(1) - 1 for j in range(DIM)]
+def _count_pairs(terms: list[bytes], window: int):
+    """A function of ``mapInArrow``: (cell, n) of the pairs of two terms within ``window`` words.
+
+    The cell of terms i <= j is i times the number of terms plus j.
+    """
+    width, known = len(terms), pa.array(terms, pa.binary())
+    cells = width * width
+
+    def rows(found: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(found), _ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(found[i : i + _ROWS], pa.int64()), pa.array(n[i : i + _ROWS], pa.int64())], names=["cell", "n"])
+
+    def met(words: pa.Array, holder: np.ndarray, full: np.ndarray) -> Iterator[np.ndarray]:
+        """The cells of pairs at one distance."""
+        ids = pc.fill_null(pc.index_in(words.cast(pa.binary()), value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)[full]
+        holder = holder[full]
+        for k in range(1, window + 1):
+            x, y = ids[:-k], ids[k:]
+            both = np.flatnonzero((x >= 0) & (y >= 0) & (holder[:-k] == holder[k:]))
+            x, y = x[both], y[both]
+            yield np.minimum(x, y) * width + np.maximum(x, y)
+
+    def run(batches):
+        total = np.zeros(cells, np.int64) if cells <= _CELLS else None
+        for words, holder, full in _worded(batches):
+            for found in met(words, holder, full):
+                if total is None:
+                    yield from rows(*np.unique(found, return_counts=True))
+                elif len(found) > cells // 8:
+                    total += np.bincount(found, minlength=cells)
+                else:
+                    np.add.at(total, found, 1)
+        if total is not None:
+            found = np.flatnonzero(total)
+            yield from rows(found, total[found])
+
+    return run
+
+
+def _hashes(term: Column) -> list[Column]:
+    return [F.conv(F.substring(F.sha2(term, 256), 1 + 8 * i, 8), 16, 10).cast("long") for i in (0, 1)]
+
+
+def _signs(prefix: str) -> list[Column]:
+    """1 or -1 for each number of a vector, from columns with the hashes of a term."""
+    return [2 * F.shiftright(F.col(f"{prefix}{j // 32}"), j % 32).bitwiseAND(1) - 1 for j in range(DIM)]
 
 
 def term_vectors(docs: DataFrame, config: EmbeddingConfig = EmbeddingConfig(), text_col: str = "content") -> DataFrame:
@@ -54,21 +144,25 @@ def term_vectors(docs: DataFrame, config: EmbeddingConfig = EmbeddingConfig(), t
 
     A term that stands near no other one more often than by chance has zeros.
     """
-    known = F.broadcast(vocabulary(docs, config, text_col))
-    near = F.flatten(F.transform(F.array(_words(text_col)), lambda w: F.flatten(F.transform(w, lambda x, i: F.transform(F.slice(w, i + 2, config.window), lambda y: F.struct(x.alias("a"), y.alias("b")))))))
-    each = docs.select(F.explode(near).alias("p")).select("p.a", "p.b")
-    for side in "ab":
-        each = each.join(known.select(F.col("term").alias(side)), side, "left_semi")
-    one_way = each.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    both = one_way.unionByName(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
-    sums = both.groupBy("a").agg(F.sum("n").alias("of_a"))
+    spark = docs.sparkSession
+    top = vocabulary(docs, config, text_col).select(F.col("term").cast("binary"), "documents").collect()  # at most ``terms`` rows
+    terms = [bytes(r["term"]) for r in top]
+    known = pa.table({"id": range(len(top)), "term": terms, "documents": [r["documents"] for r in top]}, pa.schema({"id": pa.int64(), "term": pa.binary(), "documents": pa.int64()}))
+    known = spark.createDataFrame(known).withColumn("term", F.col("term").cast("string"))
+    cells = _lower(docs, text_col).mapInArrow(_count_pairs(terms, config.window), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    a, b = (F.expr(f"cell {f} {max(1, len(terms))}L") for f in ("div", "%"))
+    # at most as many rows as there are pairs of terms; a term beside itself is met from both sides
+    pairs = saved(cells.select(a.alias("a"), b.alias("b"), F.when(a == b, 2 * F.col("n")).otherwise(F.col("n")).alias("n")), "near")
+    turned = lambda df: df.union(df.where("a <> b").select("b", "a", df.columns[2]))
+    sums = turned(pairs).groupBy("a").agg(F.sum("n").alias("of_a"))
     total = sums.agg(F.coalesce(F.sum("of_a"), F.lit(0)).alias("total"))
     # at most as many rows as there are terms
-    rated = both.join(F.broadcast(sums), "a").join(F.broadcast(sums.select(F.col("a").alias("b"), F.col("of_a").alias("of_b"))), "b").crossJoin(F.broadcast(total))
+    rated = pairs.join(F.broadcast(sums), "a").join(F.broadcast(sums.select(F.col("a").alias("b"), F.col("of_a").alias("of_b"))), "b").crossJoin(F.broadcast(total))
     rated = rated.select("a", "b", F.floor(1000 * F.log(F.col("n").cast("double") * F.col("total") / (F.col("of_a").cast("double") * F.col("of_b")))).cast("long").alias("v")).where("v > 0")
-    summed = rated.groupBy("a").agg(*(F.sum(F.col("v") * s).alias(f"v{j}") for j, s in enumerate(_signs(F.col("b")))))
+    signs = F.broadcast(known.select(F.col("id").alias("b"), *(h.alias(f"h{i}") for i, h in enumerate(_hashes(F.col("term"))))))
+    summed = turned(rated).join(signs, "b").groupBy("a").agg(*(F.sum(F.col("v") * s).alias(f"v{j}") for j, s in enumerate(_signs("h"))))
     vector = F.array(*(F.coalesce(f"v{j}", F.lit(0).cast("long")) for j in range(DIM)))
-    return known.join(summed.withColumnRenamed("a", "term"), "term", "left").select("term", "documents", vector.alias("vector"))
+    return known.join(summed.withColumnRenamed("a", "id"), "id", "left").select("term", "documents", vector.alias("vector"))
 
 
 def embed(docs: DataFrame, vectors: DataFrame, total: int, id_col: str = "doc_id", text_col: str = "content") -> DataFrame:
